@@ -1,5 +1,9 @@
 """Move vector collections with Spark: read, normalise, encode, upsert, resume."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from vectorferry.model import CollectionSpec
 from vectorferry.operators.collection import (
     compact,
@@ -32,3 +36,7 @@ __all__ = [
     "read_quarantine", "reader_for", "register_encoder", "register_paged", "register_reader",
     "send_records", "sink_records", "upsert",
 ]
+
+# Python that runs in tasks (readers, encoders, senders) is sent by value, so
+# executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
