@@ -31,6 +31,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before work that is heavy per row.
+
+    A file of one row group is read by one task, however many cores there are. An
+    input with less than one full split per core is therefore shuffled, which moves
+    at most ``cores * maxPartitionBytes``. A larger input is returned as it is.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return df.repartition(cores) if size < cores * split else df
+
+
 def batch_count(rows: int, batch_size: int = DEFAULT_BATCH) -> int:
     return max(1, math.ceil(rows / batch_size))
 

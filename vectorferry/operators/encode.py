@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions import text as text_functions
 from vectorferry.model import SPARSE, no_sparse
+from vectorferry.operators.batches import spread
 
 # An encoder takes the text column and the average document length.
 Encoder = Callable[[Column, Column | float], Column]
@@ -50,6 +51,8 @@ def batch_encoder(model) -> Encoder:
             vectors = list(model.encode_batch(values))
         else:
             vectors = [model.encode(v) for v in values]
+        if any(len(v["indices"]) != len(v["values"]) for v in vectors):
+            raise ValueError("the encoder returned indices and values of unequal length")
         return pd.DataFrame({
             "indices": [list(v["indices"]) for v in vectors],
             "values": [list(v["values"]) for v in vectors],
@@ -60,7 +63,7 @@ def batch_encoder(model) -> Encoder:
 
 def average_length(df: DataFrame, text: str = "text") -> Column:
     """Mean document length of a corpus, as a scalar subquery (one extra narrow scan)."""
-    return df.agg(F.avg(text_functions.document_length(F.coalesce(F.col(text), F.lit(""))))).scalar()
+    return spread(df).agg(F.avg(text_functions.document_length(F.coalesce(F.col(text), F.lit(""))))).scalar()
 
 
 def encode_sparse(
@@ -75,16 +78,29 @@ def encode_sparse(
     ``average`` is the length the weights are normalised by: a fixed number makes
     the encoding stateless (needed for streams), None takes the corpus mean.
     """
-    chosen = encoder(algorithm)
     if average is None:
         average = average_length(df, text)
+    return with_sparse(spread(df), text, algorithm, average, sparse)
+
+
+def with_sparse(
+    df: DataFrame,
+    text: str,
+    algorithm: str | None,
+    average: Column | float,
+    sparse: str = "sparse",
+    where: Column | None = None,
+) -> DataFrame:
+    """``encode_sparse`` without looking at the input; only rows that meet ``where``."""
     if isinstance(average, (int, float)):
         average = F.lit(float(average))
-    has_text = F.coalesce(F.col(text), F.lit("")) != ""
+    wanted = F.coalesce(F.col(text), F.lit("")) != ""
+    if where is not None:
+        wanted = where & wanted
     # a column of its own: a scalar subquery may not stand inside a lambda
     measured = df.withColumn("_average", average)
-    value = chosen(F.col(text), F.col("_average"))
-    return measured.withColumn(sparse, F.when(has_text, value).otherwise(no_sparse())).drop("_average")
+    value = encoder(algorithm)(F.col(text), F.col("_average"))
+    return measured.withColumn(sparse, F.when(wanted, value).otherwise(no_sparse())).drop("_average")
 
 
 def attach_sparse(df: DataFrame, vectors: DataFrame, id: str = "id") -> DataFrame:
@@ -95,13 +111,13 @@ def attach_sparse(df: DataFrame, vectors: DataFrame, id: str = "id") -> DataFram
 
 def token_counts(df: DataFrame, id: str, text: str) -> DataFrame:
     """``(id, token, tf)``"""
-    return df.select(id, F.inline_outer(text_functions.token_counts(F.col(text)))).filter(
+    return spread(df).select(id, F.inline_outer(text_functions.token_counts(F.col(text)))).filter(
         F.col("token").isNotNull()
     )
 
 
 def document_lengths(df: DataFrame, id: str, text: str) -> DataFrame:
-    return df.select(id, text_functions.document_length(F.coalesce(F.col(text), F.lit(""))).alias("dl"))
+    return spread(df).select(id, text_functions.document_length(F.coalesce(F.col(text), F.lit(""))).alias("dl"))
 
 
 def explode_sparse(df: DataFrame, id: str, sparse: str = "sparse") -> DataFrame:
@@ -119,7 +135,7 @@ def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
     most once per row, so a plain count with map-side combine gives the frequency.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    seen = df.select(F.explode_outer(
+    seen = spread(df).select(F.explode_outer(
         F.array_distinct(F.transform(text_functions.tokens(F.col(text)), text_functions.token_index))
     ).alias("idx")).filter(F.col("idx").isNotNull())
     frequencies = seen.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))

@@ -42,14 +42,14 @@ BATCHED = """batched AS (
 
 def _dense(column: str) -> str:
     return (
-        f"len({column}) dim, "
+        f"len({column})::int dim, "
         f"round(list_sum(list_transform({column}, lambda x: x::double)), 4) dense_sum"
     )
 
 
 def _weights(average: str) -> str:
     return FREQUENCIES + f""", weights AS (
-  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1 pos, idx,
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY idx)::int - 1 pos, idx,
     round(tf * 2.2::double / (tf + 1.2::double * (0.25::double + 0.75::double * dl / {average})), 6) weight
   FROM freq JOIN lengths USING (doc_id))"""
 
@@ -58,7 +58,7 @@ FIXED = _weights("200.0::double")
 CORPUS = _weights("(SELECT avg(coalesce(dl, 0)) FROM documents LEFT JOIN lengths USING (doc_id))::double")
 
 HYBRID_TERMS = f"""WITH {RECORDS}, {FIXED}
-SELECT r.id, len(r.embedding) dim, w.pos, w.idx, w.weight
+SELECT r.id, len(r.embedding)::int dim, w.pos, w.idx, w.weight
 FROM records r JOIN weights w USING (doc_id) WHERE r.embedding IS NOT NULL"""
 
 # -- sources ------------------------------------------------------------------
@@ -106,7 +106,7 @@ SELECT doc_id, pos, pos // 1000 batch_id, (pos % 1000) // 100 chunk_id FROM p"""
 
 ORACLES["sink_record"] = f"""WITH {RECORDS}, {FREQUENCIES}, s AS (
   SELECT doc_id, count(*)::int terms FROM freq GROUP BY 1)
-SELECT id, len(embedding) dim, terms, lang, source, n_chars, text
+SELECT id, len(embedding)::int dim, terms, lang, source, n_chars, text
 FROM records LEFT JOIN s USING (doc_id) WHERE embedding IS NOT NULL"""
 
 # -- detection ----------------------------------------------------------------
@@ -202,14 +202,14 @@ ORACLES["idf_table"] = f"""WITH {FREQUENCIES}, n AS (SELECT count(*) n FROM docu
 f AS (SELECT idx, count(DISTINCT doc_id) df FROM freq GROUP BY 1)
 SELECT idx, df, round(ln(1 + (n - df + 0.5::double) / (df + 0.5::double)), 6) idf FROM f, n"""
 
-ORACLES["encoder_custom_udf"] = """SELECT doc_id, 0 pos, 0 idx, length(text)::double weight FROM documents
+ORACLES["encoder_custom_udf"] = """SELECT doc_id, 0 pos, 0::bigint idx, length(text)::double weight FROM documents
 UNION ALL SELECT doc_id, 1, 1, (length(text) - length(replace(text, ' ', '')))::double FROM documents
 UNION ALL SELECT doc_id, 2, 2, (length(text) - length(replace(text, chr(10), '')))::double FROM documents"""
 
 ORACLES["dense_to_hybrid"] = HYBRID_TERMS
 
 ORACLES["attach_sparse"] = f"""WITH {RECORDS}, {FIXED}
-SELECT r.id, len(r.embedding) dim, w.pos, w.idx, w.weight FROM records r JOIN weights w USING (doc_id)"""
+SELECT r.id, len(r.embedding)::int dim, w.pos, w.idx, w.weight FROM records r JOIN weights w USING (doc_id)"""
 
 # -- batches and resuming --------------------------------------------------------
 
@@ -230,13 +230,12 @@ WHERE doc_id > (SELECT floor(avg(doc_id)) FROM documents)"""
 ORACLES["keyset_page"] = """SELECT event_id, event_type FROM events
 WHERE event_id > (SELECT floor(avg(event_id)) FROM events) ORDER BY event_id LIMIT 1000"""
 
-ORACLES["resume_ledger"] = f"""WITH {RECORDS}, {MIXED}, {BATCHED}, done AS (
-  SELECT batch_id FROM batched GROUP BY 1
-  HAVING count(*) FILTER (reason <> 'ok') > count(*) FILTER (reason = 'ok'))
-SELECT doc_id, batch_id FROM batched WHERE batch_id NOT IN (SELECT batch_id FROM done)"""
+ORACLES["resume_ledger"] = f"""WITH {RECORDS}, {MIXED}, {BATCHED}
+SELECT doc_id, batch_id FROM batched
+WHERE batch_id >= (SELECT ceil(count(*) / 100)::bigint FROM documents) // 2"""
 
 ORACLES["resume_completed"] = f"""WITH {RECORDS}
-SELECT 2 batches, count(*) fetched, count(embedding) upserted,
+SELECT 2::bigint batches, count(*) fetched, count(embedding) upserted,
   count(*) - count(embedding) quarantined, true completed,
   CASE WHEN count(*) > count(embedding) THEN 'completed with errors' ELSE 'completed' END status
 FROM records"""

@@ -21,7 +21,7 @@ from vectorferry.model import (
     CollectionSpec,
 )
 from vectorferry.operators import collection, encode, gates, quality, report
-from vectorferry.operators.batches import checkpoint_dir
+from vectorferry.operators.batches import checkpoint_dir, spread
 from vectorferry.operators.detect import detect_dimension
 from vectorferry.sources.registry import SOURCE_SPACES, reader_for
 
@@ -33,7 +33,8 @@ class MigrationJob:
     ``dimension`` given: the data is read once and vectors of another size are set
     aside. Left out: it is taken from the existing target or found in an extra scan,
     which fails when sizes differ. ``batches`` > 1 splits a batch run into as many
-    separately committed parts. ``fresh`` starts a new run instead of resuming.
+    separately committed parts. ``parallelism`` spreads the rows over that many tasks
+    first, for a source with few large splits. ``fresh`` starts a new run instead of resuming.
     """
 
     source_db: str
@@ -54,6 +55,7 @@ class MigrationJob:
     m: int = DEFAULT_M
     ef_con: int = DEFAULT_EF
     batches: int = 1
+    parallelism: int | None = None
     fresh: bool = False
     reader_options: dict[str, Any] = field(default_factory=dict)
 
@@ -86,6 +88,8 @@ def read_source(df: DataFrame, job: MigrationJob) -> DataFrame:
     options = dict(job.reader_options)
     if job.sparse_algo:
         options["text_field"] = job.text_field or "document"
+    if job.parallelism:
+        df = df.repartition(job.parallelism)
     return reader_for(job.source_db, job.source_type)(df, source_type=job.source_type, **options)
 
 
@@ -98,12 +102,18 @@ def to_target(
 ) -> DataFrame:
     """Canonical rows -> target rows with ``reason`` and ``raw`` for bad ones.
 
-    A narrow transformation: no shuffle, no Python (unless the encoder is Python).
+    A narrow transformation (small inputs are spread over the cores first): no
+    shuffle, no Python unless the encoder is Python.
     """
-    if sparse_algo:
-        canonical = encode.encode_sparse(canonical, "text", sparse_algo, average_length)
-    parsed = canonical.withColumn("_entries", payload_functions.entries(F.col("payload")))
+    if sparse_algo and average_length is None:
+        average_length = encode.average_length(canonical)
+    parsed = spread(canonical).withColumn("_entries", payload_functions.entries(F.col("payload")))
     flagged = parsed.withColumn("reason", quality.reason(dimension, F.col("_entries")))
+    if sparse_algo:
+        # after the checks: nothing is encoded for a row that is set aside
+        flagged = encode.with_sparse(
+            flagged, "text", sparse_algo, average_length, where=F.col("reason").isNull()
+        )
     filter_json, meta_json = payload_functions.split(
         F.col("_entries"), payload_functions.field_list(filter_fields)
     )

@@ -408,7 +408,8 @@ def hybrid_row_counts(spark, folder):
 
 
 def split_events(spark: SparkSession, folder: str, fields: str) -> DataFrame:
-    rows = table(spark, folder, "events").select("event_id", event_payload().alias("payload"))
+    events = batches.spread(table(spark, folder, "events"))
+    rows = events.select("event_id", event_payload().alias("payload"))
     parsed = rows.withColumn("entries", payload_functions.entries(F.col("payload")))
     to_filter, to_meta = payload_functions.split(
         F.col("entries"), payload_functions.field_list(fields)
@@ -586,8 +587,10 @@ def batched_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def resume_ledger(spark, folder):
+    """A run that stopped after the first half of its batches."""
     rows = batched_records(spark, folder)
-    ledger = report.ledger_of(rows, "run").filter(F.col("quarantined") > F.col("rows"))
+    n = batches.batch_count(table(spark, folder, "documents").count(), BATCH)
+    ledger = report.ledger_of(rows, "run").filter(F.col("batch_id") < n // 2)
     return batches.pending(rows, ledger, "run").select("doc_id", "batch_id")
 
 
@@ -639,7 +642,7 @@ def stream_migrate(spark, folder):
     job = MigrationJob(
         "milvus", f"{path}/target", "documents", target_type="hybrid", sparse_algo="bm25",
         text_field="text", average_length=AVERAGE_LENGTH, dimension=DIMENSION,
-        filter_fields="lang,source",
+        filter_fields="lang,source", parallelism=spark.sparkContext.defaultParallelism,
     )
     migrate_stream(records, job, f"{path}/checkpoint")
     rows = collection.read_collection(spark, f"{path}/target", ["embedding", "keywords"])

@@ -47,13 +47,15 @@ def with_retries(
 
 
 class ParquetPager:
-    """Rows of parquet files in path order; reads only the row groups a page needs."""
+    """Rows of parquet files in path order; reads the row groups a page needs, one at a time."""
 
     def __init__(self, options: dict[str, str]):
         import pyarrow.dataset as ds
 
         self._columns = [c.strip() for c in options["columns"].split(",")] if options.get("columns") else None
         self._dataset = ds.dataset(options["path"], format="parquet")
+        self._groups: list[tuple] | None = None
+        self._held: tuple[int, pa.Table] | None = None
 
     def schema(self) -> pa.Schema:
         schema = self._dataset.schema
@@ -61,13 +63,21 @@ class ParquetPager:
             schema = pa.schema([schema.field(c) for c in self._columns])
         return schema.remove_metadata()
 
-    def _row_groups(self) -> Iterator[tuple]:
-        start = 0
-        for fragment in sorted(self._dataset.get_fragments(), key=lambda f: f.path):
-            for group in fragment.split_by_row_group():
-                rows = group.count_rows()
-                yield start, rows, group
-                start += rows
+    def _row_groups(self) -> list[tuple]:
+        if self._groups is None:
+            self._groups, start = [], 0
+            for fragment in sorted(self._dataset.get_fragments(), key=lambda f: f.path):
+                for group in fragment.split_by_row_group():
+                    rows = group.count_rows()
+                    self._groups.append((start, rows, group))
+                    start += rows
+        return self._groups
+
+    def _table(self, start: int, group) -> pa.Table:
+        if self._held is None or self._held[0] != start:
+            table = group.to_table(columns=self._columns).replace_schema_metadata(None)
+            self._held = (start, table)
+        return self._held[1]
 
     def count(self) -> int:
         return self._dataset.count_rows()
@@ -77,8 +87,7 @@ class ParquetPager:
         for start, rows, group in self._row_groups():
             low, high = max(offset, start), min(offset + limit, start + rows)
             if low < high:
-                table = group.to_table(columns=self._columns).slice(low - start, high - low)
-                batches.extend(table.replace_schema_metadata(None).to_batches())
+                batches.extend(self._table(start, group).slice(low - start, high - low).to_batches())
         return batches
 
 
