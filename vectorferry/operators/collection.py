@@ -51,6 +51,10 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | N
         raise
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _check_run_id(run_id: str) -> str:
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
         raise ValueError(f"run id '{run_id}' may hold letters, digits, '_', '.' and '-' only")
@@ -90,7 +94,7 @@ def ensure_collection(spark: SparkSession, path: str, spec: CollectionSpec) -> D
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Committed batches; an absent ledger is empty, an unreadable one is an error."""
     found = _read(spark, f"{path}/ledger", LEDGER)
-    return spark.createDataFrame([], LEDGER) if found is None else found
+    return _empty(spark, LEDGER) if found is None else found
 
 
 def _commit(spark: SparkSession, path: str, run_id: str, batch_id: int, rows: int, bad: int) -> None:
@@ -115,6 +119,11 @@ def is_completed(spark: SparkSession, path: str, run_id: str) -> bool:
     return not done.isEmpty()
 
 
+def run_ids(ledger: DataFrame) -> set[str]:
+    """Runs in a ledger; the ledger has one row per batch, so this stays small."""
+    return {r["run_id"] for r in ledger.select("run_id").collect()}
+
+
 def batches(ledger: DataFrame) -> DataFrame:
     """Ledger rows of data batches, without completion marks."""
     return ledger.filter(F.col("batch_id") != COMPLETED)
@@ -189,9 +198,8 @@ def read_collection(spark: SparkSession, path: str, columns: list[str] | None =
     wanted = [n for n in TARGET.names if n in set(columns or TARGET.names) | {"id", "seq"}]
     rows = _committed(spark, path, quarantined=False)
     if rows is None:
-        return spark.createDataFrame([], TARGET).select(*wanted)
-    runs = {r["run_id"] for r in batches(read_ledger(spark, path)).select("run_id").distinct().collect()}
-    if runs <= {BASE_RUN}:
+        return _empty(spark, TARGET).select(*wanted)
+    if run_ids(batches(read_ledger(spark, path))) <= {BASE_RUN}:
         return rows.select(*wanted)
     rest = [n for n in wanted if n not in ("id", "seq", "batch_id")]
     merged = last_write_wins(
@@ -204,7 +212,7 @@ def read_collection(spark: SparkSession, path: str, columns: list[str] | None =
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Records that were set aside: ``(id, reason, raw)``."""
     rows = _committed(spark, path, quarantined=True)
-    return spark.createDataFrame([], QUARANTINE) if rows is None else rows.select(*QUARANTINE.names)
+    return _empty(spark, QUARANTINE) if rows is None else rows.select(*QUARANTINE.names)
 
 
 def compact(spark: SparkSession, path: str, new_path: str) -> None:

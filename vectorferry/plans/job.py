@@ -179,8 +179,8 @@ def current_run(spark: SparkSession, job: MigrationJob) -> str:
     ledger = collection.read_ledger(spark, job.target_path)
     runs = sorted(
         (int(m[1]), int(m[2]))
-        for r in ledger.select("run_id").distinct().collect()
-        if (m := re.fullmatch(r"run-(\d+)-of-(\d+)", r["run_id"]))
+        for run_id in collection.run_ids(ledger)
+        if (m := re.fullmatch(r"run-(\d+)-of-(\d+)", run_id))
     )
     if not runs or job.fresh:
         return _run_id(runs[-1][0] + 1 if runs else 1, job.batches)

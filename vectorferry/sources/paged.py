@@ -4,19 +4,20 @@ A pager answers two questions: how many rows there are, and which rows are in
 ``[offset, offset + limit)``. Page ranges are spread over tasks, so executors
 fetch in parallel; each fetch is retried. The built-in pager reads parquet; a
 pager for another store is a class named in the option ``pager`` as
-``module:Class`` and is given all options.
+``module:Class`` and is given all options, whose names are not case-sensitive.
 """
 
 from __future__ import annotations
 
 import importlib
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
+    CaseInsensitiveDict,
     DataSource,
     DataSourceReader,
     DataSourceStreamReader,
@@ -49,7 +50,7 @@ def with_retries(
 class ParquetPager:
     """Rows of parquet files in path order; reads the row groups a page needs, one at a time."""
 
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: Mapping[str, str]):
         import pyarrow.dataset as ds
 
         self._columns = [c.strip() for c in options["columns"].split(",")] if options.get("columns") else None
@@ -68,7 +69,7 @@ class ParquetPager:
             self._groups, start = [], 0
             for fragment in sorted(self._dataset.get_fragments(), key=lambda f: f.path):
                 for group in fragment.split_by_row_group():
-                    rows = group.count_rows()
+                    rows = group.row_groups[0].num_rows  # count_rows counts the whole file
                     self._groups.append((start, rows, group))
                     start += rows
         return self._groups
@@ -91,7 +92,7 @@ class ParquetPager:
         return batches
 
 
-def _pager(options: dict[str, str]):
+def _pager(options: Mapping[str, str]):
     name = options.get("pager")
     if not name:
         return ParquetPager(options)
@@ -102,12 +103,12 @@ def _pager(options: dict[str, str]):
 class _Pages:
     """Shared by the batch and the streaming reader."""
 
-    def __init__(self, options: dict[str, str]):
-        self.options = dict(options)
-        self.page_size = int(options.get("pageSize", 1000))
+    def __init__(self, options: Mapping[str, str]):
+        self.options = CaseInsensitiveDict(dict(options))
+        self.page_size = int(self.options.get("pageSize", 1000))
         if self.page_size <= 0:
             raise ValueError("pageSize must be positive")
-        self.pages_per_task = int(options.get("pagesPerTask", 64))
+        self.pages_per_task = int(self.options.get("pagesPerTask", 64))
 
     def ranges(self, start: int, stop: int) -> list[PageRange]:
         step = self.page_size * self.pages_per_task
@@ -129,10 +130,11 @@ class PagedReader(_Pages, DataSourceReader):
 class PagedStreamReader(_Pages, DataSourceStreamReader):
     """Offsets are row positions; a micro-batch takes at most ``maxRowsPerBatch``."""
 
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: Mapping[str, str]):
         super().__init__(options)
-        self.max_rows = int(options.get("maxRowsPerBatch", self.page_size * self.pages_per_task))
-        self.reached = int(options.get("startOffset", 0))
+        full = self.page_size * self.pages_per_task
+        self.max_rows = int(self.options.get("maxRowsPerBatch", full))
+        self.reached = int(self.options.get("startOffset", 0))
 
     def initialOffset(self) -> dict:
         return {"row": int(self.options.get("startOffset", 0))}
@@ -156,7 +158,7 @@ class PagedSource(DataSource):
         return "paged"
 
     def schema(self):
-        return from_arrow_schema(_pager(dict(self.options)).schema(), prefer_timestamp_ntz=True)
+        return from_arrow_schema(_pager(self.options).schema(), prefer_timestamp_ntz=True)
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options)
