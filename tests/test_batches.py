@@ -40,6 +40,17 @@ def test_positions_plan_has_no_single_partition(spark):
     assert "SinglePartition" not in text and "Window" not in text
 
 
+def test_range_partitions_follow_the_size(spark):
+    unknown = spark.createDataFrame([(1, "x")], "id int, s string").checkpoint()
+    assert batches._range_partitions(unknown) == 4
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
+    try:
+        assert batches._range_partitions(spark.range(1000)) == 80
+        assert batches._range_partitions(spark.range(10**9)) == batches.MAX_RANGES
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_positions_of_nothing(spark):
     assert positions(spark.range(0), "id") == []
 

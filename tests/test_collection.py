@@ -95,6 +95,19 @@ def test_batch_without_ledger_row_is_not_there(spark, path, monkeypatch):
     assert content(spark, path) == {"a": 9}
 
 
+def test_empty_batch_is_committed(spark, path):
+    upsert(frame(spark, ("a", 1, 0)).limit(0), path, "r", 0)
+    assert content(spark, path) == {} and read_ledger(spark, path).first()["rows"] == 0
+    upsert(frame(spark, ("a", 1, 0)), path, "r", 1)
+    assert content(spark, path) == {"a": 1}
+
+
+def test_later_run_wins_for_equal_seq(spark, path):
+    upsert(frame(spark, ("a", 1, 0)), path, "z", 7)
+    upsert(frame(spark, ("a", 2, 0)), path, "b", 0)
+    assert content(spark, path) == {"a": 2}
+
+
 def test_unreadable_ledger_is_an_error(spark, path):
     upsert(frame(spark, ("a", 1, 0)), path, "r", 0)
     folder = f"{path}/ledger/run_id=r/batch_id=0"

@@ -181,37 +181,49 @@ def last_write_wins(df: DataFrame, key: str = "id", order: list[str] | None = No
     )
 
 
-def _committed(spark: SparkSession, path: str, quarantined: bool) -> DataFrame | None:
-    data = _read(spark, f"{path}/data", STORED)
-    if data is None:
-        return None
-    ledger = batches(read_ledger(spark, path)).select("run_id", "batch_id", "committed_at")
-    return data.filter(F.col("quarantined") == quarantined).join(ledger, ["run_id", "batch_id"])
+def _committed(spark: SparkSession, path: str, quarantined: bool) -> tuple[DataFrame | None, list[str]]:
+    """Rows of the committed batches, and the runs in the order they started.
+
+    The ledger (one row per batch) says which folders to read, so that no join is
+    needed to leave out what was never committed.
+    """
+    ledger = batches(read_ledger(spark, path)).collect()
+    if not ledger:
+        return None, []
+    started: dict[str, object] = {}
+    for row in sorted(ledger, key=lambda r: r["committed_at"]):
+        started.setdefault(row["run_id"], row["committed_at"])
+    folders = [f"{path}/data/run_id={r['run_id']}/batch_id={r['batch_id']}" for r in ledger]
+    data = spark.read.schema(STORED).option("basePath", f"{path}/data").parquet(*sorted(folders))
+    return data.filter(F.col("quarantined") == quarantined), list(started)
 
 
 def read_collection(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """The collection as it stands: one row per id.
 
-    ``columns`` names what is needed beside ``id`` and ``seq``; only that is read and
-    shuffled. A compacted collection without later batches is read without merging.
+    The largest ``seq`` wins; for equal ones the run that started later, then the
+    later batch. ``columns`` names what is needed beside ``id`` and ``seq``; only that
+    is read and shuffled. A compacted collection without later batches is read
+    without merging.
     """
     wanted = [n for n in TARGET.names if n in set(columns or TARGET.names) | {"id", "seq"}]
-    rows = _committed(spark, path, quarantined=False)
+    rows, runs = _committed(spark, path, quarantined=False)
     if rows is None:
         return _empty(spark, TARGET).select(*wanted)
-    if run_ids(batches(read_ledger(spark, path))) <= {BASE_RUN}:
+    if runs == [BASE_RUN]:
         return rows.select(*wanted)
+    run_order = F.array_position(F.array(*[F.lit(r) for r in runs]), F.col("run_id"))
     rest = [n for n in wanted if n not in ("id", "seq", "batch_id")]
     merged = last_write_wins(
-        rows.select("id", "seq", "committed_at", "run_id", "batch_id", *rest),
-        order=["seq", "committed_at", "run_id", "batch_id"],
+        rows.select("id", "seq", run_order.alias("_run"), "batch_id", *rest),
+        order=["seq", "_run", "batch_id"],
     )
     return merged.select(*wanted)
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Records that were set aside: ``(id, reason, raw)``."""
-    rows = _committed(spark, path, quarantined=True)
+    rows, _ = _committed(spark, path, quarantined=True)
     return _empty(spark, QUARANTINE) if rows is None else rows.select(*QUARANTINE.names)
 
 

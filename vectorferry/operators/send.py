@@ -56,11 +56,13 @@ def send_records(
     retries: int = RETRIES,
     sleep: Callable[[float], None] = time.sleep,
     column: str = "record",
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Send the ``record`` column; one result row: chunks, rows and retries.
 
     ``sender`` runs once per task and returns the function that sends one chunk, so
-    a connection is opened on the executor. Tasks send in parallel. A chunk that
+    a connection is opened on the executor. Tasks send in parallel, ``parallelism`` of
+    them if given. A chunk that
     keeps failing fails its task and, once Spark gives up on it, the job; sending is
     at least once, so the store must overwrite by id.
     """
@@ -78,6 +80,9 @@ def send_records(
             "retries": pa.array([used], pa.int64()),
         })
 
-    return records.select(column).mapInArrow(run, REPORT).agg(
+    records = records.select(column)
+    if parallelism:
+        records = records.repartition(parallelism)
+    return records.mapInArrow(run, REPORT).agg(
         F.sum("chunks").alias("chunks"), F.sum("rows").alias("rows"), F.sum("retries").alias("retries")
     )

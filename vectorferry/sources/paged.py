@@ -26,6 +26,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import from_arrow_schema
 
 FETCH_ATTEMPTS = 5
+MAX_TASKS = 20_000
 
 
 @dataclass
@@ -48,7 +49,11 @@ def with_retries(
 
 
 class ParquetPager:
-    """Rows of parquet files in path order; reads the row groups a page needs, one at a time."""
+    """Rows of parquet files in path order; holds one row group at a time.
+
+    For sources that know positions only. Parquet itself is better read with
+    ``spark.read.parquet``, which prunes, pushes filters down and lists files once.
+    """
 
     def __init__(self, options: Mapping[str, str]):
         import pyarrow.dataset as ds
@@ -111,7 +116,9 @@ class _Pages:
         self.pages_per_task = int(self.options.get("pagesPerTask", 64))
 
     def ranges(self, start: int, stop: int) -> list[PageRange]:
-        step = self.page_size * self.pages_per_task
+        """Whole pages per task; more than asked for if there would be too many tasks."""
+        pages = -(-max(stop - start, 0) // self.page_size)
+        step = self.page_size * max(self.pages_per_task, -(-pages // MAX_TASKS))
         return [PageRange(a, min(a + step, stop)) for a in range(start, stop, step)]
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
