@@ -30,6 +30,11 @@ def test_sparse_from_map_with_text_keys_sorts_numerically(spark):
     assert got["indices"] == [9, 10]
 
 
+def test_unreadable_sparse_index_is_malformed_not_an_error(spark):
+    got = one(spark, {"x": 1.0}, "map<string,double>", lambda c: sparse.is_malformed(sparse.sparse_from_map(c)))
+    assert got is True
+
+
 @pytest.mark.parametrize("value, malformed, hybrid", [
     (([9, 2], [0.5, 1.5]), False, True),
     (([], []), False, False),

@@ -204,6 +204,19 @@ def test_stream_fails_then_goes_on(spark, records, files, path, tmp_path, expect
     assert written == before
 
 
+def test_stream_can_be_stopped_and_goes_on(spark, records, files, path, tmp_path, expected):
+    checkpoint = str(tmp_path / "cp")
+    query = streaming.start_stream(
+        stream(spark, files, records.schema), make_job(path), checkpoint, processing_time="1 second"
+    )
+    query.processAllAvailable()
+    query.stop()
+    assert view(spark, path) == expected
+    assert not collection.is_completed(spark, path, streaming.stream_run(checkpoint))
+    migrate_stream(stream(spark, files, records.schema), make_job(path), checkpoint)
+    assert view(spark, path) == expected
+
+
 def test_replayed_micro_batch_is_skipped(spark, records, path):
     job = make_job(path)
     write = streaming.batch_writer(job, "stream-x", DIMENSION)

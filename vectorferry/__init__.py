@@ -27,14 +27,14 @@ from vectorferry.sources import (
     register_paged,
     register_reader,
 )
-from vectorferry.streaming.job import migrate_stream
+from vectorferry.streaming.job import migrate_stream, start_stream
 
 __all__ = [
     "CollectionSpec", "MigrationJob", "batch_encoder", "compact", "encode_sparse",
     "ensure_collection", "last_write_wins", "migrate", "migrate_stream", "read_collection",
     "read_columnar_pages", "read_config", "read_field_records", "read_ledger", "read_points",
     "read_quarantine", "reader_for", "register_encoder", "register_paged", "register_reader",
-    "send_records", "sink_records", "upsert",
+    "send_records", "sink_records", "start_stream", "upsert",
 ]
 
 # Python that runs in tasks (readers, encoders, senders) is sent by value, so

@@ -24,7 +24,7 @@ def sparse_from_map(column: Column) -> Column:
     return _unzip(F.sort_array(F.transform(
         F.map_entries(column),
         lambda e: F.struct(
-            e["key"].cast("bigint").alias("index"), e["value"].cast("double").alias("value")
+            e["key"].try_cast("bigint").alias("index"), e["value"].try_cast("double").alias("value")
         ),
     )))
 
@@ -38,7 +38,7 @@ def sparse_from_struct(column: Column) -> Column:
     return _unzip(F.sort_array(F.transform(
         F.arrays_zip(column["indices"], column["values"]),
         lambda e: F.struct(
-            e["indices"].cast("bigint").alias("index"), e["values"].cast("double").alias("value")
+            e["indices"].try_cast("bigint").alias("index"), e["values"].try_cast("double").alias("value")
         ),
     )))
 

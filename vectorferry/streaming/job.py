@@ -6,6 +6,7 @@ import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from vectorferry.functions import payload as payload_functions
 from vectorferry.operators import collection, quality, report
@@ -47,30 +48,39 @@ def batch_writer(job: MigrationJob, run_id: str, dimension: int, fail_on_empty_t
     return write
 
 
-def migrate_stream(
+def start_stream(
     df: DataFrame,
     job: MigrationJob,
     checkpoint: str,
     fail_on_empty_text: bool = False,
     processing_time: str | None = None,
-) -> DataFrame:
-    """Move what a streaming source has by now and return the run's report.
+) -> StreamingQuery:
+    """Start moving what a streaming source has, and what it gets if ``processing_time`` is set.
 
-    Run again with the same ``checkpoint`` it goes on where it stopped; with nothing
-    new it writes nothing. ``checkpoint`` is new for a fresh start. For a source that
-    does not know an end give ``processing_time``: it then runs until stopped.
+    Started again with the same ``checkpoint`` it goes on where it stopped; ``stop()``
+    ends it after the micro-batch at hand or loses only that one.
     """
     check_stream_job(job)
-    spark = df.sparkSession
-    run_id = stream_run(checkpoint)
     canonical, dimension = setup(df, job)
     writer = canonical.writeStream.foreachBatch(
-        batch_writer(job, run_id, dimension, fail_on_empty_text)
+        batch_writer(job, stream_run(checkpoint), dimension, fail_on_empty_text)
     ).option("checkpointLocation", checkpoint)
     if processing_time:
-        writer.trigger(processingTime=processing_time).start().awaitTermination()
-    else:
-        writer.trigger(availableNow=True).start().awaitTermination()
+        return writer.trigger(processingTime=processing_time).start()
+    return writer.trigger(availableNow=True).start()
+
+
+def migrate_stream(
+    df: DataFrame, job: MigrationJob, checkpoint: str, fail_on_empty_text: bool = False
+) -> DataFrame:
+    """Move what a streaming source has by now and return the run's report.
+
+    With nothing new it writes nothing. A fresh start takes a new ``checkpoint``.
+    """
+    spark = df.sparkSession
+    run_id = stream_run(checkpoint)
+    start_stream(df, job, checkpoint, fail_on_empty_text).awaitTermination()
+    if not collection.is_completed(spark, job.target_path, run_id):
         collection.mark_completed(spark, job.target_path, run_id)
     ledger = collection.read_ledger(spark, job.target_path)
     return report.throughput(report.run_report(ledger.filter(F.col("run_id") == run_id)))
