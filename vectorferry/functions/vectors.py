@@ -23,8 +23,12 @@ def squared_norm(column: Column) -> Column:
 
 
 def has_bad_element(column: Column) -> Column:
-    """True when an element is null, NaN or infinite: JSON cannot carry those."""
-    return F.exists(
-        column,
-        lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")),
-    )
+    """True when an element is null, NaN or infinite: JSON cannot carry those.
+
+    ``array_contains`` is compiled, unlike a lambda per element, and is null for an
+    array that holds a null.
+    """
+    found = [
+        F.array_contains(column, F.lit(float(v)).cast("float")) for v in ("nan", "inf", "-inf")
+    ]
+    return column.isNotNull() & F.coalesce(found[0] | found[1] | found[2], F.lit(True))
