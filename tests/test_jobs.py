@@ -12,6 +12,7 @@ from vectorferry import (
     read_config,
     read_ledger,
     read_quarantine,
+    verify,
 )
 from vectorferry.operators import collection
 from vectorferry.operators import report as reports
@@ -96,7 +97,7 @@ def test_failed_batch_stops_and_resumes(spark, records, path, expected, monkeypa
     job = make_job(path, batches=3)
     with pytest.raises(RuntimeError, match="gone"):
         migrate(records, job)
-    run = current_run(spark, job)
+    run = current_run(read_ledger(spark, path).collect(), job)
     assert not collection.is_completed(spark, path, run)
     status = reports.run_report(read_ledger(spark, path)).first()
     assert (status["status"], status["batches"]) == ("interrupted", 1)
@@ -109,7 +110,7 @@ def test_failed_batch_stops_and_resumes(spark, records, path, expected, monkeypa
 def test_fresh_start_is_a_new_run(spark, records, path, expected):
     migrate(records, make_job(path))
     migrate(records, make_job(path, fresh=True))
-    assert collection.run_ids(read_ledger(spark, path)) == {"run-000001-of-1", "run-000002-of-1"}
+    assert {r["run_id"] for r in read_ledger(spark, path).collect()} == {"run-000001-of-1", "run-000002-of-1"}
     assert view(spark, path) == expected
 
 
@@ -133,6 +134,12 @@ def test_dimension_is_found_or_given(spark, path):
 def test_nothing_to_move(spark, path):
     with pytest.raises(ValueError, match="empty"):
         migrate(spark.createDataFrame([], "id int, v array<float>"), MigrationJob("milvus", path, "c"))
+    with pytest.raises(ValueError, match="empty"):
+        migrate(
+            spark.createDataFrame([], "id int, v array<float>"),
+            MigrationJob("milvus", path, "c", dimension=1),
+        )
+    path += "-none"
     with pytest.raises(ValueError, match="no record has an embedding"):
         migrate(spark.createDataFrame([(1, None)], "id int, v array<float>"), MigrationJob("milvus", path, "c"))
 
@@ -162,6 +169,21 @@ def test_hybrid_source_keeps_its_vectors(spark, path):
     assert read_config(spark, path).first()["space_type"] == "ip"
 
 
+def test_verify_sees_what_differs(spark, path):
+    columns = "id int, v array<float>, k string"
+    job = MigrationJob("milvus", path, "c", filter_fields="k")
+    migrate(spark.createDataFrame([(1, [1.0], "a"), (2, [2.0], "b"), (3, [3.0], "c")], columns), job)
+    now = spark.createDataFrame([(1, [1.0], "a"), (2, [2.0], "x"), (4, [4.0], "d")], columns)
+    got = {r["status"]: r["rows"] for r in verify(now, job).collect()}
+    assert got == {"same": 1, "changed": 1, "extra": 1, "missing": 1}
+
+
+def test_read_without_merging(spark, records, path):
+    migrate(records, make_job(path))
+    assert read_collection(spark, path, merge=False).count() == read_collection(spark, path).count() + 1
+    assert "Aggregate" not in plan(read_collection(spark, path, merge=False))
+
+
 # -- streams --------------------------------------------------------------------
 
 

@@ -18,7 +18,7 @@ from vectorferry.operators.collection import (
 )
 from vectorferry.operators.encode import batch_encoder, encode_sparse, register_encoder
 from vectorferry.operators.send import send_records
-from vectorferry.plans.job import MigrationJob, migrate
+from vectorferry.plans.job import MigrationJob, migrate, verify
 from vectorferry.sources import (
     read_columnar_pages,
     read_field_records,
@@ -34,7 +34,7 @@ __all__ = [
     "ensure_collection", "last_write_wins", "migrate", "migrate_stream", "read_collection",
     "read_columnar_pages", "read_config", "read_field_records", "read_ledger", "read_points",
     "read_quarantine", "reader_for", "register_encoder", "register_paged", "register_reader",
-    "send_records", "sink_records", "start_stream", "upsert",
+    "send_records", "sink_records", "start_stream", "upsert", "verify",
 ]
 
 # Python that runs in tasks (readers, encoders, senders) is sent by value, so

@@ -23,14 +23,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only where none is named (a local session) a folder is made up.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="vectorferry-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder
 
 

@@ -69,7 +69,8 @@ def read_config(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def config_frame(spark: SparkSession, spec: CollectionSpec) -> DataFrame:
-    return spark.createDataFrame([spec.row()], CONFIG)
+    values = zip(CONFIG.fields, spec.row())
+    return spark.range(1).select(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in values])
 
 
 def ensure_collection(spark: SparkSession, path: str, spec: CollectionSpec) -> DataFrame:
@@ -119,11 +120,6 @@ def is_completed(spark: SparkSession, path: str, run_id: str) -> bool:
     return not done.isEmpty()
 
 
-def run_ids(ledger: DataFrame) -> set[str]:
-    """Runs in a ledger; the ledger has one row per batch, so this stays small."""
-    return {r["run_id"] for r in ledger.select("run_id").collect()}
-
-
 def batches(ledger: DataFrame) -> DataFrame:
     """Ledger rows of data batches, without completion marks."""
     return ledger.filter(F.col("batch_id") != COMPLETED)
@@ -198,19 +194,22 @@ def _committed(spark: SparkSession, path: str, quarantined: bool) -> tuple[DataF
     return data.filter(F.col("quarantined") == quarantined), list(started)
 
 
-def read_collection(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_collection(
+    spark: SparkSession, path: str, columns: list[str] | None = None, merge: bool = True
+) -> DataFrame:
     """The collection as it stands: one row per id.
 
     The largest ``seq`` wins; for equal ones the run that started later, then the
     later batch. ``columns`` names what is needed beside ``id`` and ``seq``; only that
     is read and shuffled. A compacted collection without later batches is read
-    without merging.
+    without merging, and so is any with ``merge=False``, for who knows that no id
+    was sent twice.
     """
     wanted = [n for n in TARGET.names if n in set(columns or TARGET.names) | {"id", "seq"}]
     rows, runs = _committed(spark, path, quarantined=False)
     if rows is None:
         return _empty(spark, TARGET).select(*wanted)
-    if runs == [BASE_RUN]:
+    if not merge or runs == [BASE_RUN]:
         return rows.select(*wanted)
     run_order = F.array_position(F.array(*[F.lit(r) for r in runs]), F.col("run_id"))
     rest = [n for n in wanted if n not in ("id", "seq", "batch_id")]

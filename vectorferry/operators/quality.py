@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,13 +65,16 @@ def check_filter_fields(
 ) -> list[str]:
     """The field list; in strict mode an error if no record has one of them.
 
-    Each look-up ends at the first record that has the key; all keys are profiled
-    only to word the error.
+    Looking ends at the first record that has all of them, else for each field at the
+    first that has it; all keys are profiled only to word the error.
     """
     names = payload_functions.field_list(fields)
-    if strict:
+    if strict and names:
         key_map = payload_functions.entries(F.col(payload))
-        unknown = [n for n in names if df.filter(F.map_contains_key(key_map, n)).isEmpty()]
+        has = {n: F.map_contains_key(key_map, n) for n in names}
+        if not df.filter(reduce(and_, has.values())).isEmpty():
+            return names
+        unknown = [n for n in names if df.filter(has[n]).isEmpty()]
         if unknown:
             known = sorted(r["key"] for r in payload_key_profile(df, payload).select("key").collect())
             raise ValueError(f"unknown filter fields {unknown}; available: {known}")

@@ -122,6 +122,13 @@ ORACLES["payload_key_profile"] = """WITH kv AS (
   FROM events)
 SELECT key, count(*) AS rows, min(value) min_value, max(value) max_value FROM kv GROUP BY key"""
 
+ORACLES["payload_types"] = """WITH j AS (
+  SELECT to_json({'event_type': event_type, 'user_id': user_id,
+                  'k': json_extract_string(props, '$.k')::int}) j FROM events),
+kv AS (SELECT j, unnest(json_keys(j)) key FROM j)
+SELECT key, max(CASE json_type(j, '$.' || key) WHEN 'VARCHAR' THEN 'STRING' ELSE 'BIGINT' END) AS type
+FROM kv GROUP BY key"""
+
 # -- normalisation --------------------------------------------------------------
 
 ORACLES["norm_id"] = "SELECT event_id, event_id::varchar id FROM events"
@@ -254,6 +261,9 @@ ORACLES["migrate_points"] = ORACLES["src_points_unnamed"]
 
 ORACLES["migrate_pages"] = HYBRID_TERMS
 
+ORACLES["verify_migration"] = f"""WITH {RECORDS}
+SELECT 'same' status, count(embedding) AS rows FROM records"""
+
 # -- reports ------------------------------------------------------------------
 
 ORACLES["run_report"] = f"""WITH {RECORDS}, {MIXED}, {BATCHED}

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from vectorferry.functions import payload as payload_functions
@@ -174,22 +174,24 @@ def setup(df: DataFrame, job: MigrationJob) -> tuple[DataFrame, int]:
     return canonical, dimension
 
 
-def current_run(spark: SparkSession, job: MigrationJob) -> str:
+def current_run(ledger: list[Row], job: MigrationJob) -> str:
     """The batch run to resume, or a new one for a fresh start. Old runs are kept."""
-    ledger = collection.read_ledger(spark, job.target_path)
-    runs = sorted(
-        (int(m[1]), int(m[2]))
-        for run_id in collection.run_ids(ledger)
-        if (m := re.fullmatch(r"run-(\d+)-of-(\d+)", run_id))
-    )
+    runs = sorted({
+        (int(m[1]), int(m[2])) for r in ledger
+        if (m := re.fullmatch(r"run-(\d+)-of-(\d+)", r["run_id"]))
+    })
     if not runs or job.fresh:
         return _run_id(runs[-1][0] + 1 if runs else 1, job.batches)
     last = _run_id(*runs[-1])
-    if runs[-1][1] != job.batches and not collection.is_completed(spark, job.target_path, last):
+    if runs[-1][1] != job.batches and collection.COMPLETED not in batches_of(ledger, last):
         raise ValueError(f"{last} was started with another number of batches; use that or fresh=True")
     return last
 
 
+def batches_of(ledger: list[Row], run_id: str) -> set[int]:
+    return {r["batch_id"] for r in ledger if r["run_id"] == run_id}
+
+
 def _run_id(number: int, batches: int) -> str:
     return f"run-{number:06d}-of-{batches}"
 
@@ -204,16 +206,20 @@ def migrate(df: DataFrame, job: MigrationJob) -> DataFrame:
     """
     check_job(job)
     spark = df.sparkSession
-    run_id = current_run(spark, job)
-    if not collection.is_completed(spark, job.target_path, run_id):
-        _run(df, job, run_id)
+    known = collection.read_ledger(spark, job.target_path).collect()  # one row per batch
+    run_id = current_run(known, job)
+    done = batches_of(known, run_id)
+    if collection.COMPLETED not in done:
+        _run(df, job, run_id, done)
     ledger = collection.read_ledger(spark, job.target_path)
     return report.throughput(report.run_report(ledger.filter(F.col("run_id") == run_id)))
 
 
-def _run(df: DataFrame, job: MigrationJob, run_id: str) -> None:
+def _run(df: DataFrame, job: MigrationJob, run_id: str, done: set[int]) -> None:
     spark = df.sparkSession
     canonical, dimension = setup(df, job)
+    if job.dimension and not job.sparse_algo:  # else found while looking for size or text
+        quality.check_not_empty(canonical)
     fields = quality.check_filter_fields(canonical, job.filter_fields, strict=job.strict_filter_fields)
     average = job.average_length
     if job.sparse_algo:
@@ -221,8 +227,6 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str) -> None:
         if average is None:
             average = encode.average_length(canonical)
 
-    ledger = collection.batches(collection.read_ledger(spark, job.target_path))
-    done = {r["batch_id"] for r in ledger.filter(F.col("run_id") == run_id).collect()}
     if job.batches > 1:
         canonical = _lay_out(canonical, job, run_id)
     for batch_id in range(job.batches):
@@ -236,11 +240,29 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str) -> None:
     collection.mark_completed(spark, job.target_path, run_id)
 
 
+def verify(df: DataFrame, job: MigrationJob) -> DataFrame:
+    """Compare the source, put through the job's transformation, with the target.
+
+    Rows per status: same, changed, missing, extra. One shuffle of each side by id;
+    the merge by id and the join share it.
+    """
+    spark = df.sparkSession
+    canonical = read_source(df, job)
+    target = to_target(
+        canonical, find_dimension(canonical, job), job.filter_fields, job.sparse_algo, job.average_length
+    )
+    content = collection.CONTENT
+    expected = collection.last_write_wins(good_rows(target).select("id", "seq", *content))
+    actual = collection.read_collection(spark, job.target_path, content)
+    return report.reconcile(expected, actual, "id", content)
+
+
 def _lay_out(canonical: DataFrame, job: MigrationJob, run_id: str) -> DataFrame:
     """Canonical rows written once by batch; reused when the run is resumed.
 
     ``rebalance`` lets AQE split large batches and join small ones, so no task has
-    to hold a whole batch.
+    to hold a whole batch. The layout stays in the checkpoint folder, to be cleared
+    with it.
     """
     spark = canonical.sparkSession
     name = re.sub(r"[^A-Za-z0-9_.-]", "_", f"{job.target_path}-{run_id}-{job.batches}")

@@ -20,8 +20,8 @@ from vectorferry.functions import vectors
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.model import CollectionSpec
 from vectorferry.operators import batches, collection, encode, quality, report
-from vectorferry.operators.detect import detect_dimension, payload_key_profile
-from vectorferry.plans.job import MigrationJob, good_rows, migrate, read_source, to_target
+from vectorferry.operators.detect import detect_dimension, payload_key_profile, payload_types
+from vectorferry.plans.job import MigrationJob, good_rows, migrate, read_source, to_target, verify
 from vectorferry.sources import (
     read_columnar_pages,
     read_field_records,
@@ -329,6 +329,11 @@ def payload_key_profile_query(spark, folder):
     return payload_key_profile(payload)
 
 
+@query
+def payload_types_query(spark, folder):
+    return payload_types(table(spark, folder, "events").select(event_payload().alias("payload")))
+
+
 # -- normalisation --------------------------------------------------------------
 
 
@@ -694,6 +699,17 @@ def migrate_pages(spark, folder):
     )
 
 
+@query
+def verify_migration(spark, folder):
+    job = MigrationJob(
+        "milvus", scratch(spark), "documents", target_type="hybrid", sparse_algo="bm25",
+        text_field="text", dimension=DIMENSION, filter_fields="lang",
+    )
+    records = field_records(spark, folder)
+    migrate(records, job)
+    return verify(records, job)
+
+
 # -- reports ------------------------------------------------------------------
 
 
