@@ -169,6 +169,17 @@ def test_hybrid_source_keeps_its_vectors(spark, path):
     assert read_config(spark, path).first()["space_type"] == "ip"
 
 
+@pytest.mark.parametrize("typed, wanted", [
+    (False, {"k": "a", "n": 5}), (True, {"k": "a"}),
+])
+def test_typed_fields_filter_by_text_only(spark, path, typed, wanted):
+    rows = spark.createDataFrame([(1, [1.0], "a", 5)], "id int, v array<float>, k string, n int")
+    migrate(rows, MigrationJob("milvus", path, "c", filter_fields="k,n", typed_fields=typed))
+    got = read_collection(spark, path).first()
+    assert json.loads(got["filter"]) == wanted
+    assert {**json.loads(got["filter"]), **json.loads(got["meta"])} == {"k": "a", "n": 5}
+
+
 def test_verify_sees_what_differs(spark, path):
     columns = "id int, v array<float>, k string"
     job = MigrationJob("milvus", path, "c", filter_fields="k")
@@ -241,7 +252,7 @@ def test_stream_can_be_stopped_and_goes_on(spark, records, files, path, tmp_path
 
 def test_replayed_micro_batch_is_skipped(spark, records, path):
     job = make_job(path)
-    write = streaming.batch_writer(job, "stream-x", DIMENSION)
+    write = streaming.batch_writer(job, "stream-x", DIMENSION, ["lang"])
     canonical = read_source(records, job)
     write(canonical, 0)
     stamp = read_ledger(spark, path).first()["committed_at"]
@@ -265,8 +276,8 @@ def test_stream_can_stop_on_empty_text(spark, path):
     job = make_job(path, dimension=1, text_field="t", filter_fields=None, reader_options={})
     canonical = read_source(rows, job)
     with pytest.raises(ValueError, match="text"):
-        streaming.batch_writer(job, "stream-x", 1, fail_on_empty_text=True)(canonical, 0)
-    streaming.batch_writer(job, "stream-x", 1)(canonical, 0)
+        streaming.batch_writer(job, "stream-x", 1, [], fail_on_empty_text=True)(canonical, 0)
+    streaming.batch_writer(job, "stream-x", 1, [])(canonical, 0)
 
 
 # -- plans ------------------------------------------------------------------------

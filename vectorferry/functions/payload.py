@@ -70,12 +70,16 @@ def split(entry_map: Column, fields: Iterable[str]) -> tuple[Column, Column]:
     )
 
 
+def text_columns(schema: T.StructType, fields: Iterable[str]) -> list[str]:
+    """Those of the listed fields that are text columns."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return [n for n in fields if isinstance(types.get(n), T.StringType)]
+
+
 def split_typed(schema: T.StructType, names: Iterable[str], fields: Iterable[str]) -> tuple[Column, Column]:
     """Split typed columns: listed text columns -> filter; all else -> meta."""
-    wanted = set(fields)
-    types = {f.name: f.dataType for f in schema.fields}
-    names = list(names)
-    to_filter = [n for n in names if n in wanted and isinstance(types[n], T.StringType)]
+    names, wanted = list(names), set(fields)
+    to_filter = text_columns(schema, [n for n in names if n in wanted])
     return bundle(to_filter), bundle([n for n in names if n not in to_filter])
 
 

@@ -34,7 +34,8 @@ class MigrationJob:
     aside. Left out: it is taken from the existing target or found in an extra scan,
     which fails when sizes differ. ``batches`` > 1 splits a batch run into as many
     separately committed parts. ``parallelism`` spreads the rows over that many tasks
-    first, for a source with few large splits. ``fresh`` starts a new run instead of resuming.
+    first, for a source with few large splits. ``typed_fields`` lets only text columns
+    of field records become filters; other types go to ``meta``. ``fresh`` starts a new run instead of resuming.
     """
 
     source_db: str
@@ -48,6 +49,7 @@ class MigrationJob:
     average_length: float | None = None
     filter_fields: Iterable[str] | str | None = None
     strict_filter_fields: bool = True
+    typed_fields: bool = False
     dimension: int | None = None
     space_type: str | None = None
     source_metric: str | None = None
@@ -93,6 +95,12 @@ def read_source(df: DataFrame, job: MigrationJob) -> DataFrame:
     return reader_for(job.source_db, job.source_type)(df, source_type=job.source_type, **options)
 
 
+def filter_names(df: DataFrame, job: MigrationJob) -> list[str]:
+    """Fields that become filters."""
+    names = payload_functions.field_list(job.filter_fields)
+    return payload_functions.text_columns(df.schema, names) if job.typed_fields else names
+
+
 def to_target(
     canonical: DataFrame,
     dimension: int,
@@ -220,7 +228,8 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str, done: set[int]) -> None:
     canonical, dimension = setup(df, job)
     if job.dimension and not job.sparse_algo:  # else found while looking for size or text
         quality.check_not_empty(canonical)
-    fields = quality.check_filter_fields(canonical, job.filter_fields, strict=job.strict_filter_fields)
+    quality.check_filter_fields(canonical, job.filter_fields, strict=job.strict_filter_fields)
+    fields = filter_names(df, job)
     average = job.average_length
     if job.sparse_algo:
         quality.check_text(canonical)
@@ -249,7 +258,8 @@ def verify(df: DataFrame, job: MigrationJob) -> DataFrame:
     spark = df.sparkSession
     canonical = read_source(df, job)
     target = to_target(
-        canonical, find_dimension(canonical, job), job.filter_fields, job.sparse_algo, job.average_length
+        canonical, find_dimension(canonical, job), filter_names(df, job), job.sparse_algo,
+        job.average_length,
     )
     content = collection.CONTENT
     expected = collection.last_write_wins(good_rows(target).select("id", "seq", *content))

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vectorferry.functions import payload as payload_functions
 from vectorferry.operators import collection, quality, report
-from vectorferry.plans.job import MigrationJob, check_job, setup, to_target
+from vectorferry.plans.job import MigrationJob, check_job, filter_names, setup, to_target
 
 
 def check_stream_job(job: MigrationJob) -> None:
@@ -27,22 +26,26 @@ def stream_run(checkpoint: str) -> str:
     return "stream-" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
-def batch_writer(job: MigrationJob, run_id: str, dimension: int, fail_on_empty_text: bool = False):
+def batch_writer(
+    job: MigrationJob,
+    run_id: str,
+    dimension: int,
+    filter_fields: list[str],
+    fail_on_empty_text: bool = False,
+):
     """Function for ``foreachBatch``.
 
     A micro-batch that is replayed has the same rows: it is skipped if the ledger has
     it, else it overwrites its own folder. An error fails the query before its offset
     is committed.
     """
-    fields = payload_functions.field_list(job.filter_fields)
-
     def write(canonical: DataFrame, batch_id: int) -> None:
         ledger = collection.read_ledger(canonical.sparkSession, job.target_path)
         if not ledger.filter((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)).isEmpty():
             return
         if fail_on_empty_text and job.sparse_algo and not canonical.isEmpty():
             quality.check_text(canonical)
-        rows = to_target(canonical, dimension, fields, job.sparse_algo, job.average_length)
+        rows = to_target(canonical, dimension, filter_fields, job.sparse_algo, job.average_length)
         collection.write_batch(rows, job.target_path, run_id, batch_id)
 
     return write
@@ -63,7 +66,7 @@ def start_stream(
     check_stream_job(job)
     canonical, dimension = setup(df, job)
     writer = canonical.writeStream.foreachBatch(
-        batch_writer(job, stream_run(checkpoint), dimension, fail_on_empty_text)
+        batch_writer(job, stream_run(checkpoint), dimension, filter_names(df, job), fail_on_empty_text)
     ).option("checkpointLocation", checkpoint)
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()
