@@ -4,9 +4,10 @@ One hash of each shingle serves all signature bins; empty bins are filled by opt
 densification. Texts of equal shingle sets form a class that one document stands for.
 Documents that share a band meet in a bucket; each is paired with the bucket's smallest
 id only, so pairs grow with bucket sizes, not with their squares. Pairs are confirmed
-on whole shingle sets. Where a bucket still spans more than one confirmed component,
-all pairs of it that lie across components and may reach the threshold by size are
-confirmed as well, so a star loses no link.
+on whole shingle sets. Where a bucket still spans more than one confirmed component, a
+star may have lost a link between two of its points: members outside the bucket's
+largest component are compared with those of other components by size and by one bit of
+each bin, and the few that may reach the threshold are confirmed as well.
 """
 
 from __future__ import annotations
@@ -30,18 +31,22 @@ NO_BIN = np.uint64(0xFFFFFFFFFFFFFFFF)
 class MinHash:
     """Settings. Linked: ``100 * intersection >= percent * union``.
 
-    ``bands * rows`` bins, a power of two. With 32 bands of 4 rows a pair at 0.8 is
-    missed by all bands about once in 10 million, one at 0.85 far less often.
+    With 40 bands of 6 rows a pair at 0.8 shares no band about 5 times in a million, one
+    at 0.85 far less often. ``bins`` is a power of two, a multiple of 64 and at least
+    ``bands * rows``.
     """
 
     shingle: int = 5
     percent: int = 80
-    bands: int = 32
-    rows: int = 4
+    bands: int = 40
+    rows: int = 6
+    bins: int = 1024
 
     @property
-    def bins(self) -> int:
-        return self.bands * self.rows
+    def most_unlike(self) -> int:
+        """Bits of the sketches in which linked sets may differ: the mean and 4.5 deviations."""
+        unlike = (1 - self.percent / 100) / 2
+        return int(self.bins * unlike + 4.5 * (self.bins * unlike * (1 - unlike)) ** 0.5)
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, texts: int, bins: int) -> np.ndarray:
@@ -64,7 +69,7 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, texts: int, bins: int) ->
     attempt = 0
     while len(rows):
         attempt += 1
-        seed = cols.astype(np.uint64) * np.uint64(bins * 64 + 1) + np.uint64(attempt) * np.uint64(0x9E3779B97F4A7C15)
+        seed = cols.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(attempt << 32)
         target = (kernels.mix64(seed) >> shift).astype(np.int64)
         found = filled[rows, target]
         table[rows[found], cols[found]] = table[rows[found], target[found]]
@@ -75,12 +80,18 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, texts: int, bins: int) ->
 def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per text and band; the band's number is part of it."""
     keys = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[None, :], len(table), axis=0)
-    shaped = table.reshape(len(table), bands, rows)
+    shaped = table[:, : bands * rows].reshape(len(table), bands, rows)
     for j in range(rows):
         keys = kernels.mix64(keys * np.uint64(0xD6E8FEB86659FD93) + shaped[:, :, j])
     return keys.view(np.int64)
 
 
+def sketch_bits(table: np.ndarray) -> np.ndarray:
+    """One bit of each bin, packed into 64-bit numbers."""
+    bits = np.packbits((kernels.mix64(table) & np.uint64(1)).astype(np.uint8), axis=1)
+    return bits.view(np.int64)
+
+
 def _sums(values: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
     running = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values, dtype=np.uint64, out=running[1:])
@@ -89,6 +100,10 @@ def _sums(values: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
     return total.view(np.int64)
 
 
+def _bit_names(setting: MinHash) -> list[str]:
+    return [f"b{i}" for i in range(setting.bins // 64)]
+
+
 def _signature_task(setting: MinHash):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, powers, separators = kernels.byte_codes(), kernels.Powers(), kernels.separator_table()
@@ -96,7 +111,8 @@ def _signature_task(setting: MinHash):
             words = kernels.Words(data, offsets, codes, powers, separators)
             hashes, owner = kernels.shingle_sets(words, setting.shingle)
             n = np.bincount(owner, minlength=rows.num_rows)
-            keys = band_keys(signatures(hashes, owner, rows.num_rows, setting.bins), setting.bands, setting.rows)
+            table = signatures(hashes, owner, rows.num_rows, setting.bins)
+            keys, bits = band_keys(table, setting.bands, setting.rows), sketch_bits(table)
             yield pa.RecordBatch.from_arrays([
                 rows.column(0),
                 pa.array(n.astype(np.int64)),
@@ -104,7 +120,8 @@ def _signature_task(setting: MinHash):
                 pa.array(_sums(kernels.mix64(hashes ^ np.uint64(0x5851F42D4C957F2D)), owner, rows.num_rows)),
                 pa.ListArray.from_arrays(
                     np.arange(0, keys.size + 1, setting.bands, dtype=np.int32), pa.array(keys.reshape(-1))),
-            ], names=["id", "n", "h1", "h2", "keys"])
+                *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])],
+            ], names=["id", "n", "h1", "h2", "keys", *_bit_names(setting)])
     return run
 
 
@@ -158,18 +175,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     signed = materialize(
-        source.mapInArrow(_signature_task(setting), f"id {kind}, n long, h1 long, h2 long, keys array<long>"),
+        source.mapInArrow(_signature_task(setting), f"id {kind}, n long, h1 long, h2 long, keys array<long>, "
+                           + ", ".join(f"{b} long" for b in _bit_names(setting))),
         "signatures",
     )
     named = signed.filter("id is not null")
-    one = named.groupBy("id").agg(F.max(F.struct("n", "h1", "h2")).alias("w")).select("id", "w.*")
+    one = named.select("id", "n", "h1", "h2").groupBy("id").agg(F.max(F.struct("n", "h1", "h2")).alias("w")).select("id", "w.*")
     filled = one.filter("n > 0")
-    classes = filled.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"))
+    classes = materialize(filled.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")), "representatives")
     member = materialize(filled.join(classes, ["n", "h1", "h2"]).select("id", "n", "h1", "h2", "rep"), "classes")
 
     stands = member.filter("id = rep").select("id", "n", "h1", "h2")
-    rows = stands.join(named.dropDuplicates(["id", "n", "h1", "h2"]), ["id", "n", "h1", "h2"]).select(
-        "id", "n", F.explode("keys").alias("bucket"))
+    signature = stands.join(named, ["id", "n", "h1", "h2"])
+    rows = signature.select("id", "n", F.explode("keys").alias("bucket")).distinct()
     shared = rows.groupBy("bucket").agg(F.min("id").alias("center"), F.count("id").alias("size")).filter("size > 1")
     buckets = materialize(rows.join(shared.drop("size"), "bucket"), "buckets")
     candidates = buckets.select("id").distinct().join(stands.select("id", "n", "h1"), "id")
@@ -187,7 +205,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .select("bucket", "id", "n", F.coalesce("component", "id").alias("c")),
         "labelled",
     )
-    across = materialize(_across_components(labelled, setting.percent).distinct(), "across")
+    bits = signature.select("id", *_bit_names(setting)).dropDuplicates(["id"])
+    across = materialize(_across_components(labelled, bits, setting).distinct(), "across")
     if not across.isEmpty():
         more = _confirmed(across.join(star, ["a", "b"], "left_anti"), sets, kind, setting)
         found = connected_components(links.unionByName(more))
@@ -208,8 +227,9 @@ def _may_link(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _across_components(labelled: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components, one side outside the bucket's largest.
+def _across_components(labelled: DataFrame, bits: DataFrame, setting: MinHash) -> DataFrame:
+    """Pairs of a bucket in different components, one side outside the bucket's largest,
+    that may be linked by their sizes and sketches.
 
     Every pair across components has such a side, and members of one component need
     no further link, so a bucket that a component fills gives no pair.
@@ -218,11 +238,15 @@ def _across_components(labelled: DataFrame, percent: int) -> DataFrame:
     largest = held.groupBy("bucket").agg(
         F.max(F.struct("k", "c")).alias("w"), F.count("c").alias("kinds")).filter("kinds > 1")
     mixed = labelled.join(largest.select("bucket", F.col("w.c").alias("most")), "bucket")
+    mixed = materialize(mixed.join(bits, "id"), "mixed")
+    names = _bit_names(setting)
     few = mixed.filter("c <> most").select(
-        "bucket", F.col("id").alias("i"), F.col("n").alias("p"), F.col("c").alias("ci"))
-    return few.join(mixed, "bucket").filter(
-        (F.col("ci") != F.col("c")) & _may_link("p", "n", percent)
-    ).select(F.greatest("i", "id").alias("a"), F.least("i", "id").alias("b"))
+        "bucket", F.col("id").alias("i"), F.col("n").alias("p"), F.col("c").alias("d"),
+        *[F.col(b).alias(f"o{b}") for b in names])
+    unlike = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"o{b}"))) for b in names), F.lit(0))
+    like = (few["d"] != mixed["c"]) & _may_link("p", "n", setting.percent) & (unlike <= setting.most_unlike)
+    return few.join(mixed, (few["bucket"] == mixed["bucket"]) & like).select(
+        F.greatest("i", "id").alias("a"), F.least("i", "id").alias("b"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, kind: str, setting: MinHash) -> DataFrame:
