@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vectorferry.llm import minhash
+from vectorferry.llm import decontaminate, language, lines, minhash, mixing
+from vectorferry.llm.store import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +27,90 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents at 85 % of shingles."""
     return minhash.near_duplicates(table(spark, folder, "documents"), setting=minhash.MinHash(percent=85))
+
+
+@query
+def op1_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words taken from each document for a mix of sources at 5, 2, 1."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    sized = materialize(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")), "sizes")
+    mixed = mixing.mix_sources(sized, size_column="words")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+ORACLES["op1_source_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS s,
+         [5, 2, 1][((row_number() OVER (ORDER BY source IS NULL, source COLLATE "binary") - 1) % 3 + 1)::INT] AS w
+  FROM sized GROUP BY source
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY 3.0 * s / w, source IS NULL, source) AS k FROM sources
+), cut AS (
+  SELECT k,
+    ((SELECT sum(s) FROM sources) - coalesce(sum(3 * s) OVER before, 0))::DOUBLE
+      / ((SELECT sum(w) FROM sources) - coalesce(sum(w) OVER before, 0)) AS level
+  FROM ranked WINDOW before AS (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), chosen AS (
+  SELECT min_by(level, k) AS level FROM cut JOIN ranked USING (k) WHERE 3 * s > w * level
+), targets AS (
+  SELECT source, s, CASE WHEN s > 0 THEN least((3 * s)::DOUBLE, w * coalesce(level, 0)) ELSE 0 END AS target
+  FROM sources, chosen
+), placed AS (
+  SELECT d.doc_id, d.size, d.source, t.s AS source_size, t.target,
+    CASE WHEN t.s > 0 THEN t.target / t.s ELSE 0 END AS rate,
+    row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) - 1 AS pos,
+    ('0x' || substr(md5('0|' || coalesce('s' || d.source, 'n')), 1, 5))::INT / 1048576.0::DOUBLE AS shift
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), copied AS (
+  SELECT *, least(floor(shift + (pos + 1) * rate) - floor(shift + pos * rate), 3)::BIGINT AS copies FROM placed
+)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM copied
+"""
+
+
+@query
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of a benchmark item that tiles cover, for all documents."""
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from four fifths of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = language.train(docs.filter(~held_out))
+    return language.label_spans(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without lines that many sources share."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLES["op10_line_dedup"] = r"""
+WITH all_lines AS (
+  SELECT doc_id, source, generate_subscripts(parts, 1) - 1 AS pos, unnest(parts) AS part
+  FROM (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL)
+), trimmed AS (
+  SELECT *, trim(part, ' ' || chr(9) || chr(13)) AS line FROM all_lines
+), spread AS (
+  SELECT line FROM trimmed WHERE line <> '' GROUP BY line
+  HAVING count(DISTINCT coalesce('s' || source, 'n')) >= CASE WHEN length(line) >= 200 THEN 3 ELSE 8 END
+), firsts AS (
+  SELECT line, min((doc_id, pos)) AS f FROM trimmed JOIN spread USING (line) GROUP BY line
+), judged AS (
+  SELECT t.*, f.f IS NOT NULL AND f.f <> (t.doc_id, t.pos) AS gone FROM trimmed t LEFT JOIN firsts f USING (line)
+), rebuilt AS (
+  SELECT doc_id, count(*) FILTER (WHERE line <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(part, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       CASE WHEN d.text IS NULL THEN NULL ELSE r.text END AS text
+FROM documents d LEFT JOIN rebuilt r USING (doc_id)
+"""
