@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorferry.llm import decontaminate, language, lines, minhash, mixing
+from vectorferry.llm import decontaminate, embedding_dedup, language, lines, minhash, mixing
 from vectorferry.llm.store import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,9 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
        CASE WHEN d.text IS NULL THEN NULL ELSE r.text END AS text
 FROM documents d LEFT JOIN rebuilt r USING (doc_id)
 """
+
+
+@query
+def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9."""
+    return embedding_dedup.near_duplicate_vectors(table(spark, folder, "embeddings"))
