@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20  # bytes of text held in working arrays at a time; a longer text is held alone
+CHUNK_ROWS = 2048  # and texts
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -67,7 +68,7 @@ def separator_table(separators: tuple[int, ...] = SEPARATORS) -> np.ndarray:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows with the bytes and offsets of their texts, at most ``CHUNK_BYTES`` at a time.
+    """Rows with the bytes and offsets of their texts, at most ``CHUNK_BYTES`` and ``CHUNK_ROWS`` at a time.
 
     A null text counts as empty. Texts are never cut.
     """
@@ -81,7 +82,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         first = 0
         while first < len(texts):
             last = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, side="right")) - 1
-            last = min(max(last, first + 1), len(texts))
+            last = min(max(last, first + 1), first + CHUNK_ROWS, len(texts))
             begin, end = offsets[first], offsets[last]
             yield batch.slice(first, last - first), data[begin:end], offsets[first: last + 1] - begin
             first = last

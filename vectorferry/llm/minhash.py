@@ -6,8 +6,8 @@ Documents that share a band meet in a bucket; each is paired with the bucket's s
 id only, so pairs grow with bucket sizes, not with their squares. Pairs are confirmed
 on whole shingle sets. Where a bucket still spans more than one confirmed component, a
 star may have lost a link between two of its points: members outside the bucket's
-largest component are compared with those of other components by size and by one bit of
-each bin, and the few that may reach the threshold are confirmed as well.
+largest component are compared with those of other components by size and by an odd
+sketch of their sets, and the few that may reach the threshold are confirmed as well.
 """
 
 from __future__ import annotations
@@ -32,21 +32,16 @@ class MinHash:
     """Settings. Linked: ``100 * intersection >= percent * union``.
 
     With 40 bands of 6 rows a pair at 0.8 shares no band about 5 times in a million, one
-    at 0.85 far less often. ``bins`` is a power of two, a multiple of 64 and at least
-    ``bands * rows``.
+    at 0.85 far less often. ``bins`` is a power of two and at least ``bands * rows``,
+    ``sketch`` a multiple of 64.
     """
 
     shingle: int = 5
     percent: int = 80
     bands: int = 40
     rows: int = 6
-    bins: int = 1024
-
-    @property
-    def most_unlike(self) -> int:
-        """Bits of the sketches in which linked sets may differ: the mean and 4.5 deviations."""
-        unlike = (1 - self.percent / 100) / 2
-        return int(self.bins * unlike + 4.5 * (self.bins * unlike * (1 - unlike)) ** 0.5)
+    bins: int = 256
+    sketch: int = 1024
 
 
 def signatures(hashes: np.ndarray, owner: np.ndarray, texts: int, bins: int) -> np.ndarray:
@@ -86,10 +81,14 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sketch_bits(table: np.ndarray) -> np.ndarray:
-    """One bit of each bin, packed into 64-bit numbers."""
-    bits = np.packbits((kernels.mix64(table) & np.uint64(1)).astype(np.uint8), axis=1)
-    return bits.view(np.int64)
+def odd_sketches(hashes: np.ndarray, owner: np.ndarray, texts: int, bits: int) -> np.ndarray:
+    """Parity of the number of shingles at each of ``bits`` places, packed into 64-bit numbers.
+
+    The places where two sketches differ tell the size of the symmetric difference.
+    """
+    place = (kernels.mix64(hashes ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(owner * bits + place, minlength=texts * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(texts, bits), axis=1).view(np.int64)
 
 
 def _sums(values: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
@@ -101,7 +100,7 @@ def _sums(values: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
 
 
 def _bit_names(setting: MinHash) -> list[str]:
-    return [f"b{i}" for i in range(setting.bins // 64)]
+    return [f"b{i}" for i in range(setting.sketch // 64)]
 
 
 def _signature_task(setting: MinHash):
@@ -112,7 +111,8 @@ def _signature_task(setting: MinHash):
             hashes, owner = kernels.shingle_sets(words, setting.shingle)
             n = np.bincount(owner, minlength=rows.num_rows)
             table = signatures(hashes, owner, rows.num_rows, setting.bins)
-            keys, bits = band_keys(table, setting.bands, setting.rows), sketch_bits(table)
+            keys = band_keys(table, setting.bands, setting.rows)
+            bits = odd_sketches(hashes, owner, rows.num_rows, setting.sketch)
             yield pa.RecordBatch.from_arrays([
                 rows.column(0),
                 pa.array(n.astype(np.int64)),
@@ -227,6 +227,15 @@ def _may_link(n: str, m: str, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _most_unlike(n: str, m: str, setting: MinHash):
+    """Places in which the sketches of linked sets may differ: the mean for the largest
+    symmetric difference that links, and 4.5 deviations."""
+    size = setting.sketch
+    x = (F.col(n) + F.col(m)) * ((100 - setting.percent) / (100 + setting.percent)) * (2 / size)
+    spread = (size / 4) * (1 - F.exp(-2 * x) - 2 * x * F.exp(-2 * x))
+    return (size / 2) * (1 - F.exp(-x)) + 4.5 * F.sqrt(F.greatest(spread, F.lit(0.0))) + 1
+
+
 def _across_components(labelled: DataFrame, bits: DataFrame, setting: MinHash) -> DataFrame:
     """Pairs of a bucket in different components, one side outside the bucket's largest,
     that may be linked by their sizes and sketches.
@@ -244,7 +253,7 @@ def _across_components(labelled: DataFrame, bits: DataFrame, setting: MinHash) -
         "bucket", F.col("id").alias("i"), F.col("n").alias("p"), F.col("c").alias("d"),
         *[F.col(b).alias(f"o{b}") for b in names])
     unlike = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"o{b}"))) for b in names), F.lit(0))
-    like = (few["d"] != mixed["c"]) & _may_link("p", "n", setting.percent) & (unlike <= setting.most_unlike)
+    like = (few["d"] != mixed["c"]) & _may_link("p", "n", setting.percent) & (unlike <= _most_unlike("p", "n", setting))
     return few.join(mixed, (few["bucket"] == mixed["bucket"]) & like).select(
         F.greatest("i", "id").alias("a"), F.least("i", "id").alias("b"))
 
