@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorferry.llm import chat, decontaminate, embedding_dedup, language, lines, minhash, mixing
+from vectorferry.llm import chat, decontaminate, embedding_dedup, language, lines, minhash, mixing, toxicity
 from vectorferry.llm.store import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,14 @@ SELECT conv_id, count(*) AS n_turns,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents, learned from three quarters of the labels."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    grams = toxicity.train_characters(docs)
+    classifier = toxicity.train_classifier(docs, labels.filter(~held_out), grams)
+    scored = toxicity.score_toxicity(docs, grams, classifier)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
