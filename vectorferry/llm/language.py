@@ -282,9 +282,14 @@ def label_spans(docs: DataFrame, model: Model, text_column: str = "text", keep:
     return found.select(*[F.col(k).alias(n) for n, k in zip(keep, names)], "lang_pred", "score", "spans")
 
 
-def drop_unidentified(docs: DataFrame, model: Model, text_column: str = "text", least: float = 0.5,
+def drop_unidentified(docs: DataFrame, model: Model, text_column: str = "text", least: float = 0.3,
                       penalty: float = 12.0) -> DataFrame:
-    """The rows that hold a language for most of their letters; all columns."""
+    """The rows whose language scores at least ``least``; all columns.
+
+    Rows without a letter go. If no language was learned, all others stay.
+    """
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)))
     labelled = label_spans(docs.toDF(*(f"_c{i}" for i in range(len(docs.columns)))), model,
                            f"_c{docs.columns.index(text_column)}", tuple(f"_c{i}" for i in range(len(docs.columns))), penalty)
     staying = labelled.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorferry.llm import chat, decontaminate, embedding_dedup, language, lines, minhash, mixing, toxicity
+from vectorferry.llm import chat, decontaminate, embedding_dedup, language, licenses, lines, minhash, mixing, quality, toxicity
 from vectorferry.llm.store import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,21 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     classifier = toxicity.train_classifier(docs, labels.filter(~held_out), grams)
     scored = toxicity.score_toxicity(docs, grams, classifier)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in all documents."""
+    docs = table(spark, folder, "documents")
+    return licenses.scan_licenses(docs, licenses.train(docs)).select(
+        "doc_id", "license", F.size("found").alias("n_notices"))
+
+
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, with sources as hosts and languages as their paths."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = quality.train(docs, labels.filter(~held_out))
+    return quality.score_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "good", "evidence", "path_posterior", "host_posterior")
