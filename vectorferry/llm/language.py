@@ -236,7 +236,10 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             most = letters == letters.max(axis=1)[:, None]
             pick = np.where(most, total, -np.inf).argmax(axis=1)
             rows = np.arange(texts)
-            chance = np.exp(np.minimum(0, total - total[rows, pick][:, None]))
+            own = np.zeros_like(total)  # over the words that the path gives to the language
+            mine = labels == pick[words.owner]
+            np.add.at(own, words.owner[mine], scores[mine].astype(np.float64))
+            chance = np.exp(np.minimum(0, own - own[rows, pick][:, None]))
             share = letters[rows, pick] / np.maximum(1, letters.sum(axis=1))
             score = np.where(has, share / np.maximum(1, chance.sum(axis=1)), 0.0)
             known = has & (langs > 0)
@@ -264,8 +267,8 @@ def label_spans(docs: DataFrame, model: Model, text_column: str = "text", keep:
 
     ``lang_pred`` is the language with most letters on the path; of equal ones the
     one with the larger sum of word scores, then the first by name. ``score`` is its
-    share of the letters times its probability among all languages for the whole
-    text. Spans are in code points, from the first letter of their first word to the
+    share of the letters times its probability among all languages for the words that
+    the path gives to it. Spans are in code points, from the first letter of their first word to the
     end of their last one. A null or empty text, or one without a letter, is ``und``
     with score 0 and no spans; so is every text if nothing was learned. Each row has
     its own result, also if rows repeat.
