@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.operators import batches, report
-from vectorferry.operators.collection import COMPLETED, last_write_wins
+from vectorferry.operators.collection import COMPLETED, FAILED, STARTED, last_write_wins
 from vectorferry.model import LEDGER
 
 
@@ -40,17 +40,6 @@ def test_positions_plan_has_no_single_partition(spark):
     assert "SinglePartition" not in text and "Window" not in text
 
 
-def test_range_partitions_follow_the_size(spark):
-    unknown = spark.createDataFrame([(1, "x")], "id int, s string").checkpoint()
-    assert batches._range_partitions(unknown) == 4
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "100b")
-    try:
-        assert batches._range_partitions(spark.range(1000)) == 80
-        assert batches._range_partitions(spark.range(10**9)) == batches.MAX_RANGES
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def test_positions_of_nothing(spark):
     assert positions(spark.range(0), "id") == []
 
@@ -88,21 +77,11 @@ def test_hash_of_number_and_text_id_agree(spark):
 
 def test_pending_leaves_out_done_batches(spark):
     rows = spark.range(10).withColumn("batch_id", F.col("id") % 5)
-    ledger = spark.createDataFrame([("a", 1, 2, 0, None), ("b", 3, 2, 0, None)], LEDGER)
+    ledger = spark.createDataFrame([("a", 1, 2, 0, *[None] * 5), ("b", 3, 2, 0, *[None] * 5)], LEDGER)
     assert {r["batch_id"] for r in batches.pending(rows, ledger, "a").collect()} == {0, 2, 3, 4}
     assert {r["batch_id"] for r in batches.pending(rows, ledger).collect()} == {0, 2, 4}
 
 
-def test_spread_leaves_large_inputs(spark):
-    small = spark.range(10, numPartitions=1)
-    assert batches.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")
-    try:
-        assert batches.spread(small).rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
 def test_hot_id_is_reduced_before_the_shuffle(spark):
     frame = spark.range(1000).select(F.lit("hot").alias("id"), F.col("id").alias("seq"))
     text = last_write_wins(frame)._jdf.queryExecution().executedPlan().toString()
@@ -111,20 +90,24 @@ def test_hot_id_is_reduced_before_the_shuffle(spark):
 
 
 def ledger(spark, *rows):
-    return spark.createDataFrame(rows, "run_id string, batch_id bigint, rows bigint, quarantined bigint, t bigint").select(
-        "run_id", "batch_id", "rows", "quarantined", F.timestamp_seconds("t").alias("committed_at")
-    )
+    columns = "run_id string, batch_id bigint, rows bigint, quarantined bigint, a bigint, b bigint"
+    return spark.createDataFrame(rows, columns).select(
+        "run_id", "batch_id", "rows", "quarantined", F.timestamp_seconds("a").alias("started_at"),
+        F.timestamp_seconds("b").alias("committed_at"))
 
 
 def test_run_report_and_throughput(spark):
-    done = ledger(spark, ("a", 0, 60, 0, 100), ("a", 1, 40, 0, 104), ("a", COMPLETED, 0, 0, 105),
-                  ("b", 0, 5, 1, 7), ("c", 0, 5, 1, 7), ("c", COMPLETED, 0, 0, 7))
+    done = ledger(
+        spark, ("a", STARTED, 0, 0, 90, 91), ("a", 0, 60, 0, 100, 104), ("a", 1, 40, 0, 200, 205), ("a", COMPLETED, 0, 0, 205, 205),
+        ("b", 0, 5, 1, 7, 7), ("c", 0, 5, 1, 7, 7), ("c", COMPLETED, 0, 0, 7, 7),
+        ("d", 0, 5, 0, 1, 2), ("d", FAILED, 0, 0, 3, 3), ("e", FAILED, 0, 0, 3, 3), ("e", 0, 5, 0, 4, 5))
     got = {r["run_id"]: r for r in report.throughput(report.run_report(done)).collect()}
     assert (got["a"]["batches"], got["a"]["upserted"], got["a"]["status"]) == (2, 100, "completed")
-    assert got["a"]["records_per_second"] == 20.0
+    assert got["a"]["seconds"] == 10.0 and got["a"]["records_per_second"] == 10.0
     assert got["b"]["status"] == "interrupted" and got["c"]["status"] == "completed with errors"
+    assert got["d"]["status"] == "failed" and got["e"]["status"] == "interrupted"
     assert got["c"]["records_per_second"] is None
-    assert report.batch_report(done).count() == 4
+    assert report.batch_report(done).count() == 6
 
 
 def test_reconcile(spark):

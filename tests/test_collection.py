@@ -1,5 +1,6 @@
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,11 +63,65 @@ def test_higher_seq_wins_over_a_later_batch(spark, path):
 def test_same_batch_twice_changes_nothing(spark, path):
     rows = frame(spark, ("a", 1, 0), ("a", 2, 1), ("b", 5, 0))
     for _ in range(2):
-        upsert(rows, path, "r", 0)
+        upsert(rows, path, "r", 0, replace=True)
         assert content(spark, path) == {"a": 2, "b": 5}
         assert read_ledger(spark, path).count() == 1
 
 
+def test_a_further_batch_adds(spark, path):
+    assert upsert(frame(spark, ("a", 1, 0)), path, "r") == 0
+    assert upsert(frame(spark, ("b", 2, 0)), path, "r") == 1
+    assert content(spark, path) == {"a": 1, "b": 2}
+    with pytest.raises(ValueError, match="is committed"):
+        upsert(frame(spark, ("c", 3, 0)), path, "r", 1)
+    upsert(frame(spark, ("c", 3, 0)), path, "r", 1, replace=True)
+    assert content(spark, path) == {"a": 1, "c": 3}
+
+
+def test_failed_resend_keeps_what_was_committed(spark, path):
+    upsert(frame(spark, ("a", 1, 0), ("b", 2, 0)), path, "r", 0)
+    broken = frame(spark, ("a", 9, 0)).withColumn("meta", F.raise_error(F.lit("gone")).cast("string"))
+    with pytest.raises(Exception, match="gone"):
+        upsert(broken, path, "r", 0, replace=True)
+    assert content(spark, path) == {"a": 1, "b": 2} and read_ledger(spark, path).first()["rows"] == 2
+
+
+def test_resend_does_not_change_the_winner(spark, path):
+    upsert(frame(spark, ("x", 1, 0)), path, "a", 0)
+    upsert(frame(spark, ("x", 2, 0)), path, "b", 0)
+    upsert(frame(spark, ("x", 1, 0)), path, "a", 0, replace=True)
+    assert content(spark, path) == {"x": 2}
+
+
+def test_base_is_no_run_of_a_user(spark, path):
+    with pytest.raises(ValueError, match="kept for"):
+        upsert(frame(spark, ("a", 1, 0)), path, "base")
+
+
+def test_repeated_rows_are_one(spark, path):
+    upsert(frame(spark, ("a", 1, 0), ("a", 1, 0), ("b", 2, 0)), path, "r")
+    assert content(spark, path) == {"a": 1, "b": 2} and read_collection(spark, path).count() == 2
+
+
+def moved_vectors(frame):
+    """Plan nodes that shuffle or sort rows with their vectors."""
+    nodes = frame._jdf.queryExecution().optimizedPlan().toString()
+    physical = frame._jdf.queryExecution().executedPlan()
+    found = re.findall(r"(?:^|\n)[ :+-]*(Exchange hash[^\n]*|SortMergeJoin[^\n]*|Sort [^\n]*|.*ObjectHashAggregate.*|.*SortAggregate.*)", physical.toString())
+    return [n for n in found if "embedding" in n] + (["join"] if "SortMergeJoin" in physical.toString() else []), nodes
+
+
+def test_reading_moves_no_vectors(spark, path, tmp_path):
+    ensure_collection(spark, path, CollectionSpec("c", 1))
+    upsert(frame(spark, ("a", 1, 0), ("b", 2, 0), ("a", 3, 1)), path, "r")
+    new = str(tmp_path / "compact")
+    compact(spark, path, new)
+    upsert(frame(spark, ("b", 7, 2), ("z", 1, 0)), new, "t")
+    assert content(spark, new) == {"a": 3, "b": 7, "z": 1}
+    for folder in (path, new):
+        assert moved_vectors(read_collection(spark, folder))[0] == []
+
+
 def test_number_and_text_ids_are_one(spark):
     ids = spark.createDataFrame([(1,)], "id int").select(F.col("id").cast("string"), F.lit(1).alias("seq"))
     both = ids.unionByName(spark.createDataFrame([("1", 2)], "id string, seq int"))
@@ -83,11 +138,11 @@ def test_ties_do_not_depend_on_partitioning(spark):
 def test_batch_without_ledger_row_is_not_there(spark, path, monkeypatch):
     upsert(frame(spark, ("a", 1, 0)), path, "r", 0)
 
-    def crash(*args):
+    def crash(*args, **kwargs):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as m:
-        m.setattr(collection, "_commit", crash)
+        m.setattr(collection, "commit", crash)
         with pytest.raises(RuntimeError):
             upsert(frame(spark, ("a", 9, 9), ("b", 9, 9)), path, "r", 1)
     assert content(spark, path) == {"a": 1}
@@ -138,7 +193,7 @@ def test_compact(spark, path, tmp_path):
     new = str(tmp_path / "compact")
     compact(spark, path, new)
     assert content(spark, new) == content(spark, path) == {"a": 3, "b": 2}
-    assert "Aggregate" not in read_collection(spark, new)._jdf.queryExecution().toString()
+    assert "superseded" not in read_collection(spark, new)._jdf.queryExecution().toString()
     upsert(frame(spark, ("b", 7, 2)), new, "t", 0)
     assert content(spark, new) == {"a": 3, "b": 7}
 

@@ -68,19 +68,6 @@ def test_precision():
     assert gates.resolve_precision(" INT16 ") == "int16"
     with pytest.raises(ValueError, match="binary"):
         gates.resolve_precision("int4")
-    assert gates.precision_gain("int8", "float32") and not gates.precision_gain("float32", "int8")
-    assert gates.wire_precision("FLOAT_VECTOR") == "float32"
-    assert gates.wire_precision("int8_vector") == "raw_binary"
-    with pytest.raises(ValueError):
-        gates.wire_precision("vector")
-
-
-@pytest.mark.parametrize("config, kind", [
-    (None, "none"), ({}, "none"), ({"binary": {}, "scalar": {}}, "scalar"),
-    ({"product": {}, "scalar": {}}, "product"), ({"turbo": 1}, "turbo"),
-])
-def test_quantization_kind(config, kind):
-    assert gates.quantization_kind(config) == kind
 
 
 @pytest.mark.parametrize("kind, message", [

@@ -1,4 +1,8 @@
 import json
+import os
+import shutil
+import time
+import uuid
 from dataclasses import replace
 
 import pytest
@@ -86,7 +90,7 @@ def test_completed_run_is_left_alone(spark, records, path, monkeypatch):
 def test_failed_batch_stops_and_resumes(spark, records, path, expected, monkeypatch):
     real, done = collection.write_batch, []
 
-    def fail_on_second(rows, target, run_id, batch_id):
+    def fail_on_second(rows, target, run_id, batch_id, *rest):
         if batch_id == 1 and len(done) == 1:
             done.append("failed")
             raise RuntimeError("target is gone")
@@ -100,7 +104,7 @@ def test_failed_batch_stops_and_resumes(spark, records, path, expected, monkeypa
     run = current_run(read_ledger(spark, path).collect(), job)
     assert not collection.is_completed(spark, path, run)
     status = reports.run_report(read_ledger(spark, path)).first()
-    assert (status["status"], status["batches"]) == ("interrupted", 1)
+    assert (status["status"], status["batches"]) == ("failed", 1)
     with pytest.raises(ValueError, match="batches"):
         migrate(records, make_job(path, batches=5))
     migrate(records, job)
@@ -192,7 +196,128 @@ def test_verify_sees_what_differs(spark, path):
 def test_read_without_merging(spark, records, path):
     migrate(records, make_job(path))
     assert read_collection(spark, path, merge=False).count() == read_collection(spark, path).count() + 1
-    assert "Aggregate" not in plan(read_collection(spark, path, merge=False))
+    assert "superseded" not in plan(read_collection(spark, path, merge=False))
+
+
+# -- targets, sending, gates ------------------------------------------------------
+
+
+def plain(spark, *ids, value=1.0):
+    return spark.createDataFrame([(i, [value]) for i in ids], "id int, v array<float>")
+
+
+def test_targets_do_not_share_a_layout(spark, tmp_path):
+    for name, ids in (("a/b", range(50)), ("a_b", range(100, 130))):
+        target = str(tmp_path / name)
+        assert migrate(plain(spark, *ids), MigrationJob("milvus", target, "c", dimension=1, batches=2)).first()["upserted"] == len(ids)
+        assert {int(r["id"]) for r in read_collection(spark, target, ["id"]).collect()} == set(ids)
+
+
+def test_removed_target_is_migrated_anew(spark, tmp_path):
+    target = str(tmp_path / "t")
+    migrate(plain(spark, 1, 2), MigrationJob("milvus", target, "c", dimension=1, batches=2))
+    shutil.rmtree(target)
+    migrate(plain(spark, 3), MigrationJob("milvus", target, "c", dimension=1, batches=2))
+    assert [r["id"] for r in read_collection(spark, target).collect()] == ["3"]
+
+
+def test_source_is_read_once_for_many_batches(spark, folder, path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("doc_id").alias("id"), F.array(F.lit(1.0).cast("float")).alias("v"), "text")
+    counted = docs.mapInArrow(count, docs.schema)
+    job = MigrationJob("milvus", path, "c", target_type="hybrid", sparse_algo="bm25", text_field="text", dimension=1, batches=4)
+    migrate(counted, job)
+    assert seen.value == docs.count()
+    assert {r["status"] for r in verify(docs, job).collect()} == {"same"}
+
+
+def test_rate_is_that_of_the_run(spark, path, monkeypatch):
+    real = collection.write_batch
+
+    def slow(rows, *rest):
+        time.sleep(2)
+        real(rows, *rest)
+
+    monkeypatch.setattr(collection, "write_batch", slow)
+    report = migrate(plain(spark, *range(100)), MigrationJob("milvus", path, "c", dimension=1)).first()
+    assert report["records_per_second"] <= 100
+
+
+def file_store(folder):
+    """A sender that writes chunks to files; it refuses while a file named ``closed`` is there."""
+    def connect():
+        def send(chunk):
+            if os.path.exists(f"{folder}/closed"):
+                return False
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+                file.write("\n".join(chunk))
+            return True
+
+        return send
+
+    return connect
+
+
+def stored_ids(folder):
+    return [json.loads(x)["id"] for n in os.listdir(folder) if n != "closed"
+            for x in open(f"{folder}/{n}").read().split("\n") if x]
+
+
+@pytest.fixture
+def store(tmp_path):
+    (tmp_path / "store").mkdir()
+    return str(tmp_path / "store")
+
+
+def test_send_stops_and_resumes(spark, path, store):
+    job = MigrationJob("milvus", path, "c", dimension=1, batches=3, sender=file_store(store), chunk_size=7)
+    rows = plain(spark, *range(60)).unionByName(spark.createDataFrame([(99, [1.0, 2.0])], "id int, v array<float>"))
+    open(f"{store}/closed", "w").close()
+    with pytest.raises(Exception, match="chunk of"):
+        migrate(rows, job)
+    assert reports.run_report(read_ledger(spark, path)).first()["status"] == "failed"
+    os.remove(f"{store}/closed")
+    report = migrate(rows, job).first()
+    assert (report["upserted"], report["quarantined"], report["status"]) == (60, 1, "completed with errors")
+    assert sorted(map(int, stored_ids(store))) == list(range(60))
+    migrate(rows, job)
+    assert len(stored_ids(store)) == 60 and read_quarantine(spark, path).count() == 1
+
+
+def test_send_as_a_stream(spark, records, files, path, tmp_path, store):
+    job = make_job(path, sender=file_store(store))
+    report = migrate_stream(stream(spark, files, records.schema), job, str(tmp_path / "cp")).first()
+    assert report["completed"] and len(stored_ids(store)) == report["upserted"]
+    migrate_stream(stream(spark, files, records.schema), job, str(tmp_path / "cp"))
+    assert len(stored_ids(store)) == report["upserted"]
+
+
+def test_stream_checks_filter_fields(spark, records, files, path, tmp_path):
+    job = make_job(path, filter_fields="nope")
+    with pytest.raises(Exception, match="unknown filter fields"):
+        migrate_stream(stream(spark, files, records.schema), job, str(tmp_path / "cp"))
+    assert reports.run_report(read_ledger(spark, path)).first()["status"] == "failed"
+
+
+@pytest.mark.parametrize("source", ["qdrant", "chroma"])
+def test_typed_fields_need_field_records(spark, path, source):
+    with pytest.raises(ValueError, match="typed_fields"):
+        migrate(plain(spark, 1), MigrationJob(source, path, "c", typed_fields=True, filter_fields="k"))
+
+
+def test_quarantine_keeps_a_bad_payload(spark, path):
+    page = (["a", "b"], [[1.0], [2.0]], ["text", "text"], ['{"x":', '{"y":1}'])
+    pages = spark.createDataFrame(
+        [page], "ids array<string>, embeddings array<array<float>>, documents array<string>, metadatas array<string>")
+    migrate(pages, MigrationJob("chroma", path, "c", dimension=1))
+    row = read_quarantine(spark, path).first()
+    assert row["reason"] == "bad_payload" and json.loads(row["raw"])["payload"] == '{"x":'
 
 
 # -- streams --------------------------------------------------------------------
@@ -218,7 +343,7 @@ def test_stream_equals_batch(spark, records, files, path, tmp_path, expected):
 def test_stream_fails_then_goes_on(spark, records, files, path, tmp_path, expected, monkeypatch):
     real, written, fail = collection.write_batch, [], [True]
 
-    def crash_once(rows, target, run_id, batch_id):
+    def crash_once(rows, target, run_id, batch_id, *rest):
         if batch_id == 1 and fail:
             fail.clear()
             raise RuntimeError("target is gone")

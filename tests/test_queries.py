@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from vectorferry.oracles import ORACLES
+from vectorferry.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,7 @@ def canonical(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,3 +1,4 @@
+import threading
 import json
 
 import pyarrow as pa
@@ -11,7 +12,11 @@ from vectorferry.sources import (
     read_points,
     register_paged,
 )
-from vectorferry.sources.paged import PagedReader, ParquetPager, with_retries
+from vectorferry import MigrationJob, migrate_stream, read_collection
+from vectorferry.queries import ParquetPager
+from vectorferry.sources.paged import PagedReader, with_retries
+
+PAGER = "vectorferry.queries:ParquetPager"
 from vectorferry.sources.points import resolve_vectors
 
 
@@ -121,43 +126,75 @@ def numbers(tmp_path):
 @pytest.mark.parametrize("page, per_task", [(1, 200), (7, 2), (1000, 1)])
 def test_paged_reads_every_row_once(spark, numbers, page, per_task):
     register_paged(spark)
-    frame = (spark.read.format("paged").option("path", numbers).option("columns", "n")
+    frame = (spark.read.format("paged").option("pager", PAGER).option("path", numbers).option("columns", "n")
              .option("pageSize", page).option("pagesPerTask", per_task).load())
     assert sorted(r["n"] for r in frame.collect()) == list(range(140))
 
 
 def test_paged_from_an_offset(spark, numbers):
     register_paged(spark)
-    frame = spark.read.format("paged").option("path", numbers).option("startOffset", 100).load()
+    frame = spark.read.format("paged").option("pager", PAGER).option("path", numbers).option("startOffset", 100).load()
     assert sorted(r["n"] for r in frame.collect()) == list(range(100, 140))
 
 
-def test_paged_stream_is_capped_and_resumes(spark, numbers, tmp_path):
+def test_paged_stream_takes_all_and_resumes(spark, numbers, tmp_path):
     register_paged(spark)
     sizes = []
 
     def run():
-        stream = (spark.readStream.format("paged").option("path", numbers).option("pageSize", 10)
-                  .option("maxRowsPerBatch", 60).load())
+        stream = (spark.readStream.format("paged").option("pager", PAGER).option("path", numbers)
+                  .option("pageSize", 10).option("maxRowsPerBatch", 60).load())
         q = (stream.writeStream.foreachBatch(lambda df, i: sizes.append(df.count()))
-             .option("checkpointLocation", str(tmp_path / "checkpoint")).start())
-        q.processAllAvailable()
-        q.stop()
+             .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
+        q.awaitTermination()
 
     run()
-    assert [s for s in sizes if s] == [60, 60, 20]
+    assert sum(sizes) == 140
     run()
     assert sum(sizes) == 140
 
 
+def test_paged_migration_is_complete(spark, tmp_path):
+    """Formerly a bound on micro-batches left rows behind in a run marked as completed."""
+    register_paged(spark)
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    rows = spark.range(1000).select("id", F.array(F.lit(1.0).cast("float")).alias("v"))
+    rows.coalesce(3).write.parquet(source)
+    stream = (spark.readStream.format("paged").option("pager", PAGER).option("path", source)
+              .option("pageSize", 10).option("maxRowsPerBatch", 100).load())
+    job = MigrationJob("milvus", target, "c", dimension=1)
+    report = migrate_stream(stream, job, str(tmp_path / "checkpoint")).first()
+    assert report["completed"] and report["upserted"] == 1000
+    assert read_collection(spark, target).count() == 1000
+
+
+def test_a_pager_is_needed(spark):
+    register_paged(spark)
+    with pytest.raises(Exception, match="pager"):
+        spark.read.format("paged").load()
+
+
+def test_hung_fetch_is_given_up():
+    calls, gate = [], threading.Event()
+
+    def hang():
+        calls.append(1)
+        gate.wait(30)
+
+    with pytest.raises(TimeoutError):
+        with_retries(hang, sleep=lambda s: None, timeout=0.05)
+    gate.set()
+    assert len(calls) == 5
+
+
 def test_page_ranges_cover_the_source(numbers):
-    reader = PagedReader({"path": numbers, "pageSize": "9", "pagesPerTask": "3"})
+    reader = PagedReader({"pager": PAGER, "path": numbers, "pageSize": "9", "pagesPerTask": "3"})
     ranges = reader.partitions()
     assert [r.start for r in ranges] == list(range(0, 140, 27)) and ranges[-1].stop == 140
     fetched = [b for r in ranges for b in reader.read(r)]
     assert pa.Table.from_batches(fetched)["n"].to_pylist() == list(range(140))
     with pytest.raises(ValueError):
-        PagedReader({"path": numbers, "pageSize": "0"})
+        PagedReader({"pager": PAGER, "path": numbers, "pageSize": "0"})
 
 
 def test_fetch_retries_then_gives_up():

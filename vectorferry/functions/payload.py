@@ -38,17 +38,15 @@ def entries(column: Column) -> Column:
     return F.try_parse_json(column).try_cast("map<string,variant>")
 
 
-def is_object(column: Column) -> Column:
-    return entries(column).isNotNull()
-
-
 def with_document(column: Column, document: Column) -> Column:
     """Put a non-empty ``document`` text into the payload, replacing that key."""
     merged = F.map_concat(
         F.map_filter(entries(column), lambda k, v: k != "document"),
         F.create_map(F.lit("document"), document.cast("variant")),
     )
-    return F.when(F.coalesce(document, F.lit("")) == "", column).otherwise(F.to_json(merged))
+    # a malformed payload is left as it is, for the quarantine to show
+    keep = (F.coalesce(document, F.lit("")) == "") | (column.isNotNull() & entries(column).isNull())
+    return F.when(keep, column).otherwise(F.to_json(merged))
 
 
 def field_list(fields: Iterable[str] | str | None) -> list[str]:

@@ -42,7 +42,11 @@ LEDGER = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("rows", T.LongType()),
     T.StructField("quarantined", T.LongType()),
+    T.StructField("started_at", T.TimestampType()),
     T.StructField("committed_at", T.TimestampType()),
+    T.StructField("first_committed_at", T.TimestampType()),
+    T.StructField("attempt", T.StringType()),
+    T.StructField("average_length", T.DoubleType()),
 ])
 
 CONFIG = T.StructType([
@@ -70,19 +74,7 @@ TARGET_SPACES = {"cosine": "cosine", "l2": "l2", "ip": "ip"}
 LOSSY_SPACES = {"manhattan"}
 
 # Storage precisions, by rising fidelity.
-PRECISION_RANK = {"binary": 0, "int8": 1, "int16": 2, "float16": 3, "float32": 4}
-
-# Vector column types of typed-field exports -> precision on the wire.
-WIRE_PRECISION = {
-    "float_vector": "float32",
-    "float16_vector": "raw_binary",
-    "bfloat16_vector": "raw_binary",
-    "binary_vector": "raw_binary",
-    "int8_vector": "raw_binary",
-}
-
-# Quantisation kinds of point exports, the one that counts first.
-QUANTIZATION_KINDS = ("product", "scalar", "binary", "turbo")
+PRECISIONS = ("binary", "int8", "int16", "float16", "float32")
 
 DEFAULT_SPACE = "cosine"
 DEFAULT_PRECISION = "float32"

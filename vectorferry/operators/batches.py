@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.model import DEFAULT_BATCH, DEFAULT_CHUNK
 
-MAX_RANGES = 20_000
-MAX_BROADCAST_ROWS = 1_000_000
-
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -34,35 +31,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-
-
-def _input_bytes(df: DataFrame) -> int:
-    """Size of what a plan reads, by the optimizer's statistics."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def _output_bytes(df: DataFrame) -> int:
-    """Size of a plan's rows; never more than its input, for which joins are overrated."""
-    plan = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(plan, _input_bytes(df))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before work that is heavy per row.
-
-    A file of one row group is read by one task, however many cores there are. An
-    input with less than one full split per core is therefore shuffled, which moves
-    at most ``cores * maxPartitionBytes``. A larger input is returned as it is.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if _input_bytes(df) < cores * _split_bytes(df.sparkSession) else df
-
-
 def batch_count(rows: int, batch_size: int = DEFAULT_BATCH) -> int:
     return max(1, math.ceil(rows / batch_size))
 
@@ -76,20 +44,6 @@ def hash_batches(df: DataFrame, key: str, batch_size: int = DEFAULT_BATCH, rows:
     return df.withColumn("batch_id", hash_bucket(F.col(key), batch_count(total, batch_size)))
 
 
-def _range_partitions(df: DataFrame) -> int:
-    """One partition per split of the rows: AQE cannot split a range that got too large.
-
-    Where the size is unknown, as for rows from an RDD, the session's shuffle
-    partitions are taken.
-    """
-    spark = df.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = _output_bytes(df)
-    if size >= spark._jsparkSession.sessionState().conf().defaultSizeInBytes():
-        return least
-    return max(least, min(size // _split_bytes(spark), MAX_RANGES))
-
-
 def with_positions(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     """Add ``pos``: the 0-based global position in key order.
 
@@ -97,7 +51,8 @@ def with_positions(df: DataFrame, key: str, partitions: int | None = None) -> Da
     with very many rows is spread, and sorted within partitions. A row's position is
     its place in its partition plus the rows in the partitions before. The sorted
     rows are checkpointed, so both parts see the same partitioning, also when an
-    executor is lost; no global window is needed.
+    executor is lost; no global window is needed. ``partitions`` is how many ranges
+    are made, by default the session's shuffle partitions.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -105,8 +60,8 @@ def with_positions(df: DataFrame, key: str, partitions: int | None = None) -> Da
                 and "variant" not in f.dataType.simpleString()]
     order = [F.col(key), F.col("_tie"), F.col("_part")]
     tied = df.withColumn("_tie", F.xxhash64(*hashable)).withColumn("_part", F.spark_partition_id())
-    partitions = partitions or _range_partitions(df)
-    ranged = tied.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    dealt = [partitions] if partitions else []
+    ranged = tied.repartitionByRange(*dealt, *order).sortWithinPartitions(*order)
     placed = ranged.drop("_tie", "_part").withColumn("_mid", F.monotonically_increasing_id())
     placed = placed.select(
         *df.columns,
@@ -151,14 +106,6 @@ def keyset_page(df: DataFrame, key: str, token=None, limit: int = DEFAULT_BATCH)
 
 
 def pending(df: DataFrame, ledger: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Rows whose batch is not in the ledger yet.
-
-    The ledger has one row per batch. It is counted, and broadcast while small, so
-    that a batch with very many rows is not shuffled into one task; beyond that the
-    join is left to Spark, which splits such a batch.
-    """
+    """Rows whose batch is not in the ledger yet; Spark chooses the join by its size."""
     done = ledger if run_id is None else ledger.filter(F.col("run_id") == run_id)
-    done = done.select("batch_id")
-    if done.count() <= MAX_BROADCAST_ROWS:
-        done = F.broadcast(done)
-    return df.join(done, "batch_id", "left_anti")
+    return df.join(done.select("batch_id"), "batch_id", "left_anti")

@@ -2,40 +2,47 @@
 
 A collection is a folder::
 
-    config/                                         one row of CONFIG
-    data/run_id=<r>/batch_id=<n>/quarantined=<b>/   rows of one batch
-    ledger/run_id=<r>/batch_id=<n>/                 one row, written after the data
-
-An upsert appends a batch and then its ledger row. A batch without a ledger row
-is not part of the collection, so a crash in between leaves nothing half done, and
-sending a batch again overwrites its own folder only. Nothing already committed is
-rewritten: the cost of an upsert grows with the batch, not with the collection.
-Readers merge by id, last write wins.
+    config/                                                      one row of CONFIG
+    data/run_id=<r>/batch_id=<n>/attempt=<a>/quarantined=<b>/    rows of one attempt
+    ledger/run_id=<r>/batch_id=<n>/                              a row per commit
+
+Every write goes to a folder of its own, an attempt; only then a ledger row names it.
+Nothing that is committed is ever overwritten: a write that fails leaves no trace in the
+collection, and a batch sent again replaces the earlier attempt the moment its row is
+there. Runs stand in the order of their first commit, which a batch sent again does not
+change. Readers merge by id, last write wins: they look for the rows that others
+supersede on narrow columns, and leave those out of a plain scan.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.model import CONFIG, LEDGER, QUARANTINE, TARGET, CollectionSpec
+from vectorferry.operators.batches import checkpoint_dir
 
-COMPLETED = -1
-BASE_RUN = "base"
+COMPLETED, STARTED, FAILED = -1, -2, -3  # ledger rows that stand for no batch
+BASE_RUN = "base"  # written by compact only: its ids are unique
+MAX_BROADCAST_ROWS = 1_000_000
 
 _PARTITIONS = [
     T.StructField("run_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
+    T.StructField("attempt", T.StringType()),
     T.StructField("quarantined", T.BooleanType()),
 ]
 STORED = T.StructType(
     [f for f in TARGET.fields if f.name != "batch_id"]
     + [f for f in QUARANTINE.fields if f.name != "id"]
+    + [T.StructField("content", T.LongType()), T.StructField("row", T.LongType())]
     + _PARTITIONS
 )
 CONTENT = ["embedding", "keywords", "filter", "meta"]
@@ -58,6 +65,8 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def _check_run_id(run_id: str) -> str:
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", run_id):
         raise ValueError(f"run id '{run_id}' may hold letters, digits, '_', '.' and '-' only")
+    if run_id == BASE_RUN:
+        raise ValueError(f"the run id '{BASE_RUN}' is kept for compacted collections")
     return run_id
 
 
@@ -92,72 +101,113 @@ def ensure_collection(spark: SparkSession, path: str, spec: CollectionSpec) -> D
 # -- ledger ------------------------------------------------------------------
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Committed batches; an absent ledger is empty, an unreadable one is an error."""
-    found = _read(spark, f"{path}/ledger", LEDGER)
-    return _empty(spark, LEDGER) if found is None else found
+def _latest(rows: DataFrame) -> DataFrame:
+    """One row per run and batch: the last commit, with the time of the first."""
+    first = F.min("committed_at").alias("first_committed_at")
+    rest = [n for n in LEDGER.names if n not in ("run_id", "batch_id", "first_committed_at")]
+    order = ["committed_at", *[n for n in rest if n != "committed_at"]]
+    return rows.groupBy("run_id", "batch_id").agg(F.max(F.struct(*order)).alias("w"), first).select(
+        *[F.col("w")[n].alias(n) if n in rest else F.col(n) for n in LEDGER.names])
 
 
-def _commit(spark: SparkSession, path: str, run_id: str, batch_id: int, rows: int, bad: int) -> None:
-    row = spark.range(1).select(
-        F.lit(rows).cast("bigint").alias("rows"),
-        F.lit(bad).cast("bigint").alias("quarantined"),
-        F.current_timestamp().alias("committed_at"),
-    )
-    row.coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/ledger/run_id={_check_run_id(run_id)}/batch_id={batch_id}"
-    )
+def read_ledger(spark: SparkSession, path: str, run_id: str | None = None, batch_id: int | None = None) -> DataFrame:
+    """Committed batches; an absent ledger is empty, an unreadable one is an error.
+
+    With ``run_id`` and ``batch_id`` only that one folder is listed.
+    """
+    stored = T.StructType([f for f in LEDGER.fields if f.name != "first_committed_at"])
+    if run_id is not None and batch_id is not None:
+        inner = T.StructType([f for f in stored.fields if f.name not in ("run_id", "batch_id")])
+        found = _read(spark, f"{path}/ledger/run_id={run_id}/batch_id={batch_id}", inner)
+        if found is not None:
+            found = found.withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")})
+    else:
+        found = _read(spark, f"{path}/ledger", stored)
+        if found is not None and run_id is not None:
+            found = found.filter(F.col("run_id") == run_id)
+    return _empty(spark, LEDGER) if found is None else _latest(found)
+
+
+def commit(
+    spark: SparkSession, path: str, run_id: str, batch_id: int, rows: int = 0, bad: int = 0,
+    attempt: str | None = None, started_at: datetime | None = None, average_length: float | None = None,
+) -> None:
+    """Append a ledger row: the moment from which on a batch counts."""
+    now = datetime.now(timezone.utc)
+    values = {
+        "rows": (rows, "bigint"), "quarantined": (bad, "bigint"), "started_at": (started_at or now, "timestamp"),
+        "committed_at": (now, "timestamp"), "attempt": (attempt, "string"), "average_length": (average_length, "double"),
+    }
+    row = spark.range(1).select(*[F.lit(v).cast(kind).alias(n) for n, (v, kind) in values.items()])
+    row.coalesce(1).write.mode("append").parquet(f"{path}/ledger/run_id={run_id}/batch_id={batch_id}")
 
 
 def mark_completed(spark: SparkSession, path: str, run_id: str) -> None:
-    _commit(spark, path, run_id, COMPLETED, 0, 0)
+    commit(spark, path, run_id, COMPLETED)
 
 
 def is_completed(spark: SparkSession, path: str, run_id: str) -> bool:
-    done = read_ledger(spark, path).filter(
-        (F.col("run_id") == run_id) & (F.col("batch_id") == COMPLETED)
-    )
-    return not done.isEmpty()
+    return not read_ledger(spark, path, run_id, COMPLETED).isEmpty()
 
 
 def batches(ledger: DataFrame) -> DataFrame:
-    """Ledger rows of data batches, without completion marks."""
-    return ledger.filter(F.col("batch_id") != COMPLETED)
+    """Ledger rows of data batches, without marks."""
+    return ledger.filter(F.col("batch_id") >= 0)
 
 
 # -- writing -----------------------------------------------------------------
 
 
-def write_batch(rows: DataFrame, path: str, run_id: str, batch_id: int) -> None:
+def write_batch(
+    rows: DataFrame, path: str, run_id: str, batch_id: int, started_at: datetime | None = None, sent: int | None = None
+) -> None:
     """Write one batch in one pass, good rows and quarantine side by side, and commit it.
 
     ``rows`` has the target columns and optionally ``reason`` and ``raw``. The write
-    is narrow: one file per input task. The counts come from the written footers.
+    is narrow: one file per input task. The counts come from the written footers,
+    and ``sent`` adds good rows that went to an outside store instead.
     """
     spark = rows.sparkSession
+    started_at = started_at or datetime.now(timezone.utc)
     for name in ("reason", "raw"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    columns = [f for f in STORED.fields if f.name not in {p.name for p in _PARTITIONS}]
-    folder = f"{path}/data/run_id={_check_run_id(run_id)}/batch_id={batch_id}"
+    attempt = uuid.uuid4().hex
+    folder = f"{path}/data/run_id={run_id}/batch_id={batch_id}/attempt={attempt}"
+    kept = [f for f in STORED.fields if f.name not in {p.name for p in _PARTITIONS}]
+    given = [F.col(f.name).cast(f.dataType).alias(f.name) for f in kept if f.name not in ("content", "row")]
     (
-        rows.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns],
-            F.col("reason").isNotNull().alias("quarantined"),
-        )
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("quarantined").parquet(folder)
+        rows.select(*given)
+        .withColumns({
+            "content": F.xxhash64(*CONTENT), "row": F.monotonically_increasing_id(),
+            "quarantined": F.col("reason").isNotNull(),
+        })
+        .write.mode("errorifexists").partitionBy("quarantined").parquet(folder)
     )
-    written = spark.read.schema(
-        T.StructType([*columns, _PARTITIONS[-1]])
-    ).parquet(folder).groupBy("quarantined").count().collect()
-    counts = {r["quarantined"]: r["count"] for r in written}
-    _commit(spark, path, run_id, batch_id, counts.get(False, 0), counts.get(True, 0))
+    written = spark.read.schema(T.StructType([*kept, _PARTITIONS[-1]])).parquet(folder)
+    counts = {r["quarantined"]: r["count"] for r in written.groupBy("quarantined").count().collect()}
+    commit(spark, path, run_id, batch_id, counts.get(False, 0) + (sent or 0), counts.get(True, 0), attempt, started_at)
+
 
+def upsert(
+    rows: DataFrame, path: str, run_id: str, batch_id: int | None = None, replace: bool = False
+) -> int:
+    """Insert or overwrite records by id; returns the number of the batch.
 
-def upsert(rows: DataFrame, path: str, run_id: str, batch_id: int = 0) -> None:
-    """Insert or overwrite records by id. Sending the same batch again changes nothing."""
+    Without ``batch_id`` the rows are a further batch of the run. A batch that is
+    committed is sent again only with ``replace``; what it held before is then gone.
+    """
+    spark = rows.sparkSession
+    _check_run_id(run_id)
+    if batch_id is None:
+        last = batches(read_ledger(spark, path, run_id)).agg(F.max("batch_id")).first()[0]
+        batch_id = 0 if last is None else last + 1
+    elif batch_id < 0:
+        raise ValueError("batch ids count from 0")
+    elif not replace and not read_ledger(spark, path, run_id, batch_id).isEmpty():
+        raise ValueError(f"batch {batch_id} of run '{run_id}' is committed; use replace=True or leave batch_id out")
     write_batch(rows, path, run_id, batch_id)
+    return batch_id
 
 
 # -- reading -----------------------------------------------------------------
@@ -177,21 +227,52 @@ def last_write_wins(df: DataFrame, key: str = "id", order: list[str] | None = No
     )
 
 
-def _committed(spark: SparkSession, path: str, quarantined: bool) -> tuple[DataFrame | None, list[str]]:
-    """Rows of the committed batches, and the runs in the order they started.
+def _checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast what was counted and is small; else Spark may split the join."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
 
-    The ledger (one row per batch) says which folders to read, so that no join is
-    needed to leave out what was never committed.
+
+def _committed(spark: SparkSession, path: str, quarantined: bool) -> tuple[DataFrame | None, bool]:
+    """Rows of the committed attempts with ``_run``, the place of their run, and whether ids are unique."""
+    ledger = batches(read_ledger(spark, path))
+    n, others = ledger.agg(F.count("batch_id"), F.count_if(F.col("run_id") != BASE_RUN)).first()
+    data = _read(spark, f"{path}/data", STORED) if n else None
+    if data is None:
+        return None, True
+    runs = ledger.groupBy("run_id").agg(F.min("first_committed_at").alias("at"))  # one row per run
+    place = runs.select("run_id", F.row_number().over(Window.orderBy("at", "run_id")).alias("_run"))
+    chosen = ledger.select("run_id", "attempt").join(place, "run_id").select("attempt", "_run")
+    return data.filter(F.col("quarantined") == quarantined).join(_checked_broadcast(chosen, n), "attempt"), others == 0
+
+
+def _superseded(spark: SparkSession, rows: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """``(attempt, row)`` of the rows of an id that another row supersedes, and their number.
+
+    Looks at narrow columns only. In a compacted collection ids are unique, so of its
+    base only the ids that later batches hold matter.
     """
-    ledger = batches(read_ledger(spark, path)).collect()
-    if not ledger:
-        return None, []
-    started: dict[str, object] = {}
-    for row in sorted(ledger, key=lambda r: r["committed_at"]):
-        started.setdefault(row["run_id"], row["committed_at"])
-    folders = [f"{path}/data/run_id={r['run_id']}/batch_id={r['batch_id']}" for r in ledger]
-    data = spark.read.schema(STORED).option("basePath", f"{path}/data").parquet(*sorted(folders))
-    return data.filter(F.col("quarantined") == quarantined), list(started)
+    narrow = rows.select("id", "seq", "_run", "batch_id", "content", "attempt", "row", (F.col("run_id") == BASE_RUN).alias("base"))
+    later = narrow.filter("not base")
+    held = batches(read_ledger(spark, path)).filter(F.col("run_id") != BASE_RUN).agg(F.sum("rows")).first()[0] or 0
+    if held:
+        base = narrow.filter("base").join(_checked_broadcast(later.select("id").distinct(), held), "id", "left_semi")
+        later = later.unionByName(base)
+    order = F.struct("seq", "_run", "batch_id", "content", "attempt", "row")
+    best = later.groupBy("id").agg(F.max(order).alias("w"), F.count("row").alias("n")).filter("n > 1")
+    lost = later.join(best, "id").filter(order != F.col("w")).select("attempt", "row")
+    folder = f"{checkpoint_dir(spark)}/vectorferry-superseded-{uuid.uuid4().hex}"
+    lost.write.parquet(folder)
+    lost = spark.read.schema("attempt string, row bigint").parquet(folder)
+    return lost, lost.count()
+
+
+def _winners(spark: SparkSession, path: str) -> DataFrame | None:
+    """Stored rows that stand: one per id."""
+    rows, unique = _committed(spark, path, quarantined=False)
+    if rows is None or unique:
+        return rows
+    lost, n = _superseded(spark, rows, path)
+    return rows if n == 0 else rows.join(_checked_broadcast(lost, n), ["attempt", "row"], "left_anti")
 
 
 def read_collection(
@@ -200,24 +281,22 @@ def read_collection(
     """The collection as it stands: one row per id.
 
     The largest ``seq`` wins; for equal ones the run that started later, then the
-    later batch. ``columns`` names what is needed beside ``id`` and ``seq``; only that
-    is read and shuffled. A compacted collection without later batches is read
-    without merging, and so is any with ``merge=False``, for who knows that no id
-    was sent twice.
+    later batch, then the larger hash of the content. ``columns`` names what is needed
+    beside ``id`` and ``seq``; only that is read. One job over ids finds the rows that
+    are superseded; they are left out of a plain scan, so vectors are not shuffled
+    (unless over ``MAX_BROADCAST_ROWS`` rows are superseded). A compacted collection
+    without later batches needs no such job, nor does any with ``merge=False``, for who
+    knows that no id was sent twice.
     """
     wanted = [n for n in TARGET.names if n in set(columns or TARGET.names) | {"id", "seq"}]
-    rows, runs = _committed(spark, path, quarantined=False)
-    if rows is None:
-        return _empty(spark, TARGET).select(*wanted)
-    if not merge or runs == [BASE_RUN]:
-        return rows.select(*wanted)
-    run_order = F.array_position(F.array(*[F.lit(r) for r in runs]), F.col("run_id"))
-    rest = [n for n in wanted if n not in ("id", "seq", "batch_id")]
-    merged = last_write_wins(
-        rows.select("id", "seq", run_order.alias("_run"), "batch_id", *rest),
-        order=["seq", "_run", "batch_id"],
-    )
-    return merged.select(*wanted)
+    rows = _winners(spark, path) if merge else _committed(spark, path, quarantined=False)[0]
+    return _empty(spark, TARGET).select(*wanted) if rows is None else rows.select(*wanted)
+
+
+def read_content(spark: SparkSession, path: str) -> DataFrame:
+    """``(id, content)`` of the collection as it stands: a hash stands for the content."""
+    rows = _winners(spark, path)
+    return _empty(spark, STORED).select("id", "content") if rows is None else rows.select("id", "content")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -130,3 +130,9 @@ def payload_types(df: DataFrame, payload: str = "payload") -> DataFrame:
         .groupBy("key")
         .agg(F.schema_of_variant_agg("value").alias("type"))
     )
+
+
+def payload_keys(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Distinct payload keys: ``(key)``; values are not looked at."""
+    names = F.map_keys(payload_functions.entries(F.col(payload)))
+    return df.select(F.explode(names).alias("key")).distinct()

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions import text as text_functions
 from vectorferry.model import SPARSE, no_sparse
-from vectorferry.operators.batches import spread
 
 # An encoder takes the text column and the average document length.
 Encoder = Callable[[Column, Column | float], Column]
@@ -63,7 +62,13 @@ def batch_encoder(model) -> Encoder:
 
 def average_length(df: DataFrame, text: str = "text") -> Column:
     """Mean document length of a corpus, as a scalar subquery (one extra narrow scan)."""
-    return spread(df).agg(F.avg(text_functions.document_length(F.coalesce(F.col(text), F.lit(""))))).scalar()
+    return df.agg(F.avg(text_functions.document_length(F.coalesce(F.col(text), F.lit(""))))).scalar()
+
+
+def mean_length(df: DataFrame, text: str = "text") -> float | None:
+    """Mean document length of a corpus, found once; null for an empty one."""
+    length = text_functions.document_length(F.coalesce(F.col(text), F.lit("")))
+    return df.agg(F.avg(length)).first()[0]
 
 
 def encode_sparse(
@@ -80,7 +85,7 @@ def encode_sparse(
     """
     if average is None:
         average = average_length(df, text)
-    return with_sparse(spread(df), text, algorithm, average, sparse)
+    return with_sparse(df, text, algorithm, average, sparse)
 
 
 def with_sparse(
@@ -106,26 +111,21 @@ def with_sparse(
 def attach_sparse(df: DataFrame, vectors: DataFrame, id: str = "id") -> DataFrame:
     """Attach sparse vectors made elsewhere, ``(id, sparse)``; one per id is kept."""
     one_each = vectors.groupBy(id).agg(F.max("sparse").alias("sparse"))
-    return df.drop("sparse").join(one_each, id, "left")
+    bare = df.drop("sparse")
+    # rows without an id stay out of the join: they would all meet in one task
+    named = bare.filter(F.col(id).isNotNull()).join(one_each, id, "left")
+    return named.unionByName(bare.filter(F.col(id).isNull()).withColumn("sparse", no_sparse()))
 
 
 def token_counts(df: DataFrame, id: str, text: str) -> DataFrame:
     """``(id, token, tf)``"""
-    return spread(df).select(id, F.inline_outer(text_functions.token_counts(F.col(text)))).filter(
+    return df.select(id, F.inline_outer(text_functions.token_counts(F.col(text)))).filter(
         F.col("token").isNotNull()
     )
 
 
 def document_lengths(df: DataFrame, id: str, text: str) -> DataFrame:
-    return spread(df).select(id, text_functions.document_length(F.coalesce(F.col(text), F.lit(""))).alias("dl"))
-
-
-def explode_sparse(df: DataFrame, id: str, sparse: str = "sparse") -> DataFrame:
-    """``(id, pos, idx, weight)``, one row per stored term."""
-    pairs = F.arrays_zip(F.col(f"{sparse}.indices").alias("idx"), F.col(f"{sparse}.values").alias("weight"))
-    return df.select(id, F.posexplode_outer(pairs).alias("pos", "pair")).filter(
-        F.col("pos").isNotNull()
-    ).select(id, "pos", F.col("pair.idx").alias("idx"), F.col("pair.weight").alias("weight"))
+    return df.select(id, text_functions.document_length(F.coalesce(F.col(text), F.lit(""))).alias("dl"))
 
 
 def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
@@ -135,7 +135,7 @@ def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
     most once per row, so a plain count with map-side combine gives the frequency.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    seen = spread(df).select(F.explode_outer(
+    seen = df.select(F.explode_outer(
         F.array_distinct(F.transform(text_functions.tokens(F.col(text)), text_functions.token_index))
     ).alias("idx")).filter(F.col("idx").isNotNull())
     frequencies = seen.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from vectorferry.model import (
     LOSSY_SPACES,
-    PRECISION_RANK,
-    QUANTIZATION_KINDS,
+    PRECISIONS,
     TARGET_SPACES,
-    WIRE_PRECISION,
 )
 from vectorferry.operators.detect import Roles, is_dense_type, is_multivector_type, require_column
 
@@ -43,14 +41,20 @@ def check_paths(
         raise ValueError(f"sparse_algo on a {source_db} source needs text_field")
 
 
-def resolve_space(mapping: Mapping[str, str], raw: str | None) -> str:
-    """Metric name -> canonical space; trimmed, any case."""
-    name = (raw or "").strip().lower()
-    if name not in mapping:
-        raise ValueError(f"unknown metric '{raw}'; valid: {sorted(mapping)}")
-    if name in LOSSY_SPACES:
-        warnings.warn(f"metric '{name}' has no equal; using '{mapping[name]}'", stacklevel=2)
-    return mapping[name]
+def _known(what: str, raw: str | None, valid: Iterable[str]) -> str:
+    """A setting as it is stored: trimmed, lower case, one of ``valid``."""
+    given = "" if raw is None else raw.strip().lower()
+    if given in valid:
+        return given
+    raise ValueError(f"unknown {what} '{raw}'; valid: {sorted(valid)}")
+
+
+def resolve_space(spaces: Mapping[str, str], raw: str | None) -> str:
+    """The canonical space of a source's metric."""
+    metric = _known("metric", raw, spaces)
+    if metric in LOSSY_SPACES:
+        warnings.warn(f"metric '{metric}' has no equal; using '{spaces[metric]}'", stacklevel=2)
+    return spaces[metric]
 
 
 def resolve_target_space(raw: str | None) -> str:
@@ -58,29 +62,8 @@ def resolve_target_space(raw: str | None) -> str:
 
 
 def resolve_precision(raw: str | None) -> str:
-    """Storage precision of the target; trimmed, any case."""
-    name = (raw or "").strip().lower()
-    if name not in PRECISION_RANK:
-        raise ValueError(f"unknown precision '{raw}'; valid: {sorted(PRECISION_RANK)}")
-    return name
-
-
-def precision_gain(source: str, target: str) -> bool:
-    """True when the target stores more than the source held; reported only."""
-    return PRECISION_RANK[target] > PRECISION_RANK[source]
-
-
-def wire_precision(vector_type: str) -> str:
-    """Precision in which a typed-field export delivers a vector type."""
-    name = vector_type.strip().lower()
-    if name not in WIRE_PRECISION:
-        raise ValueError(f"unknown vector type '{vector_type}'; valid: {sorted(WIRE_PRECISION)}")
-    return WIRE_PRECISION[name]
-
-
-def quantization_kind(config: Mapping | None) -> str:
-    """Quantisation named by a point collection's settings; exports are float32 anyway."""
-    return next((k for k in QUANTIZATION_KINDS if (config or {}).get(k) is not None), "none")
+    """Storage precision of the target."""
+    return _known("precision", raw, PRECISIONS)
 
 
 def check_wire_precision(df: DataFrame, dense: str) -> None:

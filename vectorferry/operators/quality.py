@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from vectorferry.functions import payload as payload_functions
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions import vectors
-from vectorferry.operators.detect import payload_key_profile
+from vectorferry.operators.detect import payload_keys
+
+
+NAMED_KEYS = 100  # most keys that an error message lists
 
 
 def reason(dimension: int, entry_map: Column | None = None) -> Column:
@@ -56,7 +59,7 @@ def invalid_filter_fields(
     """Requested filter fields that no record has."""
     names = payload_functions.field_list(fields)
     requested = df.sparkSession.createDataFrame([(n,) for n in names], "field string")
-    known = payload_key_profile(df, payload).select(F.col("key").alias("field"))
+    known = payload_keys(df, payload).select(F.col("key").alias("field"))
     return requested.join(known, "field", "left_anti")
 
 
@@ -76,8 +79,9 @@ def check_filter_fields(
             return names
         unknown = [n for n in names if df.filter(has[n]).isEmpty()]
         if unknown:
-            known = sorted(r["key"] for r in payload_key_profile(df, payload).select("key").collect())
-            raise ValueError(f"unknown filter fields {unknown}; available: {known}")
+            known = [r["key"] for r in payload_keys(df, payload).orderBy("key").limit(NAMED_KEYS + 1).collect()]
+            more = ", ..." if len(known) > NAMED_KEYS else ""
+            raise ValueError(f"unknown filter fields {unknown}; available: {known[:NAMED_KEYS]}{more}")
     return names
 
 

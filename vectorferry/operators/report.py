@@ -6,38 +6,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectorferry.functions import sparse as sparse_functions
-from vectorferry.operators.collection import COMPLETED, batches
+from vectorferry.operators.collection import COMPLETED, FAILED, batches
+
+
+def _seconds():
+    return F.timestamp_diff("MILLISECOND", "started_at", "committed_at") / F.lit(1000.0)
 
 
 def run_report(ledger: DataFrame) -> DataFrame:
-    """One row per run: batches, records fetched, upserted and set aside, status."""
-    data = F.col("batch_id") != COMPLETED
-    done = F.max((F.col("batch_id") == COMPLETED).cast("int")) == 1
-    seconds = F.timestamp_diff(
-        "MILLISECOND", F.min("committed_at"), F.max("committed_at")
-    ) / F.lit(1000.0)
+    """One row per run: batches, records fetched, upserted and set aside, seconds, status.
+
+    ``seconds`` adds up what each batch, and getting ready for them, took: time in
+    which a stream waits does not count.
+    """
+    data = F.col("batch_id") >= 0
     totals = ledger.groupBy("run_id").agg(
         F.count_if(data).alias("batches"),
         F.sum(F.col("rows") + F.col("quarantined")).alias("fetched"),
         F.sum("rows").alias("upserted"),
         F.sum("quarantined").alias("quarantined"),
-        done.alias("completed"),
-        seconds.alias("seconds"),
+        (F.count_if(F.col("batch_id") == COMPLETED) > 0).alias("completed"),
+        F.sum(_seconds()).alias("seconds"),
+        F.max(F.when(F.col("batch_id") == FAILED, F.col("committed_at"))).alias("_failed"),
+        F.max(F.when(F.col("batch_id") != FAILED, F.col("committed_at"))).alias("_last"),
     )
-    return totals.withColumn("status", final_status())
+    failed = F.coalesce(F.col("_failed") >= F.col("_last"), F.col("_failed").isNotNull())
+    return totals.withColumn("status", final_status(failed)).drop("_failed", "_last")
 
 
-def final_status():
-    """``completed``, ``completed with errors`` or ``interrupted``."""
+def final_status(failed):
+    """``completed``, ``completed with errors`` (some set aside), ``failed`` or ``interrupted``."""
     return (
-        F.when(~F.col("completed"), "interrupted")
-        .when(F.col("quarantined") > 0, "completed with errors")
-        .otherwise("completed")
+        F.when(F.col("completed") & (F.col("quarantined") > 0), "completed with errors")
+        .when(F.col("completed"), "completed")
+        .when(failed, "failed")
+        .otherwise("interrupted")
     )
 
 
 def throughput(report: DataFrame) -> DataFrame:
-    """Add records per second; null where no time passed between commits."""
+    """Add records per second; null where no time passed."""
     return report.withColumn(
         "records_per_second", F.try_divide(F.col("upserted").cast("double"), F.col("seconds"))
     )
@@ -60,7 +68,7 @@ def ledger_of(rows: DataFrame, run_id: str) -> DataFrame:
         F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
     ).select(
         F.lit(run_id).alias("run_id"), "batch_id", "rows", "quarantined",
-        F.current_timestamp().alias("committed_at"),
+        F.current_timestamp().alias("started_at"), F.current_timestamp().alias("committed_at"),
     )
 
 

@@ -278,3 +278,23 @@ SELECT 'run' run_id, batch_id, count(*) fetched, count(*) FILTER (reason = 'ok')
 ORACLES["reconcile"] = """SELECT CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN e.vec_id IS NULL THEN 'extra'
   WHEN e.label = l.quality THEN 'same' ELSE 'changed' END status, count(*) AS rows
 FROM embeddings e FULL OUTER JOIN labels l ON e.vec_id = l.doc_id GROUP BY 1"""
+
+# -- updates, pages and batches ------------------------------------------------
+
+ORACLES["upsert_updates"] = f"""
+SELECT vec_id::varchar id, {_dense('embedding')}, CASE WHEN vec_id < 10 THEN label + 100 ELSE label END AS label
+FROM embeddings
+UNION ALL SELECT 'new', {_dense('embedding')}, label + 100 FROM embeddings WHERE vec_id = 0"""
+
+ORACLES["quarantine_pages"] = f"""WITH {RECORDS}, placed AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS i FROM records)
+SELECT id, CASE WHEN embedding IS NULL THEN 'missing_embedding' ELSE 'bad_payload' END AS reason,
+  CASE WHEN embedding IS NOT NULL THEN '{{"lang":"' || lang || '","source":"' || source || '"}}}}' END AS payload
+FROM placed WHERE embedding IS NULL OR i % 3 = 0"""
+
+ORACLES["pages_duplicate_ids"] = """SELECT (doc_id % 100 % 40 + doc_id % 3 * 1000)::varchar id, max(doc_id) doc_id
+FROM documents GROUP BY 1"""
+
+ORACLES["migrate_batches"] = f"""WITH {RECORDS}, {CORPUS}
+SELECT r.id, len(r.embedding)::int dim, w.pos, w.idx, w.weight
+FROM records r JOIN weights w USING (doc_id) WHERE r.embedding IS NOT NULL"""

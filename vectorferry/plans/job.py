@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
@@ -14,6 +16,7 @@ from vectorferry.functions import payload as payload_functions
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.model import (
+    DEFAULT_CHUNK,
     DEFAULT_EF,
     DEFAULT_M,
     DEFAULT_PRECISION,
@@ -21,11 +24,15 @@ from vectorferry.model import (
     CollectionSpec,
 )
 from vectorferry.operators import collection, encode, gates, quality, report
-from vectorferry.operators.batches import checkpoint_dir, spread
+from vectorferry.operators.batches import checkpoint_dir
 from vectorferry.operators.detect import detect_dimension
+from vectorferry.operators.send import send_records
 from vectorferry.sources.registry import SOURCE_SPACES, reader_for
 
 
+UNTYPED_SOURCES = ("qdrant", "chroma")
+
+
 @dataclass(frozen=True)
 class MigrationJob:
     """What to move, and how.
@@ -35,7 +42,12 @@ class MigrationJob:
     which fails when sizes differ. ``batches`` > 1 splits a batch run into as many
     separately committed parts. ``parallelism`` spreads the rows over that many tasks
     first, for a source with few large splits. ``typed_fields`` lets only text columns
-    of field records become filters; other types go to ``meta``. ``fresh`` starts a new run instead of resuming.
+    of field records become filters; other types go to ``meta``; other shapes have no
+    typed columns and refuse it. ``fresh`` starts a new run instead of resuming.
+
+    ``sender`` moves the records to an outside store instead: a function that runs once
+    per task and returns one that sends a chunk of ``chunk_size`` JSON records and says
+    whether the store took it. The ledger and the quarantine stay at ``target_path``.
     """
 
     source_db: str
@@ -60,6 +72,8 @@ class MigrationJob:
     parallelism: int | None = None
     fresh: bool = False
     reader_options: dict[str, Any] = field(default_factory=dict)
+    sender: Callable[[], Callable[[list[str]], bool]] | None = None
+    chunk_size: int = DEFAULT_CHUNK
 
 
 def check_job(job: MigrationJob) -> None:
@@ -74,6 +88,8 @@ def check_job(job: MigrationJob) -> None:
         encode.encoder(job.sparse_algo)
     if job.batches < 1:
         raise ValueError("batches must be at least 1")
+    if job.typed_fields and job.source_db in UNTYPED_SOURCES:
+        raise ValueError(f"typed_fields needs field records; {job.source_db} payloads have no typed columns")
 
 
 def resolve_job_space(job: MigrationJob) -> str:
@@ -110,12 +126,11 @@ def to_target(
 ) -> DataFrame:
     """Canonical rows -> target rows with ``reason`` and ``raw`` for bad ones.
 
-    A narrow transformation (small inputs are spread over the cores first): no
-    shuffle, no Python unless the encoder is Python.
+    A narrow transformation: no shuffle, no Python unless the encoder is Python.
     """
     if sparse_algo and average_length is None:
         average_length = encode.average_length(canonical)
-    parsed = spread(canonical).withColumn("_entries", payload_functions.entries(F.col("payload")))
+    parsed = canonical.withColumn("_entries", payload_functions.entries(F.col("payload")))
     flagged = parsed.withColumn("reason", quality.reason(dimension, F.col("_entries")))
     if sparse_algo:
         # after the checks: nothing is encoded for a row that is set aside
@@ -163,13 +178,10 @@ def find_dimension(canonical: DataFrame, job: MigrationJob) -> int:
     return found["max_dimension"]
 
 
-def setup(df: DataFrame, job: MigrationJob) -> tuple[DataFrame, int]:
-    """Check the job, read the source, create or check the target."""
-    check_job(job)
-    spark = df.sparkSession
-    canonical = read_source(df, job)
+def create_target(canonical: DataFrame, job: MigrationJob) -> int:
+    """Create or check the target; returns the dimension."""
     dimension = find_dimension(canonical, job)
-    collection.ensure_collection(spark, job.target_path, CollectionSpec(
+    collection.ensure_collection(canonical.sparkSession, job.target_path, CollectionSpec(
         collection=job.collection,
         dimension=dimension,
         space_type=resolve_job_space(job),
@@ -179,7 +191,18 @@ def setup(df: DataFrame, job: MigrationJob) -> tuple[DataFrame, int]:
         is_hybrid=job.target_type == "hybrid",
         sparse_model=job.sparse_model,
     ))
-    return canonical, dimension
+    return dimension
+
+
+def write_part(rows: DataFrame, job: MigrationJob, run_id: str, batch_id: int) -> None:
+    """Write target rows as one batch, or send them and write only what is set aside."""
+    if job.sender is None:
+        collection.write_batch(rows, job.target_path, run_id, batch_id)
+        return
+    started = datetime.now(timezone.utc)
+    sent = send_records(collection.sink_records(good_rows(rows)), job.sender, job.chunk_size).first()
+    bad = rows.filter(F.col("reason").isNotNull())
+    collection.write_batch(bad, job.target_path, run_id, batch_id, started, sent["rows"] or 0)
 
 
 def current_run(ledger: list[Row], job: MigrationJob) -> str:
@@ -209,74 +232,92 @@ def migrate(df: DataFrame, job: MigrationJob) -> DataFrame:
 
     With one batch the whole move is one narrow Spark job: read, normalise, encode,
     split, write. With more, canonical rows are first laid out by batch in the shared
-    checkpoint folder, so that each part reads its own rows only; parts found in the
-    ledger are skipped when the job is run again. A completed run is left alone.
+    checkpoint folder, so that each part reads its own rows only and the source is
+    read once; parts found in the ledger are skipped when the job is run again. A
+    completed run is left alone. A run that breaks off is marked as failed.
     """
     check_job(job)
     spark = df.sparkSession
+    started = datetime.now(timezone.utc)
     known = collection.read_ledger(spark, job.target_path).collect()  # one row per batch
     run_id = current_run(known, job)
-    done = batches_of(known, run_id)
-    if collection.COMPLETED not in done:
-        _run(df, job, run_id, done)
-    ledger = collection.read_ledger(spark, job.target_path)
-    return report.throughput(report.run_report(ledger.filter(F.col("run_id") == run_id)))
+    if collection.COMPLETED not in batches_of(known, run_id):
+        try:
+            _run(df, job, run_id, known, started)
+        except Exception:
+            collection.commit(spark, job.target_path, run_id, collection.FAILED)
+            raise
+    ledger = collection.read_ledger(spark, job.target_path, run_id)
+    return report.throughput(report.run_report(ledger))
+
 
+def _run(df: DataFrame, job: MigrationJob, run_id: str, known: list[Row], started: datetime) -> None:
+    """Check, lay out and write; the start row names the layout and holds the mean length.
 
-def _run(df: DataFrame, job: MigrationJob, run_id: str, done: set[int]) -> None:
+    A resumed run takes both from there, so its parts are those of the first attempt
+    and are encoded alike.
+    """
     spark = df.sparkSession
-    canonical, dimension = setup(df, job)
+    done = batches_of(known, run_id)
+    begun = next((r for r in known if r["run_id"] == run_id and r["batch_id"] == collection.STARTED), None)
+    token = begun["attempt"] if begun else uuid.uuid4().hex
+    canonical = read_source(df, job)
+    if job.batches > 1:
+        canonical = _lay_out(canonical, job, token)
+    dimension = create_target(canonical, job)
     if job.dimension and not job.sparse_algo:  # else found while looking for size or text
         quality.check_not_empty(canonical)
     quality.check_filter_fields(canonical, job.filter_fields, strict=job.strict_filter_fields)
-    fields = filter_names(df, job)
     average = job.average_length
     if job.sparse_algo:
         quality.check_text(canonical)
         if average is None:
-            average = encode.average_length(canonical)
+            average = begun["average_length"] if begun else encode.mean_length(canonical)
+    collection.commit(spark, job.target_path, run_id, collection.STARTED, attempt=token, started_at=started,
+                      average_length=average)
 
-    if job.batches > 1:
-        canonical = _lay_out(canonical, job, run_id)
+    fields = filter_names(df, job)
     for batch_id in range(job.batches):
         if batch_id in done:
             continue
         part = canonical
         if job.batches > 1:
             part = canonical.filter(F.col("batch_id") == batch_id).drop("batch_id")
-        rows = to_target(part, dimension, fields, job.sparse_algo, average)
-        collection.write_batch(rows, job.target_path, run_id, batch_id)
+        write_part(to_target(part, dimension, fields, job.sparse_algo, average), job, run_id, batch_id)
     collection.mark_completed(spark, job.target_path, run_id)
 
 
 def verify(df: DataFrame, job: MigrationJob) -> DataFrame:
     """Compare the source, put through the job's transformation, with the target.
 
-    Rows per status: same, changed, missing, extra. One shuffle of each side by id;
-    the merge by id and the join share it.
+    Rows per status: same, changed, missing, extra. Content is hashed in the row, so
+    only ids and hashes are shuffled. The mean length is the one the last run used.
     """
     spark = df.sparkSession
     canonical = read_source(df, job)
+    average = job.average_length
+    if job.sparse_algo and average is None:
+        used = collection.read_ledger(spark, job.target_path).filter("average_length is not null")
+        last = used.agg(F.max(F.struct("committed_at", "average_length")).alias("w")).first()["w"]
+        average = last["average_length"] if last else None
     target = to_target(
-        canonical, find_dimension(canonical, job), filter_names(df, job), job.sparse_algo,
-        job.average_length,
-    )
-    content = collection.CONTENT
-    expected = collection.last_write_wins(good_rows(target).select("id", "seq", *content))
-    actual = collection.read_collection(spark, job.target_path, content)
-    return report.reconcile(expected, actual, "id", content)
+        canonical, find_dimension(canonical, job), filter_names(df, job), job.sparse_algo, average)
+    hashed = good_rows(target).select("id", "seq", F.xxhash64(*collection.CONTENT).alias("content"))
+    expected = collection.last_write_wins(hashed).select("id", "content")
+    return report.reconcile(expected, collection.read_content(spark, job.target_path), "id", ["content"])
 
 
-def _lay_out(canonical: DataFrame, job: MigrationJob, run_id: str) -> DataFrame:
+def _lay_out(canonical: DataFrame, job: MigrationJob, token: str) -> DataFrame:
     """Canonical rows written once by batch; reused when the run is resumed.
 
+    ``token`` is the run's own, so no other run or target can take the layout.
+
     ``rebalance`` lets AQE split large batches and join small ones, so no task has
     to hold a whole batch. The layout stays in the checkpoint folder, to be cleared
     with it.
     """
     spark = canonical.sparkSession
-    name = re.sub(r"[^A-Za-z0-9_.-]", "_", f"{job.target_path}-{run_id}-{job.batches}")
-    folder = f"{checkpoint_dir(spark)}/vectorferry-layout/{name}"
+    folder = f"{checkpoint_dir(spark)}/vectorferry-layout/{token}"
     schema = canonical.withColumn("batch_id", F.lit(0).cast("bigint")).schema
     staged = collection._read(spark, f"{folder}/_complete", "batches int")
     if staged is None or staged.isEmpty():

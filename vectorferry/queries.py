@@ -8,8 +8,9 @@ term, JSON as one row per key.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions import text as text_functions
 from vectorferry.functions import vectors
 from vectorferry.functions.hashing import hash_bucket
-from vectorferry.model import CollectionSpec
+from vectorferry.model import CollectionSpec, canonical_columns, no_sparse
 from vectorferry.operators import batches, collection, encode, quality, report
 from vectorferry.operators.detect import detect_dimension, payload_key_profile, payload_types
 from vectorferry.plans.job import MigrationJob, good_rows, migrate, read_source, to_target, verify
@@ -44,6 +45,58 @@ def query(function: Query) -> Query:
     return function
 
 
+# -- a store that knows positions only, for the paged source -------------------
+
+
+class ParquetPager:
+    """Rows of parquet files in path order, as a store of pages; holds one row group at a time.
+
+    It stands for a store that the paged source reads; parquet itself is better read
+    with ``spark.read.parquet``, which prunes, pushes filters down and lists files once.
+    """
+
+    def __init__(self, options: Mapping[str, str]):
+        import pyarrow.dataset as ds
+
+        self._columns = [c.strip() for c in options["columns"].split(",")] if options.get("columns") else None
+        self._dataset = ds.dataset(options["path"], format="parquet")
+        self._groups: list[tuple] | None = None
+        self._held: tuple[int, pa.Table] | None = None
+
+    def schema(self) -> pa.Schema:
+        schema = self._dataset.schema
+        if self._columns:
+            schema = pa.schema([schema.field(c) for c in self._columns])
+        return schema.remove_metadata()
+
+    def _row_groups(self) -> list[tuple]:
+        if self._groups is None:
+            self._groups, start = [], 0
+            for fragment in sorted(self._dataset.get_fragments(), key=lambda f: f.path):
+                for group in fragment.split_by_row_group():
+                    rows = group.row_groups[0].num_rows  # count_rows counts the whole file
+                    self._groups.append((start, rows, group))
+                    start += rows
+        return self._groups
+
+    def _table(self, start: int, group) -> pa.Table:
+        if self._held is None or self._held[0] != start:
+            table = group.to_table(columns=self._columns).replace_schema_metadata(None)
+            self._held = (start, table)
+        return self._held[1]
+
+    def count(self) -> int:
+        return self._dataset.count_rows()
+
+    def fetch(self, offset: int, limit: int) -> list[pa.RecordBatch]:
+        batches: list[pa.RecordBatch] = []
+        for start, rows, group in self._row_groups():
+            low, high = max(offset, start), min(offset + limit, start + rows)
+            if low < high:
+                batches.extend(self._table(start, group).slice(low - start, high - low).to_batches())
+        return batches
+
+
 # -- collections made from the tables -----------------------------------------
 
 
@@ -208,7 +261,7 @@ def src_columnar_pages(spark, folder):
 def src_paged(spark, folder):
     register_paged(spark)
     return (
-        spark.read.format("paged")
+        spark.read.format("paged").option("pager", "vectorferry.queries:ParquetPager")
         .option("path", f"{folder}/events.parquet")
         .option("columns", "event_id,user_id,event_type,value,props")
         .option("pageSize", 1000).option("pagesPerTask", 4)
@@ -270,6 +323,24 @@ def upsert_idempotent(spark, folder):
     return turn_columns(collection.read_collection(spark, path, ["filter", "meta"]))
 
 
+@query
+def upsert_updates(spark, folder):
+    """Ids below 10 come again with another label, and one id is new."""
+    path = scratch(spark)
+    rows = table(spark, folder, "embeddings").select(
+        F.col("vec_id").cast("string").alias("id"), "embedding", no_sparse().alias("keywords"),
+        F.to_json(F.struct("label")).alias("filter"), F.lit("{}").alias("meta"),
+        F.lit(1).cast("bigint").alias("seq"), "vec_id", "label")
+    collection.ensure_collection(spark, path, CollectionSpec("embeddings", DIMENSION))
+    collection.upsert(rows, path, "first")
+    later = rows.filter("vec_id < 10").withColumn("seq", F.lit(2).cast("bigint"))
+    later = later.withColumn("filter", F.to_json(F.struct((F.col("label") + 100).alias("label"))))
+    collection.upsert(later, path, "second")
+    collection.upsert(later.filter("vec_id = 0").withColumn("id", F.lit("new")), path, "second")
+    return collection.read_collection(spark, path).select(
+        "id", *dense_columns("embedding"), payload_value("filter", "label", "int").alias("label"))
+
+
 @query
 def compact_collection(spark, folder):
     path, rows = scratch(spark), turn_rows(spark, folder)
@@ -339,9 +410,11 @@ def payload_types_query(spark, folder):
 
 @query
 def norm_id(spark, folder):
+    """Ids as the readers make them."""
+    nothing = F.lit(None)
     return table(spark, folder, "events").select(
-        "event_id", F.col("event_id").cast("string").alias("id")
-    )
+        "event_id", *canonical_columns(F.col("event_id"), nothing, nothing, nothing, F.lit(0))
+    ).select("event_id", "id")
 
 
 @query
@@ -413,7 +486,7 @@ def hybrid_row_counts(spark, folder):
 
 
 def split_events(spark: SparkSession, folder: str, fields: str) -> DataFrame:
-    events = batches.spread(table(spark, folder, "events"))
+    events = table(spark, folder, "events")
     rows = events.select("event_id", event_payload().alias("payload"))
     parsed = rows.withColumn("entries", payload_functions.entries(F.col("payload")))
     to_filter, to_meta = payload_functions.split(
@@ -481,6 +554,31 @@ def quarantine_rows(spark, folder):
     return bad.select("id", "reason").unionByName(good.select("id", F.lit("ok").alias("reason")))
 
 
+@query
+def quarantine_pages(spark, folder):
+    """Pages whose metadata cannot be read are set aside with the text they had."""
+    broken = F.transform("metadatas", lambda m, i: F.when(i % 3 == 0, F.concat(m, F.lit("}"))).otherwise(m))
+    pages = columnar_pages(spark, folder).withColumn("metadatas", broken)
+    _, bad = quality.quarantine(read_columnar_pages(pages), DIMENSION)
+    raw = F.get_json_object("raw", "$.payload")
+    return bad.select("id", "reason", F.when(F.col("reason") == "bad_payload", raw).alias("payload"))
+
+
+@query
+def pages_duplicate_ids(spark, folder):
+    """Of an id that comes again, on a page or a later one, the last stays."""
+    documents = table(spark, folder, "documents").select(
+        F.floor(F.col("doc_id") / 100).alias("page"), F.col("doc_id") % 100 % 40 + F.col("doc_id") % 3 * 1000, "doc_id")
+    documents = documents.toDF("page", "id", "doc_id")
+    rows = F.sort_array(F.collect_list(F.struct("doc_id", "id")))
+    pages = documents.groupBy("page").agg(rows.alias("r")).select(
+        "page", F.transform("r", lambda x: x["id"].cast("string")).alias("ids"),
+        F.transform("r", lambda x: F.array(x["doc_id"].cast("float"))).alias("embeddings"),
+        F.transform("r", lambda x: x["doc_id"].cast("string")).alias("documents"))
+    return collection.last_write_wins(read_columnar_pages(pages, seq="page")).select(
+        "id", payload_value("payload", "document", "bigint").alias("doc_id"))
+
+
 # -- sparse encoding ------------------------------------------------------------
 
 
@@ -699,6 +797,18 @@ def migrate_pages(spark, folder):
     )
 
 
+@query
+def migrate_batches(spark, folder):
+    """Four batches with the mean length of the corpus, found once."""
+    job = MigrationJob(
+        "milvus", scratch(spark), "documents", target_type="hybrid", sparse_algo="bm25",
+        text_field="text", batches=4,
+    )
+    rows = migrated(spark, field_records(spark, folder), job)
+    return rounded_terms(
+        rows.select("id", F.size("embedding").alias("dim"), F.col("keywords").alias("sparse")), "id", "dim")
+
+
 @query
 def verify_migration(spark, folder):
     job = MigrationJob(

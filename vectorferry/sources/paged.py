@@ -2,9 +2,9 @@
 
 A pager answers two questions: how many rows there are, and which rows are in
 ``[offset, offset + limit)``. Page ranges are spread over tasks, so executors
-fetch in parallel; each fetch is retried. The built-in pager reads parquet; a
-pager for another store is a class named in the option ``pager`` as
-``module:Class`` and is given all options, whose names are not case-sensitive.
+fetch in parallel; each fetch is retried, also when it hangs. A pager is a class named
+in the option ``pager`` as ``module:Class`` and is given all options, whose names are not
+case-sensitive. ``pagesPerTask`` and ``maxTasks`` bound the ranges.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import importlib
 import time
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from queue import Empty, Queue
+from threading import Thread
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -26,7 +28,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.pandas.types import from_arrow_schema
 
 FETCH_ATTEMPTS = 5
-MAX_TASKS = 20_000
+FETCH_TIMEOUT = 60.0  # seconds
 
 
 @dataclass
@@ -35,72 +37,46 @@ class PageRange(InputPartition):
     stop: int
 
 
+def _within(call: Callable, seconds: float | None):
+    """The result of a call, or ``TimeoutError`` if it takes longer; the call is then left behind."""
+    if seconds is None:
+        return call()
+    answer: Queue = Queue()
+
+    def run() -> None:
+        try:
+            answer.put((call(), None))
+        except BaseException as error:
+            answer.put((None, error))
+
+    Thread(target=run, daemon=True).start()
+    try:
+        value, error = answer.get(timeout=seconds)
+    except Empty:
+        raise TimeoutError(f"no answer within {seconds} s") from None
+    if error is not None:
+        raise error
+    return value
+
+
 def with_retries(
-    call: Callable, attempts: int = FETCH_ATTEMPTS, sleep: Callable[[float], None] = time.sleep
+    call: Callable, attempts: int = FETCH_ATTEMPTS, sleep: Callable[[float], None] = time.sleep,
+    timeout: float | None = FETCH_TIMEOUT,
 ):
-    """Call until it succeeds; waits 1, 2, 4, 8 s between five attempts."""
+    """Call until it succeeds; waits 1, 2, 4, 8 s between five attempts of ``timeout`` seconds each."""
     for attempt in range(attempts):
         try:
-            return call()
+            return _within(call, timeout)
         except Exception:
             if attempt == attempts - 1:
                 raise
             sleep(2 ** attempt)
 
 
-class ParquetPager:
-    """Rows of parquet files in path order; holds one row group at a time.
-
-    For sources that know positions only. Parquet itself is better read with
-    ``spark.read.parquet``, which prunes, pushes filters down and lists files once.
-    """
-
-    def __init__(self, options: Mapping[str, str]):
-        import pyarrow.dataset as ds
-
-        self._columns = [c.strip() for c in options["columns"].split(",")] if options.get("columns") else None
-        self._dataset = ds.dataset(options["path"], format="parquet")
-        self._groups: list[tuple] | None = None
-        self._held: tuple[int, pa.Table] | None = None
-
-    def schema(self) -> pa.Schema:
-        schema = self._dataset.schema
-        if self._columns:
-            schema = pa.schema([schema.field(c) for c in self._columns])
-        return schema.remove_metadata()
-
-    def _row_groups(self) -> list[tuple]:
-        if self._groups is None:
-            self._groups, start = [], 0
-            for fragment in sorted(self._dataset.get_fragments(), key=lambda f: f.path):
-                for group in fragment.split_by_row_group():
-                    rows = group.row_groups[0].num_rows  # count_rows counts the whole file
-                    self._groups.append((start, rows, group))
-                    start += rows
-        return self._groups
-
-    def _table(self, start: int, group) -> pa.Table:
-        if self._held is None or self._held[0] != start:
-            table = group.to_table(columns=self._columns).replace_schema_metadata(None)
-            self._held = (start, table)
-        return self._held[1]
-
-    def count(self) -> int:
-        return self._dataset.count_rows()
-
-    def fetch(self, offset: int, limit: int) -> list[pa.RecordBatch]:
-        batches: list[pa.RecordBatch] = []
-        for start, rows, group in self._row_groups():
-            low, high = max(offset, start), min(offset + limit, start + rows)
-            if low < high:
-                batches.extend(self._table(start, group).slice(low - start, high - low).to_batches())
-        return batches
-
-
 def _pager(options: Mapping[str, str]):
     name = options.get("pager")
     if not name:
-        return ParquetPager(options)
+        raise ValueError("option 'pager' must name a pager, module:Class")
     module, _, attribute = name.partition(":")
     return getattr(importlib.import_module(module), attribute)(options)
 
@@ -114,49 +90,50 @@ class _Pages:
         if self.page_size <= 0:
             raise ValueError("pageSize must be positive")
         self.pages_per_task = int(self.options.get("pagesPerTask", 64))
+        self.max_tasks = int(self.options.get("maxTasks", 20_000))
+        self.timeout = float(self.options.get("timeout", FETCH_TIMEOUT))
+
+    def ask(self, call: Callable):
+        return with_retries(call, timeout=self.timeout)
 
     def ranges(self, start: int, stop: int) -> list[PageRange]:
         """Whole pages per task; more than asked for if there would be too many tasks."""
         pages = -(-max(stop - start, 0) // self.page_size)
-        step = self.page_size * max(self.pages_per_task, -(-pages // MAX_TASKS))
+        step = self.page_size * max(self.pages_per_task, -(-pages // self.max_tasks))
         return [PageRange(a, min(a + step, stop)) for a in range(start, stop, step)]
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
-        pager = with_retries(lambda: _pager(self.options))
+        pager = self.ask(lambda: _pager(self.options))
         for offset in range(partition.start, partition.stop, self.page_size):
             limit = min(self.page_size, partition.stop - offset)
-            yield from with_retries(lambda: pager.fetch(offset, limit))
+            yield from self.ask(lambda: list(pager.fetch(offset, limit)))
 
 
 class PagedReader(_Pages, DataSourceReader):
     def partitions(self) -> list[PageRange]:
-        stop = with_retries(lambda: _pager(self.options).count())
+        stop = self.ask(lambda: _pager(self.options).count())
         return self.ranges(int(self.options.get("startOffset", 0)), stop)
 
 
 class PagedStreamReader(_Pages, DataSourceStreamReader):
-    """Offsets are row positions; a micro-batch takes at most ``maxRowsPerBatch``."""
+    """Offsets are row positions; a micro-batch takes all there is, spread over tasks.
 
-    def __init__(self, options: Mapping[str, str]):
-        super().__init__(options)
-        full = self.page_size * self.pages_per_task
-        self.max_rows = int(self.options.get("maxRowsPerBatch", full))
-        self.reached = int(self.options.get("startOffset", 0))
+    Spark asks a source like this only once for the end of an ``availableNow`` run, so a
+    bound on micro-batches would leave rows behind.
+    """
 
     def initialOffset(self) -> dict:
         return {"row": int(self.options.get("startOffset", 0))}
 
     def latestOffset(self) -> dict:
-        stop = with_retries(lambda: _pager(self.options).count())
-        self.reached = min(stop, self.reached + self.max_rows)
-        return {"row": self.reached}
+        stop = self.ask(lambda: _pager(self.options).count())
+        return {"row": max(stop, self.initialOffset()["row"])}
 
     def partitions(self, start: dict, end: dict) -> list[PageRange]:
-        self.reached = max(self.reached, end["row"])
         return self.ranges(start["row"], end["row"])
 
     def commit(self, end: dict) -> None:
-        self.reached = max(self.reached, end["row"])
+        pass
 
 
 class PagedSource(DataSource):

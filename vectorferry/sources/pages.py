@@ -10,6 +10,8 @@ from vectorferry.functions import vectors
 from vectorferry.model import canonical_columns, no_sparse
 from vectorferry.operators import gates
 
+PAGE_ROWS = 1 << 24  # more than a page holds
+
 
 def read_columnar_pages(
     df: DataFrame,
@@ -22,6 +24,8 @@ def read_columnar_pages(
 
     With ``store_document`` a non-empty document goes into the payload under the
     key ``document``. Any ``text_field`` asks for the documents as column ``text``.
+    ``seq`` names the column with the number of the page; rows stand in the order of
+    pages, then of their places, and of equal ids the later wins.
     """
     if source_type:
         gates.check_source_type(False, source_type)
@@ -34,13 +38,14 @@ def read_columnar_pages(
         F.explode(F.transform(
             F.col("ids"),
             lambda id_, i: F.struct(
+                i.alias("place"),
                 id_.cast("string").alias("id"),
                 value("embeddings", i).alias("embedding"),
                 value("documents", i).alias("document"),
                 value("metadatas", i).alias("metadata"),
             ),
         )).alias("r"),
-        (F.col(seq) if seq else F.lit(0)).alias("seq"),
+        (F.col(seq) if seq else F.lit(0)).cast("bigint").alias("page"),
     )
     gates.check_wire_precision(rows.select("r.embedding"), "embedding")
     body = F.col("r.metadata")
@@ -50,7 +55,8 @@ def read_columnar_pages(
     if store_document:
         body = payload_functions.with_document(body, F.col("r.document"))
     columns = canonical_columns(
-        F.col("r.id"), vectors.dense(F.col("r.embedding")), no_sparse(), body, F.col("seq")
+        F.col("r.id"), vectors.dense(F.col("r.embedding")), no_sparse(), body,
+        F.col("page") * PAGE_ROWS + F.col("r.place"),
     )
     if text_field:
         columns.append(F.coalesce(F.col("r.document"), F.lit("")).alias("text"))

@@ -5,11 +5,18 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vectorferry.operators import collection, quality, report
-from vectorferry.plans.job import MigrationJob, check_job, filter_names, setup, to_target
+from vectorferry.plans.job import (
+    MigrationJob,
+    check_job,
+    create_target,
+    filter_names,
+    read_source,
+    to_target,
+    write_part,
+)
 
 
 def check_stream_job(job: MigrationJob) -> None:
@@ -35,18 +42,23 @@ def batch_writer(
 ):
     """Function for ``foreachBatch``.
 
-    A micro-batch that is replayed has the same rows: it is skipped if the ledger has
-    it, else it overwrites its own folder. An error fails the query before its offset
-    is committed.
+    A micro-batch that is replayed has the same rows: it is skipped if its own ledger
+    folder has a row, else it is written as a new attempt. Filter fields are looked for
+    in the first micro-batch with rows. An error fails the query before its offset is
+    committed.
     """
+    unchecked = [job.filter_fields]
+
     def write(canonical: DataFrame, batch_id: int) -> None:
-        ledger = collection.read_ledger(canonical.sparkSession, job.target_path)
-        if not ledger.filter((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)).isEmpty():
+        if not collection.read_ledger(canonical.sparkSession, job.target_path, run_id, batch_id).isEmpty():
             return
+        if unchecked and not canonical.isEmpty():
+            quality.check_filter_fields(canonical, unchecked[0], strict=job.strict_filter_fields)
+            unchecked.clear()
         if fail_on_empty_text and job.sparse_algo and not canonical.isEmpty():
             quality.check_text(canonical)
         rows = to_target(canonical, dimension, filter_fields, job.sparse_algo, job.average_length)
-        collection.write_batch(rows, job.target_path, run_id, batch_id)
+        write_part(rows, job, run_id, batch_id)
 
     return write
 
@@ -64,7 +76,8 @@ def start_stream(
     ends it after the micro-batch at hand or loses only that one.
     """
     check_stream_job(job)
-    canonical, dimension = setup(df, job)
+    canonical = read_source(df, job)
+    dimension = create_target(canonical, job)
     writer = canonical.writeStream.foreachBatch(
         batch_writer(job, stream_run(checkpoint), dimension, filter_names(df, job), fail_on_empty_text)
     ).option("checkpointLocation", checkpoint)
@@ -82,8 +95,11 @@ def migrate_stream(
     """
     spark = df.sparkSession
     run_id = stream_run(checkpoint)
-    start_stream(df, job, checkpoint, fail_on_empty_text).awaitTermination()
+    try:
+        start_stream(df, job, checkpoint, fail_on_empty_text).awaitTermination()
+    except Exception:
+        collection.commit(spark, job.target_path, run_id, collection.FAILED)
+        raise
     if not collection.is_completed(spark, job.target_path, run_id):
         collection.mark_completed(spark, job.target_path, run_id)
-    ledger = collection.read_ledger(spark, job.target_path)
-    return report.throughput(report.run_report(ledger.filter(F.col("run_id") == run_id)))
+    return report.throughput(report.run_report(collection.read_ledger(spark, job.target_path, run_id)))
