@@ -289,7 +289,7 @@ UNION ALL SELECT 'new', {_dense('embedding')}, label + 100 FROM embeddings WHERE
 ORACLES["quarantine_pages"] = f"""WITH {RECORDS}, placed AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) - 1 AS i FROM records)
 SELECT id, CASE WHEN embedding IS NULL THEN 'missing_embedding' ELSE 'bad_payload' END AS reason,
-  CASE WHEN embedding IS NOT NULL THEN '{{"lang":"' || lang || '","source":"' || source || '"}}}}' END AS payload
+  CASE WHEN embedding IS NOT NULL THEN '{{"lang":"' || lang || '","source":"' || source || '"' END AS payload
 FROM placed WHERE embedding IS NULL OR i % 3 = 0"""
 
 ORACLES["pages_duplicate_ids"] = """SELECT (doc_id % 100 % 40 + doc_id % 3 * 1000)::varchar id, max(doc_id) doc_id

@@ -259,9 +259,9 @@ def src_columnar_pages(spark, folder):
 
 @query
 def src_paged(spark, folder):
-    register_paged(spark)
+    register_paged(spark, ParquetPager)
     return (
-        spark.read.format("paged").option("pager", "vectorferry.queries:ParquetPager")
+        spark.read.format("paged")
         .option("path", f"{folder}/events.parquet")
         .option("columns", "event_id,user_id,event_type,value,props")
         .option("pageSize", 1000).option("pagesPerTask", 4)
@@ -557,7 +557,7 @@ def quarantine_rows(spark, folder):
 @query
 def quarantine_pages(spark, folder):
     """Pages whose metadata cannot be read are set aside with the text they had."""
-    broken = F.transform("metadatas", lambda m, i: F.when(i % 3 == 0, F.concat(m, F.lit("}"))).otherwise(m))
+    broken = F.transform("metadatas", lambda m, i: F.when(i % 3 == 0, F.rtrim(m, F.lit("}"))).otherwise(m))
     pages = columnar_pages(spark, folder).withColumn("metadatas", broken)
     _, bad = quality.quarantine(read_columnar_pages(pages), DIMENSION)
     raw = F.get_json_object("raw", "$.payload")

@@ -73,10 +73,12 @@ def with_retries(
             sleep(2 ** attempt)
 
 
-def _pager(options: Mapping[str, str]):
+def _pager(options: Mapping[str, str], default: Callable | None = None):
     name = options.get("pager")
     if not name:
-        raise ValueError("option 'pager' must name a pager, module:Class")
+        if default is None:
+            raise ValueError("option 'pager' must name a pager, module:Class")
+        return default(options)
     module, _, attribute = name.partition(":")
     return getattr(importlib.import_module(module), attribute)(options)
 
@@ -84,8 +86,9 @@ def _pager(options: Mapping[str, str]):
 class _Pages:
     """Shared by the batch and the streaming reader."""
 
-    def __init__(self, options: Mapping[str, str]):
+    def __init__(self, options: Mapping[str, str], default: Callable | None = None):
         self.options = CaseInsensitiveDict(dict(options))
+        self.default = default
         self.page_size = int(self.options.get("pageSize", 1000))
         if self.page_size <= 0:
             raise ValueError("pageSize must be positive")
@@ -103,7 +106,7 @@ class _Pages:
         return [PageRange(a, min(a + step, stop)) for a in range(start, stop, step)]
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
-        pager = self.ask(lambda: _pager(self.options))
+        pager = self.ask(lambda: _pager(self.options, self.default))
         for offset in range(partition.start, partition.stop, self.page_size):
             limit = min(self.page_size, partition.stop - offset)
             yield from self.ask(lambda: list(pager.fetch(offset, limit)))
@@ -111,7 +114,7 @@ class _Pages:
 
 class PagedReader(_Pages, DataSourceReader):
     def partitions(self) -> list[PageRange]:
-        stop = self.ask(lambda: _pager(self.options).count())
+        stop = self.ask(lambda: _pager(self.options, self.default).count())
         return self.ranges(int(self.options.get("startOffset", 0)), stop)
 
 
@@ -126,7 +129,7 @@ class PagedStreamReader(_Pages, DataSourceStreamReader):
         return {"row": int(self.options.get("startOffset", 0))}
 
     def latestOffset(self) -> dict:
-        stop = self.ask(lambda: _pager(self.options).count())
+        stop = self.ask(lambda: _pager(self.options, self.default).count())
         return {"row": max(stop, self.initialOffset()["row"])}
 
     def partitions(self, start: dict, end: dict) -> list[PageRange]:
@@ -137,19 +140,25 @@ class PagedStreamReader(_Pages, DataSourceStreamReader):
 
 
 class PagedSource(DataSource):
+    default: Callable | None = None
+
     @classmethod
     def name(cls) -> str:
         return "paged"
 
     def schema(self):
-        return from_arrow_schema(_pager(self.options).schema(), prefer_timestamp_ntz=True)
+        return from_arrow_schema(_pager(self.options, type(self).default).schema(), prefer_timestamp_ntz=True)
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(self.options)
+        return PagedReader(self.options, type(self).default)
 
     def streamReader(self, schema) -> PagedStreamReader:
-        return PagedStreamReader(self.options)
+        return PagedStreamReader(self.options, type(self).default)
+
 
+def register_paged(spark: SparkSession, pager: Callable | None = None) -> None:
+    """Make ``spark.read.format("paged")`` known; ``pager`` is used where no option names one.
 
-def register_paged(spark: SparkSession) -> None:
-    spark.dataSource.register(PagedSource)
+    A pager given here travels with the query, so executors need not have its module.
+    """
+    spark.dataSource.register(type("PagedSource", (PagedSource,), {"default": pager}))
