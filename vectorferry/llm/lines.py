@@ -96,13 +96,16 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     lines = document_lines(docs, id_column, text_column, site_column)
     least = min(setting.sites, setting.long_sites)
-    often = lines.groupBy("h", "g").agg(F.count("pos").alias("n")).filter(F.col("n") >= least).select("h", "g")
+    # tables of their own, so that a join with them can be split where a line is very frequent
+    often = materialize(
+        lines.groupBy("h", "g").agg(F.count("pos").alias("n")).filter(F.col("n") >= least).select("h", "g"), "often")
     shared = materialize(lines.join(often, ["h", "g"], "left_semi"), "lines")
     spread = boilerplate(shared, setting)
     marked = materialize(shared.join(spread, ["h", "g"], "left_semi").filter("id is not null"), "marked")
-    first_id = marked.groupBy("h", "g").agg(F.min("id").alias("first"))
-    first = marked.join(first_id, ["h", "g"]).filter("id = first").groupBy("h", "g", "first").agg(
-        F.min("pos").alias("place"))
+    first_id = materialize(marked.groupBy("h", "g").agg(F.min("id").alias("first")), "first")
+    first = materialize(
+        marked.join(first_id, ["h", "g"]).filter("id = first").groupBy("h", "g", "first").agg(F.min("pos").alias("place")),
+        "first")
     gone = marked.join(first, ["h", "g"]).filter("not (id = first and pos = place)").select("id", "pos").distinct()
     gone = gone.groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("_gone")).withColumnRenamed("id", "_id")
 
