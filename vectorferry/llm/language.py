@@ -223,8 +223,8 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             words = LetterWords(tables, _texts(part, text))
             texts, langs = part.num_rows, len(model.languages)
             counts = np.bincount(words.owner, minlength=texts)
-            scores = word_scores(words, model)
-            labels = viterbi(scores, counts, penalty) if langs else np.zeros(len(scores), np.int16)
+            scores = word_scores(words, model) if langs else np.zeros((len(words.starts), 1), np.float32)
+            labels = viterbi(scores, counts, penalty)
             letters = np.zeros((texts, max(1, langs)))
             np.add.at(letters, (words.owner, labels), words.lengths)
             total = np.zeros((texts, max(1, langs)))
