@@ -142,13 +142,15 @@ def train(docs: DataFrame, text_column: str = "text", most_rows: int = 2_000, ea
           seed: int = 5) -> Model:
     """Fit the regression on the driver, on a bounded sample.
 
-    ``most_rows`` paragraphs of the corpus, those with the smallest hashes, stand for
-    the unknown class and lend words to surround notices with; ``each`` variations of
-    each notice stand for its family. A fifth is held out to choose the temperature
+    About ``most_rows`` distinct paragraphs of the corpus, chosen by their hashes, stand
+    for the unknown class and lend words to surround notices with; ``each`` variations
+    of each notice stand for its family. A fifth is held out to choose the temperature
     that makes the probabilities fit best.
     """
     lines = docs.select(F.explode(F.split(text_column, "\n")).alias("line")).filter("length(line) between 1 and 2000")
-    sample = [r[0] for r in lines.orderBy(F.xxhash64("line"), "line").limit(most_rows).collect()]
+    part = most_rows / max(most_rows, lines.count())  # each task then sends its share only
+    drawn = lines.filter(F.pmod(F.xxhash64("line"), F.lit(1 << 40)) < int(part * (1 << 40))).distinct()
+    sample = sorted(r[0] for r in drawn.limit(2 * most_rows).collect())
     families = tuple(sorted(TEMPLATES))
     rng = np.random.default_rng(seed)
     fill = sorted({w for line in sample[:200] for w in line.split()[:20]})
