@@ -21,6 +21,7 @@ from vectorferry.llm.kernels import CHUNK_BYTES
 
 UNKNOWN = "und"
 TRIGRAM_BITS = 16
+SIDE_BY_SIDE = 8  # chunks of texts whose paths advance together
 PLANES = 0x20000  # code points that the letter tables cover; later ones are looked at one by one
 
 # First and last code points of scripts, by the Unicode blocks.
@@ -217,17 +218,31 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarra
 
 
 def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
+    langs = len(model.languages)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Letters()
+        held: list[tuple[pa.RecordBatch, LetterWords, np.ndarray, np.ndarray]] = []
         for part in _parts(batches, text):
             words = LetterWords(tables, _texts(part, text))
-            texts, langs = part.num_rows, len(model.languages)
-            counts = np.bincount(words.owner, minlength=texts)
             scores = word_scores(words, model) if langs else np.zeros((len(words.starts), 1), np.float32)
-            labels = viterbi(scores, counts, penalty)
-            letters = np.zeros((texts, max(1, langs)))
-            np.add.at(letters, (words.owner, labels), words.lengths)
-            total = np.zeros((texts, max(1, langs)))
+            del words.bucket
+            held.append((part, words, np.bincount(words.owner, minlength=part.num_rows), scores))
+            if len(held) == SIDE_BY_SIDE:
+                yield from decided(held)
+                held.clear()
+        if held:
+            yield from decided(held)
+
+    def decided(held) -> Iterator[pa.RecordBatch]:
+        every = viterbi(np.concatenate([h[3] for h in held]), np.concatenate([h[2] for h in held]), penalty)
+        at = 0
+        for part, words, counts, scores in held:
+            labels, at = every[at: at + len(scores)], at + len(scores)
+            texts = part.num_rows
+            kinds = max(1, langs)
+            letters = np.bincount(words.owner * kinds + labels, words.lengths, texts * kinds).reshape(texts, kinds)
+            total = np.zeros((texts, kinds))
             if len(scores):
                 filled = counts > 0
                 total[filled] = np.add.reduceat(
@@ -238,7 +253,8 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             rows = np.arange(texts)
             own = np.zeros_like(total)  # over the words that the path gives to the language
             mine = labels == pick[words.owner]
-            np.add.at(own, words.owner[mine], scores[mine].astype(np.float64))
+            for k in range(kinds):
+                own[:, k] = np.bincount(words.owner[mine], scores[mine, k], texts)
             chance = np.exp(np.minimum(0, own - own[rows, pick][:, None]))
             share = letters[rows, pick] / np.maximum(1, letters.sum(axis=1))
             score = np.where(has, share / np.maximum(1, chance.sum(axis=1)), 0.0)
