@@ -192,7 +192,7 @@ def tile_pairs(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", tex
     documents as a bit filter of fixed size (``2 ** filter_bits`` bits); what passes
     it wrongly is left out by the join.
     """
-    spark, k = docs.sparkSession, setting.shortest
+    k = setting.shortest
     source = items.select(F.col(item_column).alias("item"), F.col(item_text).alias("text"))
     kind = source.schema["item"].dataType.simpleString()
     tokens = materialize(
