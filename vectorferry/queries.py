@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from vectorferry.functions import payload as payload_functions
 from vectorferry.functions import sparse as sparse_functions
-from vectorferry.functions import text as text_functions
 from vectorferry.functions import vectors
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.model import CollectionSpec, canonical_columns, no_sparse
