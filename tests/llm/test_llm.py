@@ -163,6 +163,24 @@ def test_spaced_letters_are_found(grams):
     assert restored[0] == "say idiot now" and restored[2] == texts[2]
 
 
+@pytest.mark.parametrize("text, restored", [
+    ("so s 7 u p 1 d now", "so stupid now"), ("5 7 u p 1 d", "stupid"), ("a  s  t  u  p  i  d", "a stupid"),
+    ("s\tt\tu\tp\ti\td", "stupid"), ("s\nt\nu\np\ni\nd", "stupid"), ("s\xa0t\xa0u\xa0p\xa0i\xa0d", "stupid"),
+    ("s t u p i d i d i o t", "stupid idiot"), ("m o r o n  i d i o t.", "moron idiot"), ("not a n d but", "not and but"),
+    ("iiddiioott", "idiot"), ("ssttuuppiidd", "stupid"), ("m 0 r 0 n, and", "moron and"), ("good books", "good books"),
+    ("1 2 3 4 5", "1 2 3 4 5"), ("10 a 20 b 30 c", "10 a 20 b 30 c"),
+])
+def test_spacing_and_doubling(grams, text, restored):
+    found = toxicity.restore_texts(language.Letters(), toxicity.Restorer(grams), ["x", text, "s t"])
+    assert found == ["x", restored, "s t"]
+
+
+def test_spaced_runs_end_with_their_text(grams):
+    assert toxicity.disguised(language.Letters(), ["s t", "u p", "i d"], 3) == [[], [], []]
+    long = " ".join("idiot" * 2_000)
+    assert toxicity.restore_texts(language.Letters(), toxicity.Restorer(grams), [long])[0].replace(" ", "") == "idiot" * 2_000
+
+
 def test_toxicity_edges(spark, edge, grams):
     rows = [(i, f"words number {i} that idiot wrote about w{i * 7}" if i % 3 == 0 else f"words number {i} nice w{i * 5}", "en", "a")
             for i in range(150)]

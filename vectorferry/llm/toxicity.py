@@ -11,6 +11,7 @@ the score of its surest feature.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,12 +29,15 @@ LOOKALIKES = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "¥": "y",
 }
+CORE = "0123456789@$€£¥"  # lookalikes that are no punctuation
 PARTING = "-_./'’,:;&"  # may also stand between two words
 
 GRAM_BITS, NEAR_BITS = 18, 20
 # log costs of the channel
 SUBSTITUTED, SKIPPED, DROPPED, OUTER = -0.7, -3.0, -7.0, -0.1  # dropped: a lookalike that stands for nothing
 COLLAPSED, SINGLED, PARTED = -0.5, -4.0, -1.5  # singled: a double letter meant as one
+JOINED, WIDE = 0.0, -1.5  # letters across a blank, and across one that is wider than others
+BLANKS = [i for i in range(PLANES) if chr(i).isspace()]
 
 
 @dataclass(frozen=True)
@@ -119,6 +123,7 @@ class Restorer:
     """Decodes disguised tokens; remembers what it has decoded, up to a bound."""
 
     MOST = 200_000
+    LONGEST = 100  # characters of a token that is remembered
 
     def __init__(self, grams: Grams):
         self.grams = grams
@@ -139,19 +144,24 @@ class Restorer:
         if found is None:
             if len(self.known) >= self.MOST:
                 self.known.clear()
-            found = self.known[token] = self._decode(token.lower())
+            found = self._decode(token.lower())
+            if len(token) <= self.LONGEST:
+                self.known[token] = found
         return found
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """For each run of one character: what it may stand for, with its cost."""
+        """For each run of one character: what it may stand for, with its cost.
+
+        A blank parts letters of a word or two words; two blanks rather words.
+        """
         runs: list[tuple[str, int]] = []
         for c in token:
             if runs and runs[-1][0] == c:
                 runs[-1] = (c, runs[-1][1] + 1)
             else:
                 runs.append((c, 1))
-        letters = [i for i, (c, _) in enumerate(runs) if c.isalpha()]
+        letters = [i for i, (c, _) in enumerate(runs) if c.isalpha() or (" " in token and c in CORE)]
         first, last = (letters[0], letters[-1]) if letters else (0, len(runs) - 1)
         columns = []
         for i, (c, n) in enumerate(runs):
@@ -159,19 +169,22 @@ class Restorer:
                 options = [(c, 0.0 if n == 1 else SINGLED if n == 2 else COLLAPSED)]
                 if n > 1:
                     options.append((c * 2, 0.0 if n == 2 else COLLAPSED))
+            elif c == " ":
+                options = [("", JOINED if n == 1 else WIDE), (" ", 0.0)]
             else:
                 options = [(x, SUBSTITUTED) for x in LOOKALIKES.get(c, "")]
-                options.append(("", (DROPPED if options else SKIPPED) if first < i < last else OUTER))
+                inside = first < i < last or i in letters
+                options.append(("", (DROPPED if options else SKIPPED) if inside else OUTER))
                 if c in PARTING and first < i < last:
                     options.append((" ", PARTED))
             columns.append(options)
         return columns
 
     def _decode(self, token: str) -> str:
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # a path: the one before, and a piece
         for options in self.lattice(token):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (ahead, before), (score, text) in states.items():
+            after: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for (ahead, before), (score, path) in states.items():
                 for emitted, cost in options:
                     a, b, value = ahead, before, score + cost
                     for c in emitted:
@@ -183,21 +196,35 @@ class Restorer:
                             a, b = b, ord(c)
                     old = after.get((a, b))
                     if old is None or value > old[0]:
-                        after[a, b] = (value, text + emitted)
+                        after[a, b] = (value, (path, emitted) if emitted else path)
             states = after
-        return max((score + (self.chance(a, b, 0) if b else 0.0), text) for (a, b), (score, text) in states.items())[1]
+        ends = [(score + (self.chance(a, b, 0) if b else 0.0), path) for (a, b), (score, path) in states.items()]
+        most = max(score for score, _ in ends)
+        return max(_along(path) for score, path in ends if score == most)
+
+
+def _along(path: tuple) -> str:
+    pieces = []
+    while path:
+        path, piece = path
+        pieces.append(piece)
+    return "".join(reversed(pieces))
 
 
-SPACED = 4  # single letters in a row from which on they are read as one word
+SPACED = 4  # single characters in a row from which on they may be one word
+SHORTEST = 3  # the same where the lattice decides whether they are
 
 
-def disguised(tables: Letters, texts: list[str]) -> list[list[tuple[int, int]]]:
-    """Ranges of each text that may be disguised: tokens that mix letters with symbols or
-    repeat a letter three times, and runs of single letters parted by one space."""
+def disguised(tables: Letters, texts: list[str], spaced: int = SPACED) -> list[list[tuple[int, int]]]:
+    """Ranges of each text that may be disguised: tokens that mix letters with symbols,
+    repeat a letter three times or double several, and runs of tokens of one character
+    each, also repeated or with punctuation, of which ``spaced`` are letters or lookalikes
+    and at least one is a letter. Blanks between them are of any kind and length."""
     points, letter, first = tables.decode(texts)
+    low = np.minimum(points, PLANES - 1)
     space = np.zeros(PLANES, bool)
-    space[[9, 10, 11, 12, 13, 32, 0xA0]] = True
-    blank = space[np.minimum(points, PLANES - 1)]
+    space[BLANKS] = True
+    blank = space[low]
     edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if not len(starts):
@@ -207,34 +234,60 @@ def disguised(tables: Letters, texts: list[str]) -> list[list[tuple[int, int]]]:
     before[1:], after[:-1] = letter[:-1], letter[1:]
     lookalike = np.zeros(PLANES, bool)
     lookalike[[ord(c) for c in LOOKALIKES]] = True
-    inner = odd & ((before & after) | (lookalike[np.minimum(points, PLANES - 1)] & (before | after)))
-    triple = np.zeros_like(letter)
-    triple[2:] = letter[2:] & (points[2:] == points[1:-1]) & (points[2:] == points[:-2])
-    marked = np.logical_or.reduceat(inner | triple, starts)
-    single = (ends - starts == 1) & letter[starts]
-    close = np.zeros(len(starts), bool)
-    close[1:] = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & (points[ends[:-1]] == 32)
-    ranges: list[list[tuple[int, int]]] = [[] for _ in texts]
+    inner = odd & ((before & after) | (lookalike[low] & (before | after)))
+    again = np.zeros_like(letter)  # the character before it once more
+    again[1:] = points[1:] == points[:-1]
+    triple, double = np.zeros_like(letter), letter & again
+    triple[2:] = letter[2:] & again[2:] & again[1:-1]
+    marked = np.logical_or.reduceat(inner | triple, starts) | (np.add.reduceat(double, starts, dtype=np.int64) > 1)
     owner = np.searchsorted(first, starts, side="right") - 1
-    for i in np.flatnonzero(marked & ~single).tolist():
+    same = again | blank
+    same[starts] = True
+    core = np.zeros(PLANES, bool)
+    core[[ord(c) for c in CORE]] = True
+    core = core[low] | letter
+    single = np.logical_and.reduceat(same, starts) | (np.add.reduceat(core & ~again, starts, dtype=np.int64) == 1)
+    begins = single.copy()
+    begins[1:] &= ~single[:-1] | (owner[1:] != owner[:-1])
+    run = np.cumsum(begins) - 1  # of each single token
+    runs = int(begins.sum())
+    of = run[single]
+    letters = np.bincount(of[np.logical_or.reduceat(letter, starts)[single]], minlength=runs)
+    members = np.bincount(of[np.logical_or.reduceat(core | lookalike[low], starts)[single]], minlength=runs)
+    chosen = (members >= spaced) & (letters > 0)
+    last = np.flatnonzero(single)[np.searchsorted(of, np.arange(runs), side="right") - 1]
+    ranges: list[list[tuple[int, int]]] = [[] for _ in texts]
+    alone = marked.copy()
+    alone[single] &= ~chosen[of]
+    for i in np.flatnonzero(alone).tolist():
         base = int(first[owner[i]])
         ranges[owner[i]].append((int(starts[i]) - base, int(ends[i]) - base))
-    runs = np.flatnonzero(close & ~np.concatenate([close[1:], [False]]))
-    begins = np.flatnonzero(close & ~np.concatenate([[False], close[:-1]])) - 1
-    for a, b in zip(begins.tolist(), runs.tolist()):
-        if b - a + 1 >= SPACED:
-            base = int(first[owner[a]])
-            ranges[owner[a]].append((int(starts[a]) - base, int(ends[b]) - base))
+    for a, b in zip(np.flatnonzero(begins)[chosen].tolist(), last[chosen].tolist()):
+        base = int(first[owner[a]])
+        ranges[owner[a]].append((int(starts[a]) - base, int(ends[b]) - base))
     return ranges
 
 
+def _evened(token: str) -> str:
+    """One blank for the narrowest between its characters, two for each wider one."""
+    blanks = re.findall(r"\s+", token)
+    if not blanks:
+        return token
+
+    def width(blank: str) -> tuple[int, int]:
+        return blank.count("\n"), len(blank)
+
+    least = min(map(width, blanks))
+    return re.sub(r"\s+", lambda m: " " if width(m[0]) == least else "  ", token)
+
+
 def restore_texts(tables: Letters, restorer: Restorer, texts: list[str]) -> list[str]:
     out = []
-    for text, ranges in zip(texts, disguised(tables, texts)):
+    for text, ranges in zip(texts, disguised(tables, texts, SHORTEST)):
         if ranges:
             pieces, at = [], 0
             for begin, end in sorted(ranges):
-                pieces += [text[at:begin], restorer.restore(text[begin:end].replace(" ", ""))]
+                pieces += [text[at:begin], restorer.restore(_evened(text[begin:end]))]
                 at = end
             text = "".join([*pieces, text[at:]])
         out.append(text)
