@@ -305,6 +305,24 @@ def test_licenses(spark, documents, edge):
     assert licenses.scan_licenses(edge.limit(0), model).isEmpty()
 
 
+def test_licenses_wrapped_and_inside_long_texts(spark, documents):
+    model = licenses.train(documents)
+    gpl = ("/*\n * This program is free software: you can redistribute it and/or\n * modify it under the terms of the GNU General\n"
+           " * Public License as published by the Free\n * Software Foundation, either version 3.\n */\nint main;")
+    bsd = ("# Redistribution and use in source and binary forms,\n# with or without modification, are permitted\n"
+           "# provided that the following conditions are met:")
+    share = "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License."
+    text = " ".join(r["text"] for r in documents.filter("lang = 'en' and text is not null").orderBy("doc_id").limit(8).collect()).split()
+    inside = " ".join([*text[:200], licenses.TEMPLATES["mpl"][0], *text[200:400]])
+    both = " ".join([*text[:40], licenses.TEMPLATES["cc-by"][1], *text[40:50], licenses.TEMPLATES["mpl"][0], *text[50:90]])
+    rows = [gpl, bsd, share, inside, both, " ".join(text[:400]), "\n".join(text[:400])]
+    got = by_id(licenses.scan_licenses(docs(spark, [(i, t, "en", "a") for i, t in enumerate(rows)]), model))
+    assert [got[i]["license"] for i in range(4)] == ["gpl", "bsd", "cc-by-sa", "mpl"]
+    assert [len(got[i]["found"]) for i in range(4)] == [1, 1, 1, 1] and got[0]["found"][0]["line"] == 1
+    assert {f["family"] for f in got[4]["found"]} == {"cc-by", "mpl"}
+    assert got[5]["license"] == got[6]["license"] == "unknown"
+
+
 # -- 6 quality --------------------------------------------------------------------
 
 

@@ -1,10 +1,11 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
-Every paragraph of a text gets a score per licence family from a sparse logistic
-regression on its words and word pairs, trained here on variations of licence notices
-against paragraphs of the corpus, which stand for the unknown class. The scores are
-calibrated on held-out examples, and a predicted family counts only if the paragraph
-also holds enough of one of the family's templates.
+Every line of a text, and every window of words whatever lines and comment marks it
+spans, gets a score per licence family from a sparse logistic regression on its words
+and word pairs, trained here on variations of licence notices against paragraphs of the
+corpus, which stand for the unknown class. The scores are calibrated on held-out
+examples, and a predicted family counts only if the line or window also holds enough of
+one of the family's templates. Of candidates that overlap, the one that holds most counts.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from vectorferry.llm.decontaminate import punctuation
 
 UNKNOWN = "unknown"
 FEATURE_BITS = 16
+WINDOW = 64  # words; windows overlap by half, so notices of up to half a window are whole in one
 
 # Short licence notices by family.
 TEMPLATES: dict[str, list[str]] = {
@@ -90,7 +92,7 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
-    templates: tuple[tuple[int, np.ndarray], ...]  # family, sorted hashes of its words and word pairs
+    templates: tuple[tuple[int, np.ndarray, int], ...]  # family, sorted hashes of its words and word pairs, words
 
 
 class Paragraphs:
@@ -103,9 +105,29 @@ class Paragraphs:
         self.line = np.searchsorted(self.edges, self.words.starts, side="left")
         pair = (self.words.hashes[:-1] * np.uint64(0xD6E8FEB86659FD93) + self.words.hashes[1:])
         near = self.line[:-1] == self.line[1:]
-        pairs, of = kernels.mix64(pair[near]), self.line[:-1][near]
+        pair = kernels.mix64(pair)
+        pairs, of = pair[near], self.line[:-1][near]
         self.hashes = np.concatenate([self.words.hashes, pairs])
         self.owner = np.concatenate([self.line, of])
+        self.pair, self.near = pair, self.words.owner[:-1] == self.words.owner[1:]  # of a word and the next
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the features of windows over whole texts with their windows; first and last word of each."""
+        step, words = WINDOW // 2, self.words
+        number = np.where(words.counts > 0, np.maximum(1, -(-(words.counts - step) // step)), 0)
+        head = np.concatenate([[0], np.cumsum(number)])
+        of = np.repeat(np.arange(len(number)), number)
+        start = words.first[of] + (np.arange(len(of)) - head[of]) * step
+        end = np.minimum(start + WINDOW, words.first[of] + words.counts[of])
+        place = np.arange(len(words.hashes)) - words.first[words.owner]
+        own, most = head[words.owner] + place // step, head[words.owner + 1]
+        first, second = own < most, place >= step
+        paired = np.append(self.near, False) if len(place) else np.zeros(0, bool)
+        pair = np.append(self.pair, np.uint64(0)) if len(place) else np.zeros(0, np.uint64)
+        inside = second & (place % step < step - 1)  # the next word is in the window before, too
+        hashes = np.concatenate([words.hashes[first], words.hashes[second], pair[first & paired], pair[inside & paired]])
+        owner = np.concatenate([own[first], own[second] - 1, own[first & paired], own[inside & paired] - 1])
+        return hashes, owner, start, end
 
 
 def _tables():
@@ -122,18 +144,35 @@ def _features(text: str, tables) -> np.ndarray:
     return np.unique(Paragraphs(*_encode([text.replace("\n", " ")]), *tables).hashes)
 
 
+def _length(text: str, tables) -> int:
+    return len(Paragraphs(*_encode([text]), *tables).words.hashes)
+
+
 def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
 
 
-def _variations(text: str, fill: list[str], rng: np.random.Generator, count: int) -> list[str]:
-    """The notice as it is, with words around it, and with a few words left out."""
+def _run(lines: list[str], rng: np.random.Generator, count: int) -> list[str]:
+    """``count`` words of lines drawn from the corpus, fewer if these are short."""
+    out: list[str] = []
+    for i in rng.integers(0, len(lines), 16) if lines and count else []:
+        out += lines[i].split()[: count - len(out)]
+    return out
+
+
+def _variations(text: str, fill: list[str], rng: np.random.Generator, count: int, around: list[str]) -> list[str]:
+    """The notice as it is, with a few words or running text around it, and with a few words left out."""
     out = [text]
     while len(out) < count:
         words = text.split()
         if len(words) > 5 and rng.random() < 0.4:
             words = [w for w in words if rng.random() > 0.1]
-        before, after = (list(rng.choice(fill, rng.integers(0, 5))) if fill else [] for _ in range(2))
+        if len(out) % 2:
+            room = max(0, WINDOW - len(words))
+            left = int(rng.integers(0, room + 1))
+            before, after = _run(around, rng, left), _run(around, rng, room - left)
+        else:
+            before, after = (list(rng.choice(fill, rng.integers(0, 5))) if fill else [] for _ in range(2))
         out.append(" ".join([*before, *words, *after]))
     return out
 
@@ -143,11 +182,15 @@ def train(docs: DataFrame, text_column: str = "text", most_rows: int = 2_000, ea
     """Fit the regression on the driver, on a bounded sample.
 
     About ``most_rows`` distinct paragraphs of the corpus, chosen by their hashes, stand
-    for the unknown class and lend words to surround notices with; ``each`` variations
-    of each notice stand for its family. A fifth is held out to choose the temperature
+    for the unknown class, alone and in windows, and lend words and running text to
+    surround notices with; lines of over 2,000 characters are drawn in pieces of that
+    length. ``each`` variations of each notice stand for its family. A fifth is held out to choose the temperature
     that makes the probabilities fit best.
     """
-    lines = docs.select(F.explode(F.split(text_column, "\n")).alias("line")).filter("length(line) between 1 and 2000")
+    whole = docs.select(F.explode(F.split(text_column, "\n")).alias("line")).filter("length(line) > 0")
+    lines = whole.select(F.explode(F.expr(
+        "case when length(line) <= 2000 then array(line)"
+        " else transform(sequence(1, length(line), 2000), i -> substring(line, i, 2000)) end")).alias("line"))
     part = most_rows / max(most_rows, lines.count())  # each task then sends its share only
     drawn = lines.filter(F.pmod(F.xxhash64("line"), F.lit(1 << 40)) < int(part * (1 << 40))).distinct()
     sample = sorted(r[0] for r in drawn.limit(2 * most_rows).collect())
@@ -155,18 +198,21 @@ def train(docs: DataFrame, text_column: str = "text", most_rows: int = 2_000, ea
     rng = np.random.default_rng(seed)
     fill = sorted({w for line in sample[:200] for w in line.split()[:20]})
     tables = _tables()
-    known = tuple((k, _features(t, tables)) for k, f in enumerate(families) for t in TEMPLATES[f])
+    known = tuple((k, _features(t, tables), _length(t, tables)) for k, f in enumerate(families) for t in TEMPLATES[f])
+    clean = []
+    for line in sample:
+        found = _features(line, tables)
+        if not any(_held(found, t) >= 0.6 for _, t, _ in known):  # a notice in the sample is no unknown
+            clean.append(line)
     texts, labels = [], []
     for k, family in enumerate(families):
         for notice in TEMPLATES[family]:
-            for text in _variations(notice, fill, rng, each):
+            for text in _variations(notice, fill, rng, each, clean):
                 texts.append(text)
                 labels.append(k)
-    for line in sample:
-        found = _features(line, tables)
-        if not any(_held(found, t) >= 0.6 for _, t in known):  # a notice in the sample is no unknown
-            texts.append(line)
-            labels.append(len(families))
+    for line in [*clean, *(" ".join(_run(clean, rng, WINDOW)) for _ in range(len(clean) // 4))]:
+        texts.append(line)
+        labels.append(len(families))
     rows = [np.unique(_bucket(_features(t, tables))) for t in texts]
     label = np.array(labels)
     weights, bias = np.zeros((1 << FEATURE_BITS, len(families) + 1)), np.zeros(len(families) + 1)
@@ -201,35 +247,78 @@ def _held(features: np.ndarray, template: np.ndarray) -> float:
     return float(np.isin(template, features).mean()) if len(template) else 0.0
 
 
+def _span(words: np.ndarray, pairs: np.ndarray, template: np.ndarray, length: int) -> tuple[float, int, int]:
+    """The largest share of a template within one and a half times its words, and the first and
+    last word that it has there; ``pairs`` are of each word and the next."""
+    wide = length + (length + 1) // 2
+    place = np.searchsorted(template, np.concatenate([words, pairs])).clip(max=len(template) - 1)
+    here = template[place] == np.concatenate([words, pairs])
+    at = np.concatenate([np.arange(len(words)), np.arange(len(pairs))])[here]
+    end = np.concatenate([np.arange(len(words)) + 1, np.arange(len(pairs)) + 2])[here]
+    place = place[here]
+    best = (0.0, 0, 0)
+    for start in np.unique(at).tolist():
+        inside = (at >= start) & (end <= start + wide)
+        share = len(np.unique(place[inside])) / len(template)
+        if share > best[0]:
+            best = (share, start, int(end[inside].max()))
+    return best
+
+
 def _scan_task(model: Model, least: float, confirmed: float):
+    classes = len(model.families) + 1
+
+    def chances(hashes: np.ndarray, owner: np.ndarray, touched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bucket = _bucket(hashes)
+        used = touched[bucket]  # features that tell families apart; others move none of them
+        key = np.unique(owner[used] * (1 << FEATURE_BITS) + bucket[used])
+        owner, bucket = key >> FEATURE_BITS, key & ((1 << FEATURE_BITS) - 1)
+        units, first = np.unique(owner, return_index=True)
+        logits = (np.add.reduceat(model.weights[bucket], first, axis=0) if len(units)
+                  else np.zeros((0, classes))) + model.bias
+        return units, _softmax(logits.astype(np.float64) / model.temperature)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables()
-        classes = len(model.families) + 1
         touched = np.abs(model.weights[:, :-1] - model.weights[:, -1:]).max(axis=1) > 1e-6
         for rows, data, offsets in kernels.chunks(batches):
             found = Paragraphs(data, offsets, *tables)
-            bucket = _bucket(found.hashes)
-            used = touched[bucket]  # features that tell families apart; others move none of them
-            key = np.unique(found.owner[used] * (1 << FEATURE_BITS) + bucket[used])
-            owner, bucket = key >> FEATURE_BITS, key & ((1 << FEATURE_BITS) - 1)
-            lines, first = np.unique(owner, return_index=True)
-            logits = (np.add.reduceat(model.weights[bucket], first, axis=0) if len(lines)
-                      else np.zeros((0, classes))) + model.bias
-            chance = _softmax(logits.astype(np.float64) / model.temperature)
+            # text, share of a template, whether a window, family, probability, first and last word
+            candidates: list[tuple[int, float, bool, int, float, int, int]] = []
+            lines, chance = chances(found.hashes, found.owner, touched)
             pick = chance.argmax(axis=1)
-            surely = (pick < classes - 1) & (chance[np.arange(len(lines)), pick] >= least)
-            order = np.argsort(found.owner, kind="stable")
-            of = found.owner[order]
-            out: list[tuple[int, int, int, str, float, float]] = []
-            for line, family, p in zip(lines[surely].tolist(), pick[surely].tolist(),
-                                       chance[np.arange(len(lines)), pick][surely].tolist()):
-                own = np.unique(found.hashes[order[np.searchsorted(of, line): np.searchsorted(of, line, "right")]])
-                share = max(_held(own, t) for k, t in model.templates if k == family)
+            sure = chance[np.arange(len(lines)), pick]
+            surely = (pick < classes - 1) & (sure >= least)
+            for line, family, p in zip(lines[surely].tolist(), pick[surely].tolist(), sure[surely].tolist()):
+                a, b = (int(np.searchsorted(found.line, line, side)) for side in ("left", "right"))
+                words, pairs = found.words.hashes[a:b], found.pair[a: b - 1]
+                own = np.unique(np.concatenate([words, pairs]))
+                share, template, length = max(
+                    ((_held(own, t), t, n) for k, t, n in model.templates if k == family), key=lambda x: x[0])
+                if share >= confirmed:
+                    _, begin, end = _span(words, pairs, template, length)
+                    candidates.append((int(found.words.owner[a]), share, False, family, p, a + begin, a + end))
+            hashes, owner, start, stop = found.windows()
+            windows, chance = chances(hashes, owner, touched)
+            # a window may hold notices of several families, so each is judged against the unknown class alone
+            sure = chance[:, :-1] / (chance[:, :-1] + chance[:, -1:])
+            for i, family in np.argwhere(sure >= least).tolist():
+                a, b = int(start[windows[i]]), int(stop[windows[i]])
+                words, pairs = found.words.hashes[a:b], found.pair[a: b - 1]
+                own = np.unique(np.concatenate([words, pairs]))
+                spans = [_span(words, pairs, t, n) for k, t, n in model.templates
+                         if k == family and _held(own, t) >= confirmed]
+                share, begin, end = max(spans, key=lambda x: x[0], default=(0.0, 0, 0))
                 if share >= confirmed:
-                    begin = 0 if line == 0 else int(found.edges[line - 1])
-                    text = int(np.searchsorted(offsets, found.words.starts[np.searchsorted(found.line, line)], "right")) - 1
-                    place = int((data[offsets[text]: begin + 1] == 10).sum()) if begin >= offsets[text] else 0
+                    candidates.append((int(found.words.owner[a]), share, True, family, float(sure[i, family]), a + begin, a + end))
+            taken: dict[int, list[tuple[int, int]]] = {}
+            out: list[tuple[int, int, int, str, float, float]] = []
+            for text, share, _, family, p, a, b in sorted(candidates, key=lambda c: (-c[1], c[2], -c[4], c[3], c[5])):
+                if all(b <= x or y <= a for x, y in taken.get(text, [])):
+                    taken.setdefault(text, []).append((a, b))
+                    place = int((data[offsets[text]: found.words.starts[a]] == 10).sum())
                     out.append((text, place, family, model.families[family], p, share))
+            out.sort()
             edges = np.searchsorted([o[0] for o in out], np.arange(rows.num_rows + 1)).astype(np.int32)
             found_lines = pa.StructArray.from_arrays([
                 pa.array([o[1] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.string()),
@@ -244,9 +333,10 @@ def scan_licenses(docs: DataFrame, model: Model, id_column: str = "doc_id", text
                   least: float = 0.5, confirmed: float = 0.6) -> DataFrame:
     """``(id_column, license, found)`` of each row.
 
-    ``found`` has ``(line, family, probability, held)`` of the paragraphs whose family is
-    at least ``least`` likely and of one of whose templates they hold ``confirmed``;
-    lines count from 0. ``license`` is the family found with the largest probability,
+    ``found`` has ``(line, family, probability, held)`` of the lines and windows whose family is
+    at least ``least`` likely and of one of whose templates they hold ``confirmed``, each
+    notice once; lines count from 0, and a notice over several has its first. A window's
+    probability is that of the family against the unknown class. ``license`` is the family found with the largest probability,
     then the first by name; ``unknown`` if there is none, also for null and empty
     texts. Each row has its own result, also if rows repeat or have a null id. Other
     columns are not read.
