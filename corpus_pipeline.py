@@ -19,7 +19,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the languages given; texts without a letter or a clear language go."""
+    """Learn from the languages given; texts without a letter go, mixed and short ones stay."""
     return language.drop_unidentified(docs, language.train(docs)).select(*COLUMNS)
 
 

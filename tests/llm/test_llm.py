@@ -517,6 +517,19 @@ def test_mixed_spans_and_scripts(spark):
     assert [(text[s["begin"]: s["end"]], s["lang"]) for s in row["spans"]] == [(english, "en"), (russian, "ru")]
 
 
+def test_mixed_and_short_texts_are_identified(spark):
+    parts = {"en": "the weather which they thought", "de": "zwischen möchten schließlich gegenüber", "fr": "aujourd beaucoup quelque toujours",
+             "pl": "wszystko dziękuję przepraszam", "fi": "yhdessä kuitenkin mielestäni"}
+    rows = [(i, f"{t} xo " * 20, name, "a") for i, (name, t) in enumerate(parts.items())]
+    model = language.train(docs(spark, rows))
+    mixed = " ".join(" ".join([t] * 6) for t in parts.values())
+    texts = docs(spark, [(10, mixed, None, "a"), (11, "xo", None, "a"), (12, "12 - 34", None, "a"), (13, None, None, "a")])
+    labelled = by_id(language.label_spans(texts, model))
+    assert len(labelled[10]["spans"]) == 5 and max(labelled[i]["score"] for i in (10, 11)) < 0.3
+    kept = language.drop_unidentified(texts, model)
+    assert kept.columns == texts.columns and sorted(r["doc_id"] for r in kept.collect()) == [10, 11]
+
+
 # -- 10 lines ---------------------------------------------------------------------
 
 

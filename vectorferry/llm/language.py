@@ -301,15 +301,16 @@ def label_spans(docs: DataFrame, model: Model, text_column: str = "text", keep:
     return found.select(*[F.col(k).alias(n) for n, k in zip(keep, names)], "lang_pred", "score", "spans")
 
 
-def drop_unidentified(docs: DataFrame, model: Model, text_column: str = "text", least: float = 0.3,
-                      penalty: float = 12.0) -> DataFrame:
-    """The rows whose language scores at least ``least``; all columns.
+def drop_unidentified(docs: DataFrame, model: Model, text_column: str = "text", penalty: float = 12.0) -> DataFrame:
+    """The rows whose path has a language; all columns.
 
-    Rows without a letter go. If no language was learned, all others stay.
+    Rows without a letter go; all others stay, also if no language was learned. The
+    score is no reason to go: it falls with the number of languages that a text is
+    written in, and with the number that a short text fits.
     """
     if not model.languages:
         return docs.filter(F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)))
     labelled = label_spans(docs.toDF(*(f"_c{i}" for i in range(len(docs.columns)))), model,
                            f"_c{docs.columns.index(text_column)}", tuple(f"_c{i}" for i in range(len(docs.columns))), penalty)
-    staying = labelled.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    staying = labelled.filter(F.col("lang_pred") != UNKNOWN)
     return staying.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(docs.columns)])
