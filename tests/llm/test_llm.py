@@ -471,6 +471,14 @@ def test_contamination(spark, edge):
     assert not decontaminate.contamination(edge, items.limit(0)).filter("contaminated").count()
 
 
+def test_items_with_a_repeating_pattern(spark):
+    item = " ".join(["row", "row", "boat"] * 20)
+    texts = docs(spark, [(1, f"before {item} after", "en", "a"), (2, "row row boat row row boat and nothing more", "en", "a")])
+    got = by_id(decontaminate.contamination(texts, spark.createDataFrame([(7, item)], "item_id int, text string")))
+    assert (got[1]["contaminated"], got[1]["coverage"], got[1]["item_id"]) == (True, 1.0, 7)
+    assert not got[2]["contaminated"]
+
+
 # -- 9 language -------------------------------------------------------------------
 
 

@@ -188,7 +188,8 @@ def tile_pairs(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", tex
 
     Only stretches of a text that seeds cover can hold tiles, so only those are kept
     of it. Every tile of ``n`` words holds ``n - shortest + 1`` seeds; pairs whose
-    seeds cannot cover enough of the item are left out before tiling. Seeds reach the
+    seeds, each as often as the item has it, cannot cover enough of the item are left
+    out before tiling. Seeds reach the
     documents as a bit filter of fixed size (``2 ** filter_bits`` bits); what passes
     it wrongly is left out by the join.
     """
@@ -198,7 +199,8 @@ def tile_pairs(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", tex
     tokens = materialize(
         source.mapInArrow(_item_task(k), f"item {kind}, words array<long>, seeds array<long>").filter("size(seeds) > 0"),
         "items")
-    seeds = tokens.select("item", F.explode(F.array_distinct("seeds")).alias("seed"), F.size("words").alias("size"))
+    every = tokens.select("item", F.explode("seeds").alias("seed"), F.size("words").alias("size"))
+    seeds = materialize(every.groupBy("item", "seed", "size").agg(F.count("seed").alias("n")), "seeds")
     mask = F.lit((1 << setting.filter_bits) - 1)
     both = seeds.select(F.explode(F.array("seed", F.shiftrightunsigned("seed", 32))).alias("x"))
     at = F.col("x").bitwiseAND(mask)
@@ -215,7 +217,7 @@ def tile_pairs(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", tex
         .withColumn("row", F.monotonically_increasing_id()), "regions")
     hits = regions.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
     enough = F.col("seeds") * k >= F.col("size") * setting.coverage
-    pairs = hits.groupBy("row", "item", "size").agg(F.count("seed").alias("seeds")).filter(enough)
+    pairs = hits.groupBy("row", "item", "size").agg(F.sum("n").alias("seeds")).filter(enough)
     salted = tokens.select("item", "words", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     full = (
         pairs.select("row", "item", "size").join(regions.select("row", "id", "stretch"), "row")
