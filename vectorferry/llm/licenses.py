@@ -280,6 +280,7 @@ def _scan_task(model: Model, least: float, confirmed: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tables()
+        keys = np.unique(np.concatenate([t for _, t, _ in model.templates]))
         touched = np.abs(model.weights[:, :-1] - model.weights[:, -1:]).max(axis=1) > 1e-6
         for rows, data, offsets in kernels.chunks(batches):
             found = Paragraphs(data, offsets, *tables)
@@ -299,6 +300,16 @@ def _scan_task(model: Model, least: float, confirmed: float):
                     _, begin, end = _span(words, pairs, template, length)
                     candidates.append((int(found.words.owner[a]), share, False, family, p, a + begin, a + end))
             hashes, owner, start, stop = found.windows()
+            # only windows that hold enough of a template can be confirmed, so others get no score
+            place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+            known = keys[place] == hashes
+            pair = np.unique(owner[known] * len(keys) + place[known])
+            enough = np.zeros(len(start), bool)
+            for _, t, _ in model.templates:
+                mine = np.isin(keys, t)[pair % len(keys)]
+                enough |= np.bincount(pair[mine] // len(keys), minlength=len(start)) >= confirmed * len(t) - 1e-9
+            used = enough[owner]
+            hashes, owner = hashes[used], owner[used]
             windows, chance = chances(hashes, owner, touched)
             # a window may hold notices of several families, so each is judged against the unknown class alone
             sure = chance[:, :-1] / (chance[:, :-1] + chance[:, -1:])
