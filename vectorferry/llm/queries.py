@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorferry.llm import chat, decontaminate, embedding_dedup, language, licenses, lines, minhash, mixing, quality, toxicity
+from vectorferry.llm import (
+    backoff,
+    chat,
+    decontaminate,
+    embedding_dedup,
+    language,
+    licenses,
+    lines,
+    minhash,
+    mixing,
+    quality,
+    toxicity,
+)
 from vectorferry.llm.store import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +201,69 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     model = quality.train(docs, labels.filter(~held_out))
     return quality.score_quality(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", "good", "evidence", "path_posterior", "host_posterior")
+
+
+#: CRC-32 of the decimal digits of an id; ``{id}`` names it.
+CRC32 = """list_reduce([4294967295::UBIGINT] || list_transform(string_split({id}::VARCHAR, ''), lambda c: ord(c)::UBIGINT),
+    lambda a, b: list_reduce([xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END))"""
+
+
+def crc32(name: str) -> str:
+    return f"xor({CRC32.format(id=name)}, 4294967295::UBIGINT)"
+
+
+@query
+def op11_backoff_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-probabilities of all documents under trigrams of six sevenths of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    scored = backoff.score_texts(docs, ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+ORACLES["op11_backoff_automaton"] = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce({crc32("doc_id")} % 7 = 2, false) AS held_out,
+    list_transform(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+'), lambda w: 'w' || w) || ['e'] AS words
+  FROM documents
+), tokens AS (
+  SELECT r, held_out, generate_subscripts(words, 1) AS i, unnest(words) AS w FROM texts
+), grams AS (
+  SELECT r, held_out, i, w, CASE WHEN i = 1 THEN 'b' ELSE lag(w) OVER t END AS v,
+    CASE WHEN i = 2 THEN 'b' ELSE lag(w, 2) OVER t END AS u
+  FROM tokens WINDOW t AS (PARTITION BY r ORDER BY i)
+), ones AS (SELECT w, count(*) FILTER (WHERE NOT held_out) AS c FROM grams GROUP BY w
+), twos AS (SELECT v, w, count(*) FILTER (WHERE NOT held_out) AS c FROM grams GROUP BY v, w
+), threes AS (SELECT u, v, w, count(*) FILTER (WHERE NOT held_out) AS c FROM grams WHERE i > 1 GROUP BY u, v, w
+), sizes AS (
+  SELECT sum(c)::BIGINT AS n, count(*) FILTER (WHERE c > 0) AS kinds,
+    coalesce(max(c) FILTER (WHERE w = 'e'), 0) AS begun FROM ones
+), one AS (
+  SELECT w, c, (c + 1)::DOUBLE / (n + kinds + 1)::DOUBLE AS p FROM ones, sizes
+), two AS (
+  SELECT t.v, t.w, t.c, h AS h, (t.c + 32::DOUBLE * p) / (h + 32::DOUBLE) AS p
+  FROM (SELECT t.*, CASE WHEN t.v = 'b' THEN begun ELSE o.c END AS h FROM twos t CROSS JOIN sizes LEFT JOIN ones o ON o.w = t.v) t
+  JOIN one USING (w)
+), three AS (
+  SELECT t.u, t.v, t.w, t.c, x.c AS h, (t.c + 32::DOUBLE * y.p) / (x.c + 32::DOUBLE) AS p
+  FROM threes t JOIN twos x ON x.v = t.u AND x.w = t.v JOIN two y ON y.v = t.v AND y.w = t.w
+), weighed AS (
+  SELECT g.r, one.c > 0 AS known, round(log10(one.p) * 1e9)::BIGINT AS base,
+    CASE WHEN three.c > 0 THEN round(log10(three.p) * 1e9)::BIGINT
+      ELSE CASE WHEN three.h > 0 THEN round(log10(32::DOUBLE / (three.h + 32::DOUBLE)) * 1e9)::BIGINT ELSE 0 END
+        + CASE WHEN two.c > 0 THEN round(log10(two.p) * 1e9)::BIGINT
+            ELSE CASE WHEN two.h > 0 THEN round(log10(32::DOUBLE / (two.h + 32::DOUBLE)) * 1e9)::BIGINT ELSE 0 END
+              + round(log10(one.p) * 1e9)::BIGINT END END AS weight
+  FROM grams g JOIN one USING (w) JOIN two ON two.v = g.v AND two.w = g.w
+  LEFT JOIN three ON g.i > 1 AND three.u = g.u AND three.v = g.v AND three.w = g.w
+), summed AS (
+  SELECT r, count(*) AS n_tokens, count(*) FILTER (WHERE known) AS n_known, sum(base)::BIGINT AS base, sum(weight)::BIGINT AS weight
+  FROM weighed GROUP BY r
+)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base::DOUBLE / 1e9::DOUBLE AS base_score,
+  weight::DOUBLE / 1e9::DOUBLE AS score
+FROM texts JOIN summed USING (r), sizes
+"""
