@@ -28,8 +28,8 @@ from vectorferry.llm.store import materialize
 
 ORDER = 3
 PRIOR = 32.0
-BLOCK_BYTES = 16 << 20  # text of a block; its n-grams are held in one task
-RANGE_GRAMS = 2 << 20  # n-grams of all blocks that meet in one range, about
+BLOCK_BYTES = 8 << 20  # text of a block; its n-grams are held in one task
+RANGE_GRAMS = 1 << 20  # n-grams of all blocks that meet in one range, about
 UNIT = 1e9  # weights are whole billionths, so a sum does not depend on its order
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -243,11 +243,11 @@ class Automaton:
             following = np.full(len(block.words), -1)
             following[places] = gram
             index = following
-        self.arc = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+        none = [np.zeros(0, np.int64)]
+        self.arc = np.concatenate(keys or none)
         by = np.argsort(self.arc)
-        self.arc = self.arc[by]
-        self.arc_weight = np.concatenate(weights)[by] if keys else self.arc
-        self.arc_next = np.concatenate(targets)[by] if keys else self.arc
+        self.arc, self.arc_weight, self.arc_next = (
+            self.arc[by], np.concatenate(weights or none)[by], np.concatenate(targets or none)[by])
 
     def _failures(self, at: list[int], size: int, count: np.ndarray, prior: float, back: np.ndarray) -> None:
         """Failure arcs of the contexts of one size, each to its suffix."""
