@@ -19,6 +19,7 @@ from vectorferry.llm import (
     mixing,
     quality,
     toxicity,
+    turn_trie,
 )
 from vectorferry.llm.store import materialize
 
@@ -267,3 +268,54 @@ SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, base::DOUBLE / 1e
   weight::DOUBLE / 1e9::DOUBLE AS score
 FROM texts JOIN summed USING (r), sizes
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt on the opening of another."""
+    turns = turn_trie.conversation_turns(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+    own = materialize(turns.withColumn("base", F.col("conv_id") - F.col("conv_id") % 20), "own-turns")
+    bases = own.filter("conv_id = base").select("base", F.slice("turns", 1, 3).alias("opening"))
+    taken = (F.crc32(F.col("conv_id").cast("string")) % 4).cast("int")
+    rest = F.slice("turns", taken + 1, F.greatest(F.size("turns") - taken, F.lit(0)))
+    opening = F.slice(F.coalesce("opening", F.slice("turns", 1, 0)), F.lit(1), taken)
+    rebuilt = own.join(bases, "base", "left").select("conv_id", F.concat(opening, rest).alias("turns"))
+    return turn_trie.prefix_trie(rebuilt)
+
+
+ORACLES["op12_prefix_trie"] = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({{'id': md5(length(role) || ':' || role || text),
+      'words': len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))}}
+    ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS t, ({crc32("conv_id")} % 4)::BIGINT AS h
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.t, [])[1:o.h], o.t[o.h + 1:]) AS t
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), steps AS (
+  SELECT conv_id, unnest(range(len(t) + 1)) AS d, t FROM rebuilt
+), placed AS (
+  SELECT conv_id, d, list_transform(t[1:d], lambda x: x.id) AS ids, d = len(t) AS ends,
+    CASE WHEN d > 0 THEN t[d].words ELSE 0 END AS words
+  FROM steps
+), nodes AS (
+  SELECT ids, d, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends
+  FROM placed GROUP BY ids, d
+), linked AS (
+  SELECT c.*, p.conv_id AS above FROM nodes c LEFT JOIN nodes p ON p.d = c.d - 1 AND p.ids = c.ids[1:c.d - 1]
+), parents AS (
+  SELECT ids[1:d - 1] AS ids, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1
+), full_nodes AS (
+  SELECT l.*, coalesce(k, 0) AS k FROM linked l LEFT JOIN parents USING (ids)
+), spread AS (
+  SELECT ids[1:e] AS ids, k, n, words FROM (SELECT *, unnest(range(d + 1)) AS e FROM full_nodes)
+), subtrees AS (
+  SELECT ids, count(*) FILTER (WHERE k = 0) AS leaves, sum((n - 1) * words)::BIGINT AS saved FROM spread GROUP BY ids
+)
+SELECT conv_id, d AS depth, above AS parent_conv_id, n AS n_convs, k AS n_children, leaves AS n_leaves,
+  saved AS saved_tokens, ends AS ends_sha256
+FROM full_nodes JOIN subtrees USING (ids)
+"""
