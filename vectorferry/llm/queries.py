@@ -12,6 +12,7 @@ from vectorferry.llm import (
     chat,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     language,
     licenses,
     lines,
@@ -319,3 +320,36 @@ SELECT conv_id, d AS depth, above AS parent_conv_id, n AS n_convs, k AS n_childr
   saved AS saved_tokens, ends AS ends_sha256
 FROM full_nodes JOIN subtrees USING (ids)
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector among all vectors."""
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = embeddings.filter(F.coalesce(finite, F.lit(False))).select("vec_id", label.alias("label"), whole.alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor, r.vec_id AS id, a.label = r.label AS alike, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM usable a JOIN usable r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5
+), negatives AS (
+  SELECT p.anchor, p.id AS positive_id, p.score AS positive_score, n.id AS negative_id, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.alike
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor AS anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
