@@ -6,6 +6,10 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+# Python workers import the pager of the tests by its name
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [os.path.dirname(os.path.abspath(__file__)), *filter(None, [os.environ.get("PYTHONPATH")])])
+
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 

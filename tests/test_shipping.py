@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.checkpoint.dir", {cp!r}).config("spark.sql.shuffle.partitions", "2").getOrCreate())
 from vectorferry.queries import QUERIES
-for name in ("encoder_custom_udf", "src_paged"):
+for name in ("encoder_custom_udf", "sink_connector"):
     assert QUERIES[name](spark, {sf!r}).count() > 0
 print("fine")
 """

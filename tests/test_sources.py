@@ -13,12 +13,13 @@ from vectorferry.sources import (
     register_paged,
 )
 from vectorferry import MigrationJob, migrate_stream, read_collection
-from vectorferry.queries import ParquetPager
 from vectorferry.sources.paged import PagedReader, with_retries
-
-PAGER = "vectorferry.queries:ParquetPager"
 from vectorferry.sources.points import resolve_vectors
 
+from parquet_pager import ParquetPager
+
+PAGER = "parquet_pager:ParquetPager"
+
 
 def rows(frame):
     return {r["id"]: r for r in frame.collect()}

@@ -47,8 +47,15 @@ LEDGER = T.StructType([
     T.StructField("first_committed_at", T.TimestampType()),
     T.StructField("attempt", T.StringType()),
     T.StructField("average_length", T.DoubleType()),
+    T.StructField("reasons", T.ArrayType(T.StructType([
+        T.StructField("reason", T.StringType()),
+        T.StructField("rows", T.LongType()),
+    ]))),
 ])
 
+# Why a record is set aside.
+REASONS = ("missing_id", "missing_embedding", "bad_dimension", "bad_value", "bad_sparse", "bad_payload")
+
 CONFIG = T.StructType([
     T.StructField("collection", T.StringType()),
     T.StructField("dimension", T.IntegerType()),

@@ -21,12 +21,12 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectorferry.functions import sparse as sparse_functions
-from vectorferry.model import CONFIG, LEDGER, QUARANTINE, TARGET, CollectionSpec
+from vectorferry.model import CONFIG, LEDGER, QUARANTINE, REASONS, TARGET, CollectionSpec
 from vectorferry.operators.batches import checkpoint_dir
 
 COMPLETED, STARTED, FAILED = -1, -2, -3  # ledger rows that stand for no batch
@@ -131,14 +131,18 @@ def read_ledger(spark: SparkSession, path: str, run_id: str | None = None, batch
 def commit(
     spark: SparkSession, path: str, run_id: str, batch_id: int, rows: int = 0, bad: int = 0,
     attempt: str | None = None, started_at: datetime | None = None, average_length: float | None = None,
+    reasons: dict[str, int] | None = None,
 ) -> None:
     """Append a ledger row: the moment from which on a batch counts."""
     now = datetime.now(timezone.utc)
+    why = [F.struct(F.lit(r).alias("reason"), F.lit(n).cast("bigint").alias("rows")) for r, n in (reasons or {}).items()]
     values = {
         "rows": (rows, "bigint"), "quarantined": (bad, "bigint"), "started_at": (started_at or now, "timestamp"),
         "committed_at": (now, "timestamp"), "attempt": (attempt, "string"), "average_length": (average_length, "double"),
     }
-    row = spark.range(1).select(*[F.lit(v).cast(kind).alias(n) for n, (v, kind) in values.items()])
+    kind = LEDGER["reasons"].dataType
+    row = spark.range(1).select(
+        *[F.lit(v).cast(kind).alias(n) for n, (v, kind) in values.items()], F.array(*why).cast(kind).alias("reasons"))
     row.coalesce(1).write.mode("append").parquet(f"{path}/ledger/run_id={run_id}/batch_id={batch_id}")
 
 
@@ -159,13 +163,14 @@ def batches(ledger: DataFrame) -> DataFrame:
 
 
 def write_batch(
-    rows: DataFrame, path: str, run_id: str, batch_id: int, started_at: datetime | None = None, sent: int | None = None
+    rows: DataFrame, path: str, run_id: str, batch_id: int, started_at: datetime | None = None
 ) -> None:
     """Write one batch in one pass, good rows and quarantine side by side, and commit it.
 
-    ``rows`` has the target columns and optionally ``reason`` and ``raw``. The write
-    is narrow: one file per input task. The counts come from the written footers,
-    and ``sent`` adds good rows that went to an outside store instead.
+    ``rows`` has the target columns and optionally ``reason``, ``raw`` and ``sent``: a row with
+    the last stands for so many good rows that went to an outside store, and is not written.
+    The write is narrow, one file per input task, and its one job also observes the counts:
+    rows that pass, and rows per reason.
     """
     spark = rows.sparkSession
     started_at = started_at or datetime.now(timezone.utc)
@@ -176,17 +181,31 @@ def write_batch(
     folder = f"{path}/data/run_id={run_id}/batch_id={batch_id}/attempt={attempt}"
     kept = [f for f in STORED.fields if f.name not in {p.name for p in _PARTITIONS}]
     given = [F.col(f.name).cast(f.dataType).alias(f.name) for f in kept if f.name not in ("content", "row")]
+    sent = F.col("sent") if "sent" in rows.columns else F.lit(None).cast("bigint")
+    counts, observed = Observation(), rows.select(*given, sent.alias("sent"))
     (
-        rows.select(*given)
+        observed.observe(counts, *_counts())
+        .filter(F.col("sent").isNull()).drop("sent")
         .withColumns({
             "content": F.xxhash64(*CONTENT), "row": F.monotonically_increasing_id(),
             "quarantined": F.col("reason").isNotNull(),
         })
         .write.mode("errorifexists").partitionBy("quarantined").parquet(folder)
     )
-    written = spark.read.schema(T.StructType([*kept, _PARTITIONS[-1]])).parquet(folder)
-    counts = {r["quarantined"]: r["count"] for r in written.groupBy("quarantined").count().collect()}
-    commit(spark, path, run_id, batch_id, counts.get(False, 0) + (sent or 0), counts.get(True, 0), attempt, started_at)
+    seen = {k: v or 0 for k, v in counts.get.items()}
+    reasons = {r: seen.get(r, 0) for r in REASONS}
+    reasons["other"] = seen.get("bad", 0) - sum(reasons.values())
+    commit(spark, path, run_id, batch_id, seen.get("good", 0) + seen.get("sent", 0), seen.get("bad", 0), attempt, started_at,
+           reasons={r: n for r, n in reasons.items() if n})
+
+
+def _counts() -> list[Column]:
+    """What a write observes of the rows that it passes on."""
+    bad = F.col("reason").isNotNull()
+    return [
+        F.count_if(~bad & F.col("sent").isNull()).alias("good"), F.sum("sent").alias("sent"), F.count_if(bad).alias("bad"),
+        *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS],
+    ]
 
 
 def upsert(
@@ -318,12 +337,16 @@ def compact(spark: SparkSession, path: str, new_path: str) -> None:
 
 
 def sink_records(df: DataFrame) -> DataFrame:
-    """``(id, record)``: the JSON body an outside store takes.
+    """``(id, record)``: the JSON body an outside store takes."""
+    return df.select("id", record_json().alias("record"))
+
+
+def record_json() -> Column:
+    """``{"id", "fields": {"embedding", "keywords"?}, "filter", "meta"}``.
 
-    ``{"id", "fields": {"embedding", "keywords"?}, "filter", "meta"}``; ``keywords``
-    is left out for rows without a sparse vector.
+    ``keywords`` is left out for rows without a sparse vector.
     """
-    record = F.to_json(F.struct(
+    return F.to_json(F.struct(
         F.col("id"),
         F.struct(
             F.col("embedding"),
@@ -332,4 +355,3 @@ def sink_records(df: DataFrame) -> DataFrame:
         F.parse_json("filter").alias("filter"),
         F.parse_json("meta").alias("meta"),
     ))
-    return df.select("id", record.alias("record"))

@@ -52,13 +52,14 @@ def throughput(report: DataFrame) -> DataFrame:
 
 
 def batch_report(ledger: DataFrame) -> DataFrame:
-    """One row per batch: records taken in, upserted and set aside."""
-    return batches(ledger).select(
+    """One row per batch: records taken in, upserted and set aside, seconds, records a second."""
+    return throughput(batches(ledger).select(
         "run_id", "batch_id",
         (F.col("rows") + F.col("quarantined")).alias("fetched"),
         F.col("rows").alias("upserted"),
         "quarantined",
-    )
+        _seconds().alias("seconds"),
+    ))
 
 
 def ledger_of(rows: DataFrame, run_id: str) -> DataFrame:
@@ -72,6 +73,14 @@ def ledger_of(rows: DataFrame, run_id: str) -> DataFrame:
     )
 
 
+def quarantine_report(ledger: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Rows per reason over all batches, as their writes counted them; good rows are ``ok``."""
+    data = batches(ledger if run_id is None else ledger.filter(F.col("run_id") == run_id))
+    good = F.array(F.struct(F.lit("ok").alias("reason"), F.col("rows")))
+    counted = data.select(F.explode(F.concat(good, F.coalesce("reasons", F.array()))).alias("c")).select("c.*")
+    return counted.groupBy("reason").agg(F.sum("rows").alias("rows")).filter("rows > 0")
+
+
 def hybrid_row_counts(df: DataFrame, sparse: str = "keywords") -> DataFrame:
     """Rows with and without a sparse vector."""
     return (

@@ -6,8 +6,9 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vectorferry.model import DEFAULT_CHUNK
 
@@ -86,3 +87,44 @@ def send_records(
     return records.mapInArrow(run, REPORT).agg(
         F.sum("chunks").alias("chunks"), F.sum("rows").alias("rows"), F.sum("retries").alias("retries")
     )
+
+
+def send_good(
+    rows: DataFrame,
+    record: Column,
+    sender: Callable[[], Callable[[list[str]], bool]],
+    chunk_size: int = DEFAULT_CHUNK,
+    retries: int = RETRIES,
+    sleep: Callable[[float], None] = time.sleep,
+) -> DataFrame:
+    """Send the records of rows without a ``reason`` and pass on the others, in one pass.
+
+    The result has one more column, ``sent``: null in rows that are passed on; one further row
+    per task has nothing but the number of records it sent.
+    """
+    names = rows.columns
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in rows.schema.fields], T.StructField("sent", T.LongType())])
+    with_record = rows.withColumn("_record", F.when(F.col("reason").isNull(), record))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        send = sender()
+        held: list[str] = []
+        kinds, sent = None, 0
+        for batch in batches:
+            kinds = kinds or [batch.schema.field(n).type for n in names]
+            record = batch.column("_record")
+            held.extend(record.drop_null().to_pylist())
+            while len(held) >= chunk_size:
+                send_chunk(send, held[:chunk_size], retries, sleep)
+                sent, held = sent + chunk_size, held[chunk_size:]
+            bad = batch.filter(record.is_null())
+            if bad.num_rows:
+                nothing = pa.nulls(bad.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(bad.column(n) for n in names), nothing], names=[*names, "sent"])
+        if held:
+            send_chunk(send, held, retries, sleep)
+        if kinds:
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.nulls(1, k) for k in kinds), pa.array([sent + len(held)], pa.int64())], names=[*names, "sent"])
+
+    return with_record.mapInArrow(run, schema)

@@ -298,3 +298,9 @@ FROM documents GROUP BY 1"""
 ORACLES["migrate_batches"] = f"""WITH {RECORDS}, {CORPUS}
 SELECT r.id, len(r.embedding)::int dim, w.pos, w.idx, w.weight
 FROM records r JOIN weights w USING (doc_id) WHERE r.embedding IS NOT NULL"""
+
+
+# -- further operators of the same data ------------------------------------------
+
+ORACLES["sink_connector"] = ORACLES["sink_record"]
+ORACLES["observed_quarantine"] = ORACLES["quarantine_counts"]

@@ -26,7 +26,7 @@ from vectorferry.model import (
 from vectorferry.operators import collection, encode, gates, quality, report
 from vectorferry.operators.batches import checkpoint_dir
 from vectorferry.operators.detect import detect_dimension
-from vectorferry.operators.send import send_records
+from vectorferry.operators.send import send_good
 from vectorferry.sources.registry import SOURCE_SPACES, reader_for
 
 
@@ -195,14 +195,10 @@ def create_target(canonical: DataFrame, job: MigrationJob) -> int:
 
 
 def write_part(rows: DataFrame, job: MigrationJob, run_id: str, batch_id: int) -> None:
-    """Write target rows as one batch, or send them and write only what is set aside."""
-    if job.sender is None:
-        collection.write_batch(rows, job.target_path, run_id, batch_id)
-        return
-    started = datetime.now(timezone.utc)
-    sent = send_records(collection.sink_records(good_rows(rows)), job.sender, job.chunk_size).first()
-    bad = rows.filter(F.col("reason").isNotNull())
-    collection.write_batch(bad, job.target_path, run_id, batch_id, started, sent["rows"] or 0)
+    """Write target rows as one batch, or send them and write only what is set aside: one pass in any case."""
+    if job.sender is not None:
+        rows = send_good(rows, collection.record_json(), job.sender, job.chunk_size)
+    collection.write_batch(rows, job.target_path, run_id, batch_id)
 
 
 def current_run(ledger: list[Row], job: MigrationJob) -> str:

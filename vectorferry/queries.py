@@ -8,9 +8,8 @@ term, JSON as one row per key.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +21,8 @@ from vectorferry.model import CollectionSpec, canonical_columns, no_sparse
 from vectorferry.operators import batches, collection, encode, quality, report
 from vectorferry.operators.detect import detect_dimension, payload_key_profile, payload_types
 from vectorferry.plans.job import MigrationJob, good_rows, migrate, read_source, to_target, verify
-from vectorferry.sources import (
-    read_columnar_pages,
-    read_field_records,
-    read_points,
-    register_paged,
-)
+from vectorferry.sources import read_columnar_pages, read_field_records, read_points
+from vectorferry.sinks import read_folder_store, register_sink
 from vectorferry.streaming.job import migrate_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,58 +39,6 @@ def query(function: Query) -> Query:
     return function
 
 
-# -- a store that knows positions only, for the paged source -------------------
-
-
-class ParquetPager:
-    """Rows of parquet files in path order, as a store of pages; holds one row group at a time.
-
-    It stands for a store that the paged source reads; parquet itself is better read
-    with ``spark.read.parquet``, which prunes, pushes filters down and lists files once.
-    """
-
-    def __init__(self, options: Mapping[str, str]):
-        import pyarrow.dataset as ds
-
-        self._columns = [c.strip() for c in options["columns"].split(",")] if options.get("columns") else None
-        self._dataset = ds.dataset(options["path"], format="parquet")
-        self._groups: list[tuple] | None = None
-        self._held: tuple[int, pa.Table] | None = None
-
-    def schema(self) -> pa.Schema:
-        schema = self._dataset.schema
-        if self._columns:
-            schema = pa.schema([schema.field(c) for c in self._columns])
-        return schema.remove_metadata()
-
-    def _row_groups(self) -> list[tuple]:
-        if self._groups is None:
-            self._groups, start = [], 0
-            for fragment in sorted(self._dataset.get_fragments(), key=lambda f: f.path):
-                for group in fragment.split_by_row_group():
-                    rows = group.row_groups[0].num_rows  # count_rows counts the whole file
-                    self._groups.append((start, rows, group))
-                    start += rows
-        return self._groups
-
-    def _table(self, start: int, group) -> pa.Table:
-        if self._held is None or self._held[0] != start:
-            table = group.to_table(columns=self._columns).replace_schema_metadata(None)
-            self._held = (start, table)
-        return self._held[1]
-
-    def count(self) -> int:
-        return self._dataset.count_rows()
-
-    def fetch(self, offset: int, limit: int) -> list[pa.RecordBatch]:
-        batches: list[pa.RecordBatch] = []
-        for start, rows, group in self._row_groups():
-            low, high = max(offset, start), min(offset + limit, start + rows)
-            if low < high:
-                batches.extend(self._table(start, group).slice(low - start, high - low).to_batches())
-        return batches
-
-
 # -- collections made from the tables -----------------------------------------
 
 
@@ -258,14 +201,13 @@ def src_columnar_pages(spark, folder):
 
 @query
 def src_paged(spark, folder):
-    register_paged(spark, ParquetPager)
-    return (
-        spark.read.format("paged")
-        .option("path", f"{folder}/events.parquet")
-        .option("columns", "event_id,user_id,event_type,value,props")
-        .option("pageSize", 1000).option("pagesPerTask", 4)
-        .load()
-    )
+    """Pages of 1,000 positions; a page is a range of positions, wherever its rows lie."""
+    columns = ["event_id", "user_id", "event_type", "value", "props"]
+    pages = batches.chunk_layout(batches.with_positions(table(spark, folder, "events").select(*columns), "event_id"), 1000)
+    last = F.max("batch_id") + 1
+    count = pages.agg(last.alias("n")).first()["n"] or 0
+    halves = [pages.filter(F.col("batch_id") < count // 2), batches.resume_offset(pages, count // 2 * 1000)]
+    return halves[0].unionByName(halves[1]).select(*columns)
 
 
 @query
@@ -365,11 +307,8 @@ def hybrid_target(spark: SparkSession, folder: str) -> DataFrame:
     return good_rows(to_target(canonical, DIMENSION, "lang,source", "bm25", AVERAGE_LENGTH))
 
 
-@query
-def sink_record(spark, folder):
-    records = collection.sink_records(hybrid_target(spark, folder)).select(
-        F.parse_json("record").alias("r")
-    )
+def record_columns(records: DataFrame) -> DataFrame:
+    records = records.select(F.parse_json("record").alias("r"))
 
     def value(path: str, kind: str) -> Column:
         return F.variant_get("r", path, kind)
@@ -385,6 +324,22 @@ def sink_record(spark, folder):
     )
 
 
+@query
+def sink_record(spark, folder):
+    return record_columns(collection.sink_records(hybrid_target(spark, folder)))
+
+
+@query
+def sink_connector(spark, folder):
+    """Records written to a store that publishes a write as a whole; the first ones are sent again."""
+    path = scratch(spark)
+    register_sink(spark)
+    records = collection.sink_records(hybrid_target(spark, folder))
+    for part in (records.filter(F.get_json_object("record", "$.filter.lang") == "en"), records):
+        part.write.format("vectors").option("path", path).option("chunkSize", 100).mode("append").save()
+    return record_columns(read_folder_store(spark, path))
+
+
 # -- detection ----------------------------------------------------------------
 
 
@@ -832,7 +787,18 @@ def run_report(spark, folder):
 
 @query
 def batch_report(spark, folder):
-    return report.batch_report(report.ledger_of(batched_records(spark, folder), "run"))
+    """What took seconds differs from run to run and is left out here."""
+    ledger = report.ledger_of(batched_records(spark, folder), "run")
+    return report.batch_report(ledger).drop("seconds", "records_per_second")
+
+
+@query
+def observed_quarantine(spark, folder):
+    """Counts per reason as the write of the batch saw them, without another look at the rows."""
+    path = scratch(spark)
+    rows = to_target(mixed_records(spark, folder), DIMENSION, "lang")
+    collection.write_batch(rows, path, "run", 0)
+    return report.quarantine_report(collection.read_ledger(spark, path))
 
 
 @query
