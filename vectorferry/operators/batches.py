@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Rows written below the shared checkpoint folder and read back."""
+    folder = f"{checkpoint_dir(df.sparkSession)}/vectorferry-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def batch_count(rows: int, batch_size: int = DEFAULT_BATCH) -> int:
     return max(1, math.ceil(rows / batch_size))
 

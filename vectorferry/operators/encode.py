@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions import text as text_functions
@@ -60,6 +62,35 @@ def batch_encoder(model) -> Encoder:
     return lambda text, average_length: sparse_functions.sparse_from_struct(encode(text))
 
 
+def lazy_encoder(load: Callable[[], object]) -> Encoder:
+    """Encoder whose model is loaded on the executor, once per task, at its first texts.
+
+    ``load`` takes nothing and returns what ``batch_encoder`` takes. Only ``load`` itself is sent
+    to the tasks, so a model may be large or hold what cannot be pickled; a task without rows
+    loads nothing. Texts arrive in Arrow batches, as with ``batch_encoder``.
+    """
+    kind = to_arrow_type(SPARSE)
+
+    @F.arrow_udf(SPARSE)
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = None
+        for texts in parts:
+            if model is None:
+                model = load()
+            values = [t or "" for t in texts.to_pylist()]
+            vectors = list(model.encode_batch(values)) if hasattr(model, "encode_batch") else [model.encode(v) for v in values]
+            if any(len(v["indices"]) != len(v["values"]) for v in vectors):
+                raise ValueError("the encoder returned indices and values of unequal length")
+            yield pa.array([{"indices": list(v["indices"]), "values": list(map(float, v["values"]))} for v in vectors], kind)
+
+    return lambda text, average_length: sparse_functions.sparse_from_struct(encode(text))
+
+
+def spread(df: DataFrame, parallelism: int | None) -> DataFrame:
+    """Deal rows to so many tasks, for a source with few large splits; None leaves them."""
+    return df.repartition(parallelism) if parallelism else df
+
+
 def average_length(df: DataFrame, text: str = "text") -> Column:
     """Mean document length of a corpus, as a scalar subquery (one extra narrow scan)."""
     return df.agg(F.avg(text_functions.document_length(F.coalesce(F.col(text), F.lit(""))))).scalar()
@@ -77,14 +108,18 @@ def encode_sparse(
     algorithm: str | None = None,
     average: Column | float | None = None,
     sparse: str = "sparse",
+    parallelism: int | None = None,
 ) -> DataFrame:
     """Fill ``sparse`` from ``text``; rows without text keep an absent vector.
 
     ``average`` is the length the weights are normalised by: a fixed number makes
-    the encoding stateless (needed for streams), None takes the corpus mean.
+    the encoding stateless (needed for streams), None takes the corpus mean. ``parallelism``
+    spreads the rows over so many tasks first, as it does in a job: a file of one row group is
+    otherwise encoded by one task.
     """
     if average is None:
-        average = average_length(df, text)
+        average = average_length(spread(df.select(text), parallelism), text)
+    df = spread(df, parallelism)
     return with_sparse(df, text, algorithm, average, sparse)
 
 
@@ -117,27 +152,28 @@ def attach_sparse(df: DataFrame, vectors: DataFrame, id: str = "id") -> DataFram
     return named.unionByName(bare.filter(F.col(id).isNull()).withColumn("sparse", no_sparse()))
 
 
-def token_counts(df: DataFrame, id: str, text: str) -> DataFrame:
+def token_counts(df: DataFrame, id: str, text: str, parallelism: int | None = None) -> DataFrame:
     """``(id, token, tf)``"""
-    return df.select(id, F.inline_outer(text_functions.token_counts(F.col(text)))).filter(
+    return spread(df.select(id, text), parallelism).select(id, F.inline_outer(text_functions.token_counts(F.col(text)))).filter(
         F.col("token").isNotNull()
     )
 
 
-def document_lengths(df: DataFrame, id: str, text: str) -> DataFrame:
-    return df.select(id, text_functions.document_length(F.coalesce(F.col(text), F.lit(""))).alias("dl"))
+def document_lengths(df: DataFrame, id: str, text: str, parallelism: int | None = None) -> DataFrame:
+    return spread(df.select(id, text), parallelism).select(id, text_functions.document_length(F.coalesce(F.col(text), F.lit(""))).alias("dl"))
 
 
-def idf_table(df: DataFrame, text: str = "text") -> DataFrame:
+def idf_table(df: DataFrame, text: str = "text", parallelism: int | None = None) -> DataFrame:
     """Document frequency and IDF of every token index, for search time.
 
     Expects one row per id (the collection as read back). An index then occurs at
-    most once per row, so a plain count with map-side combine gives the frequency.
+    most once per row, so a plain count with map-side combine gives the frequency. Tokens
+    are made distinct before they are hashed, indices once more after.
     """
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    seen = df.select(F.explode_outer(
-        F.array_distinct(F.transform(text_functions.tokens(F.col(text)), text_functions.token_index))
-    ).alias("idx")).filter(F.col("idx").isNotNull())
+    words = F.array_distinct(text_functions.tokens(F.col(text)))
+    seen = spread(df.select(text), parallelism).select(F.explode(
+        F.array_distinct(F.transform(words, text_functions.token_index))).alias("idx"))
     frequencies = seen.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
     return frequencies.select(
         "idx", "df",

@@ -304,3 +304,9 @@ FROM records r JOIN weights w USING (doc_id) WHERE r.embedding IS NOT NULL"""
 
 ORACLES["sink_connector"] = ORACLES["sink_record"]
 ORACLES["observed_quarantine"] = ORACLES["quarantine_counts"]
+ORACLES["reconcile_by_tree"] = ORACLES["reconcile"]
+ORACLES["keyset_layout"] = ORACLES["keyset_page"]
+ORACLES["idf_incremental"] = ORACLES["idf_table"]
+ORACLES["encoder_loads"] = """SELECT 1::bigint loads_per_task, count(*) AS rows, sum(length(text))::bigint chars
+  FROM documents WHERE text <> ''"""
+ORACLES["payload_key_sketches"] = f"SELECT *, true distinct_is_near FROM ({ORACLES['payload_key_profile']})"

@@ -24,8 +24,9 @@ from vectorferry.model import (
     CollectionSpec,
 )
 from vectorferry.operators import collection, encode, gates, quality, report
-from vectorferry.operators.batches import checkpoint_dir
+from vectorferry.operators.batches import checkpoint_dir, written
 from vectorferry.operators.detect import detect_dimension
+from vectorferry.operators.hashtree import reconcile_tree
 from vectorferry.operators.send import send_good
 from vectorferry.sources.registry import SOURCE_SPACES, reader_for
 
@@ -283,11 +284,13 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str, known: list[Row], starte
     collection.mark_completed(spark, job.target_path, run_id)
 
 
-def verify(df: DataFrame, job: MigrationJob) -> DataFrame:
+def verify(df: DataFrame, job: MigrationJob, unique_ids: bool = False) -> DataFrame:
     """Compare the source, put through the job's transformation, with the target.
 
-    Rows per status: same, changed, missing, extra. Content is hashed in the row, so
-    only ids and hashes are shuffled. The mean length is the one the last run used.
+    Rows per status: same, changed, missing, extra. Content is hashed in the row; hashes are
+    written once and compared by a hash tree, so where source and target agree no id is joined.
+    ``unique_ids`` says that the source gives each id once, and saves the shuffle that finds
+    the last row of each. The mean length is the one the last run used.
     """
     spark = df.sparkSession
     canonical = read_source(df, job)
@@ -299,8 +302,10 @@ def verify(df: DataFrame, job: MigrationJob) -> DataFrame:
     target = to_target(
         canonical, find_dimension(canonical, job), filter_names(df, job), job.sparse_algo, average)
     hashed = good_rows(target).select("id", "seq", F.xxhash64(*collection.CONTENT).alias("content"))
-    expected = collection.last_write_wins(hashed).select("id", "content")
-    return report.reconcile(expected, collection.read_content(spark, job.target_path), "id", ["content"])
+    expected = hashed if unique_ids else collection.last_write_wins(hashed)
+    held = collection.read_content(spark, job.target_path)
+    return reconcile_tree(
+        written(expected.select("id", "content"), "expected"), written(held, "held"), "id", ["content"])
 
 
 def _lay_out(canonical: DataFrame, job: MigrationJob, token: str) -> DataFrame:

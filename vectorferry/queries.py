@@ -18,7 +18,17 @@ from vectorferry.functions import sparse as sparse_functions
 from vectorferry.functions import vectors
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.model import CollectionSpec, canonical_columns, no_sparse
-from vectorferry.operators import batches, collection, encode, quality, report
+from vectorferry.operators import (
+    batches,
+    collection,
+    encode,
+    frequencies,
+    hashtree,
+    layout,
+    quality,
+    report,
+    sketches,
+)
 from vectorferry.operators.detect import detect_dimension, payload_key_profile, payload_types
 from vectorferry.plans.job import MigrationJob, good_rows, migrate, read_source, to_target, verify
 from vectorferry.sources import read_columnar_pages, read_field_records, read_points
@@ -46,6 +56,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tasks(spark: SparkSession) -> int:
+    """Tasks for text in a file of few row groups."""
+    return spark.sparkContext.defaultParallelism
+
+
 def scratch(spark: SparkSession) -> str:
     return f"{batches.checkpoint_dir(spark)}/vectorferry-{uuid.uuid4().hex}"
 
@@ -354,6 +369,18 @@ def payload_key_profile_query(spark, folder):
     return payload_key_profile(payload)
 
 
+@query
+def payload_key_sketches(spark, folder):
+    """Profiles kept per batch and merged; distinct counts within 5 % of the exact ones."""
+    events = table(spark, folder, "events").select("event_id", event_payload().alias("payload"))
+    batched = batches.hash_batches(events, "event_id", 1000)
+    merged = sketches.merge_profiles(sketches.key_sketches(batched, ["batch_id"]))
+    pairs = explode_payload(events, "event_id", "payload")
+    exact = pairs.groupBy("key").agg(F.count_distinct("value").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact")
+    return merged.join(exact, "key").select("key", "rows", "min_value", "max_value", near.alias("distinct_is_near"))
+
+
 @query
 def payload_types_query(spark, folder):
     return payload_types(table(spark, folder, "events").select(event_payload().alias("payload")))
@@ -538,26 +565,48 @@ def pages_duplicate_ids(spark, folder):
 
 @query
 def token_counts(spark, folder):
-    return encode.token_counts(table(spark, folder, "documents"), "doc_id", "text")
+    return encode.token_counts(table(spark, folder, "documents"), "doc_id", "text", tasks(spark))
 
 
 @query
 def doc_lengths(spark, folder):
-    return encode.document_lengths(table(spark, folder, "documents"), "doc_id", "text")
+    return encode.document_lengths(table(spark, folder, "documents"), "doc_id", "text", tasks(spark))
 
 
 @query
 def bm25_sparse(spark, folder):
-    return rounded_terms(encode.encode_sparse(table(spark, folder, "documents"), "text"), "doc_id")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return rounded_terms(encode.encode_sparse(documents, "text", parallelism=tasks(spark)), "doc_id")
 
 
 @query
 def idf_table(spark, folder):
-    return encode.idf_table(table(spark, folder, "documents")).select(
+    return encode.idf_table(table(spark, folder, "documents"), parallelism=tasks(spark)).select(
         "idx", "df", F.round("idf", 6).alias("idf")
     )
 
 
+@query
+def idf_incremental(spark, folder):
+    """Frequencies kept up over four writes, one sent again and one that supersedes earlier rows."""
+    path = scratch(spark)
+    rows = document_weights(spark, folder).select(
+        F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("array<float>").alias("embedding"),
+        F.col("sparse").alias("keywords"), F.lit("{}").alias("filter"), F.lit("{}").alias("meta"),
+        F.lit(0).cast("bigint").alias("seq"), "lang", "source")
+    other = F.struct(F.array(F.lit(7).cast("bigint")).alias("indices"), F.array(F.lit(1.0)).alias("values"))
+    early = F.col("lang") == "en"
+    collection.upsert(rows.filter(early).withColumn("keywords", other), path, "run", 0)
+    frequencies.count_new_batches(spark, path)
+    collection.upsert(rows.filter(early), path, "run", 0, replace=True)
+    wrong = F.when(F.col("source") == "src1", other).otherwise(F.col("keywords"))
+    collection.upsert(rows.filter(~early).withColumn("keywords", wrong), path, "run", 1)
+    frequencies.merged_idf(spark, path)
+    late = rows.filter("source = 'src1'").withColumn("seq", F.lit(1).cast("bigint"))
+    collection.upsert(late, path, "run", 2)
+    return frequencies.merged_idf(spark, path).select("idx", "df", F.round("idf", 6).alias("idf"))
+
+
 class CharacterEncoder:
     """An encoder of one's own: letters, blanks and line ends of a text."""
 
@@ -578,6 +627,28 @@ def encoder_custom_udf(spark, folder):
     return rounded_terms(rows, "doc_id")
 
 
+class StampedEncoder(CharacterEncoder):
+    """Adds a stamp of its own, so that it can be told how often a model was loaded."""
+
+    def __init__(self):
+        self.stamp = uuid.uuid4().int % (1 << 40)
+
+    def encode_batch(self, texts):
+        return [{"indices": [0, 1], "values": [len(t), self.stamp]} for t in texts]
+
+
+@query
+def encoder_loads(spark, folder):
+    """A model is loaded once per task, whatever the number of its batches."""
+    encode.register_encoder("stamped", encode.lazy_encoder(StampedEncoder))
+    documents = table(spark, folder, "documents").select("text")
+    rows = encode.encode_sparse(documents, "text", "stamped", AVERAGE_LENGTH, parallelism=tasks(spark))
+    stamps = rows.select(F.spark_partition_id().alias("task"), "sparse").groupBy("task").agg(
+        F.count_distinct(F.element_at("sparse.values", 2)).alias("loads"), F.count("sparse").alias("rows"),
+        F.sum(F.element_at("sparse.values", 1).cast("bigint")).alias("chars"))
+    return stamps.agg(F.max("loads").alias("loads_per_task"), F.sum("rows").alias("rows"), F.sum("chars").alias("chars"))
+
+
 @query
 def dense_to_hybrid(spark, folder):
     rows = hybrid_target(spark, folder).select(
@@ -632,6 +703,16 @@ def keyset_page(spark, folder):
     return batches.keyset_page(rows, "event_id", token)
 
 
+@query
+def keyset_layout(spark, folder):
+    """The page of ``keyset_page`` from files in key order."""
+    path = scratch(spark)
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    layout.write_sorted(rows, "event_id", path, rows_per_file=1000)
+    token = rows.agg(F.floor(F.avg("event_id")).alias("t")).first()["t"]
+    return layout.read_page(spark, path, "event_id", token)
+
+
 def batched_records(spark: SparkSession, folder: str) -> DataFrame:
     """Flagged rows in hash batches, by document id."""
     rows = mixed_records(spark, folder)
@@ -808,3 +889,11 @@ def reconcile(spark, folder):
         F.col("doc_id").alias("id"), F.col("quality").alias("label")
     )
     return report.reconcile(source, target, "id", ["label"])
+
+
+@query
+def reconcile_by_tree(spark, folder):
+    """Embeddings against labels, as ``reconcile``, by a tree of hashes."""
+    source = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label")
+    target = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return hashtree.reconcile_tree(source, target, "id", ["label"])
