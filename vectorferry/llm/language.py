@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from vectorferry.llm.kernels import CHUNK_BYTES
 
 UNKNOWN = "und"
-TRIGRAM_BITS = 16
 SIDE_BY_SIDE = 8  # chunks of texts whose paths advance together
 PLANES = 0x20000  # code points that the letter tables cover; later ones are looked at one by one
 
@@ -44,16 +43,62 @@ SCRIPTS = {
 }
 
 
-RESULT = "lang_pred string, score double, spans array<struct<begin: long, end: long, lang: string>>"
+RESULT = "lang_pred string, score double, confidence double, spans array<struct<begin: long, end: long, lang: string>>"
+
+DOUBT = 2.0  # by how much a word's letters must look random, as a log-ratio, before it counts against a text
+LEAST_CONFIDENCE = 0.25
 
 
 @dataclass(frozen=True)
 class Model:
-    """Languages in code point order, log-probabilities of trigram buckets, and scripts per language."""
+    """Languages in code point order, log-probabilities of trigrams, and scripts per language.
+
+    Trigrams are true keys, three code points of 21 bits, in a hash table with open places:
+    ``slots`` has the keys and ``rows`` their rows in ``weights``, whose first row stands for any
+    trigram not seen. The table has four places for each trigram that was seen.
+
+    ``letters`` has the log-probability of each letter in any language, place 0 that of a word's edge.
+    """
 
     languages: tuple[str, ...]
-    weights: np.ndarray  # float32, buckets x languages
+    weights: np.ndarray  # float32, 1 + trigrams x languages
+    slots: np.ndarray  # uint64, a power of two
+    rows: np.ndarray  # int32
     scripts: np.ndarray  # bool, scripts + 1 (other) x languages
+    letters: np.ndarray  # float32, by code point; the last place stands for those beyond the tables
+    kinds: int  # letters seen, and the edge
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each trigram; 0 if it was not seen."""
+        at = _slot(keys, len(self.slots))
+        held = self.slots[at]
+        row = np.where(held == keys, self.rows[at], 0)
+        open_ = np.flatnonzero((held != keys) & (held != 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+            held = self.slots[at[open_]]
+            row[open_] = np.where(held == keys[open_], self.rows[at[open_]], 0)
+            open_ = open_[(held != keys[open_]) & (held != 0)]
+        return row
+
+
+def _slot(keys: np.ndarray, size: int) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+
+
+def _table(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and rows of distinct keys, the first of them in row 1."""
+    size = 1 << max(4, (4 * len(keys)).bit_length())
+    slots, rows = np.zeros(size, np.uint64), np.zeros(size, np.int32)
+    left, at = np.arange(len(keys)), _slot(keys, size)
+    while len(left):
+        free = np.flatnonzero(slots[at[left]] == 0)
+        _, first = np.unique(at[left][free], return_index=True)
+        put = left[free[first]]
+        slots[at[put]], rows[at[put]] = keys[put], put + 1
+        left = np.setdiff1d(left, put, assume_unique=True)
+        at[left] = (at[left] + 1) & (size - 1)
+    return slots, rows
 
 
 class Letters:
@@ -88,7 +133,7 @@ class Letters:
 
 
 class LetterWords:
-    """Runs of letters of texts: ranges, owners, scripts, and the trigram bucket of each letter."""
+    """Runs of letters of texts: ranges, owners, scripts; of each letter its place in the tables and trigram."""
 
     def __init__(self, tables: Letters, texts: list[str]):
         points, letter, self.first = tables.decode(texts)
@@ -96,13 +141,12 @@ class LetterWords:
         self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.owner = np.searchsorted(self.first, self.starts, side="right") - 1
         self.script = tables.script[np.minimum(points[self.starts], PLANES - 1)]
-        symbol = np.where(letter, points, 0).astype(np.uint32)
-        before, after = np.zeros_like(symbol), np.zeros_like(symbol)
-        before[1:], after[:-1] = symbol[:-1], symbol[1:]
-        mixed = before * np.uint32(0x9E3779B1) ^ symbol * np.uint32(0x85EBCA6B) ^ after * np.uint32(0xC2B2AE35)
-        mixed ^= mixed >> np.uint32(15)
-        mixed *= np.uint32(0x2C1B3C6D)
-        self.bucket = (mixed >> np.uint32(32 - TRIGRAM_BITS))[letter]
+        self.letters = np.minimum(points[letter], PLANES - 1)
+        symbol = np.where(letter, points, 0).astype(np.uint64)
+        key = symbol << np.uint64(21)
+        key[1:] |= symbol[:-1] << np.uint64(42)
+        key[:-1] |= symbol[1:]
+        self.trigrams = key[letter]
         self.lengths = self.ends - self.starts
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)])
 
@@ -124,63 +168,98 @@ def _texts(batch: pa.RecordBatch, text: str) -> list[str]:
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigram and script counts per language of what one task reads."""
+    """Trigram and script counts per language, and counts of letters, of what one task reads."""
     tables = Letters()
-    grams: dict[str, np.ndarray] = {}
+    grams: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     scripts: dict[str, np.ndarray] = {}
+    letters_seen = np.zeros(PLANES, np.int64)
     for part in _parts(batches, "text"):
         words = LetterWords(tables, _texts(part, "text"))
         language = np.array(part.column("lang").to_pylist(), object)
+        letters_seen += np.bincount(words.letters, minlength=PLANES)
+        letters_seen[0] += len(words.starts)
         for name in sorted(set(language.tolist())):
             own = (language == name)[words.owner]
             letters = np.repeat(own, words.lengths)
-            grams.setdefault(name, np.zeros(1 << TRIGRAM_BITS, np.int64))
-            grams[name] += np.bincount(words.bucket[letters], minlength=1 << TRIGRAM_BITS)
+            found, n = np.unique(words.trigrams[letters], return_counts=True)
+            known, before = grams.get(name, (found[:0], n[:0]))
+            both, place = np.unique(np.concatenate([known, found]), return_inverse=True)
+            grams[name] = both, np.bincount(place, np.concatenate([before, n]), len(both)).astype(np.int64)
             scripts.setdefault(name, np.zeros(len(SCRIPTS) + 1, np.int64))
             scripts[name] += np.bincount(words.script[own], minlength=len(SCRIPTS) + 1)
-    for kind, counts in (("gram", grams), ("script", scripts)):
-        for name, values in counts.items():
-            at = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([kind] * len(at), pa.string()), pa.array([name] * len(at), pa.string()),
-                pa.array(at, pa.int64()), pa.array(values[at], pa.int64()),
-            ], names=["kind", "lang", "bucket", "n"])
+    sparse = [("gram", name, *counts) for name, counts in grams.items()]
+    for kind, name, values in [*(("script", n, v) for n, v in scripts.items()), ("letter", "", letters_seen)]:
+        at = np.flatnonzero(values)
+        sparse.append((kind, name, at, values[at]))
+    for kind, name, keys, n in sparse:
+        yield pa.RecordBatch.from_arrays([
+            pa.array([kind] * len(keys), pa.string()), pa.array([name] * len(keys), pa.string()),
+            pa.array(keys.astype(np.int64)), pa.array(n, pa.int64()),
+        ], names=["kind", "lang", "key", "n"])
 
 
 def train(labelled: DataFrame, text_column: str = "text", lang_column: str = "lang", smoothing: float = 0.5,
           least_script_share: float = 0.001) -> Model:
     """Count letter trigrams per language over all rows with a language.
 
-    Each task sends its own sums; the driver gets one number per language and filled
-    bucket, at most ``2 ** TRIGRAM_BITS`` for each language.
+    Each task sends its own sums; the driver gets one number per language and distinct
+    trigram, and one per letter: as many as the alphabets have, not as the texts.
     """
     rows = labelled.select(F.col(text_column).alias("text"), F.col(lang_column).alias("lang")).filter(
         "lang is not null and text is not null")
-    counts = rows.mapInArrow(_count_task, "kind string, lang string, bucket long, n long").groupBy(
-        "kind", "lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInArrow(_count_task, "kind string, lang string, key long, n long").groupBy(
+        "kind", "lang", "key").agg(F.sum("n").alias("n")).toPandas()
+    letter_counts = counts[counts["kind"] == "letter"]
+    counts = counts[counts["kind"] != "letter"]
     languages = tuple(sorted(counts["lang"].unique()))
     number = {name: i for i, name in enumerate(languages)}
-    grams = np.zeros((1 << TRIGRAM_BITS, len(languages)))
+    keys = np.unique(counts["key"][counts["kind"] == "gram"].to_numpy(np.uint64))
+    grams = np.zeros((1 + len(keys), len(languages)))  # the first row for trigrams not seen
     scripts = np.zeros((len(SCRIPTS) + 1, len(languages)))
     for kind, table in (("gram", grams), ("script", scripts)):
         own = counts[counts["kind"] == kind]
-        table[own["bucket"].to_numpy(), [number[x] for x in own["lang"]]] = own["n"].to_numpy()
-    seen = max(1, int((grams.sum(axis=1) > 0).sum()))
+        row = own["key"].to_numpy(np.int64) if kind == "script" else 1 + np.searchsorted(keys, own["key"].to_numpy(np.uint64))
+        table[row, [number[x] for x in own["lang"]]] = own["n"].to_numpy()
+    seen = max(1, len(keys))
     weights = np.log((grams + smoothing) / (grams.sum(axis=0) + smoothing * seen))
     share = scripts / np.maximum(1, scripts.sum(axis=0))
-    return Model(languages, weights.astype(np.float32), share >= least_script_share)
+    letters = np.full(PLANES, smoothing)
+    letters[letter_counts["key"].to_numpy()] += letter_counts["n"].to_numpy()
+    letters = np.log(letters / (letter_counts["n"].sum() + smoothing * max(1, len(letter_counts))))
+    return Model(languages, weights.astype(np.float32), *_table(keys), share >= least_script_share, letters.astype(np.float32),
+                 max(1, len(letter_counts)))
 
 
 def word_scores(words: LetterWords, model: Model) -> np.ndarray:
     """Log-likelihood of each word per language; languages not seen in its script get a large penalty."""
     if not len(words.starts):
         return np.zeros((0, len(model.languages)), np.float32)
-    scores = np.add.reduceat(model.weights[words.bucket], words.offsets[:-1], axis=0)
+    scores = np.add.reduceat(model.weights[model.place(words.trigrams)], words.offsets[:-1], axis=0)
     allowed = model.scripts[words.script]
     allowed |= ~allowed.any(axis=1)[:, None]
     return np.where(allowed, scores, scores - np.float32(1e4))
 
 
+def word_confidence(words: LetterWords, model: Model, scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """How likely each word is of the language that the path gives it, rather than letters at random.
+
+    The other explanation draws a word's letters one by one, for half of the words as often as
+    they occur in all learned texts, for half all alike (else no word of rare letters could look
+    random); ``DOUBT`` is the lead that a language has. A word in a script in which no
+    language was seen has 0.
+    """
+    if not len(words.starts):
+        return np.zeros(0)
+    single = model.letters[words.letters].astype(np.float64)
+    last = words.offsets[1:] - 1
+    chance = 3 * np.add.reduceat(single, words.offsets[:-1]) - single[words.offsets[:-1]] - single[last] + 2 * model.letters[0]
+    alike = -3 * words.lengths * np.log(model.kinds)
+    chance = np.logaddexp(chance, alike) - np.log(2)
+    lead = scores[np.arange(len(labels)), labels] - chance + DOUBT
+    known = model.scripts[words.script].any(axis=1)
+    return np.where(known, 1 / (1 + np.exp(-np.clip(lead, -50, 50))), 0.0)
+
+
 def viterbi(scores: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of each word: the sum of scores less ``penalty`` for each switch.
 
@@ -226,7 +305,7 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
         for part in _parts(batches, text):
             words = LetterWords(tables, _texts(part, text))
             scores = word_scores(words, model) if langs else np.zeros((len(words.starts), 1), np.float32)
-            del words.bucket
+            del words.trigrams
             held.append((part, words, np.bincount(words.owner, minlength=part.num_rows), scores))
             if len(held) == SIDE_BY_SIDE:
                 yield from decided(held)
@@ -259,6 +338,10 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             share = letters[rows, pick] / np.maximum(1, letters.sum(axis=1))
             score = np.where(has, share / np.maximum(1, chance.sum(axis=1)), 0.0)
             known = has & (langs > 0)
+            sure = np.zeros(texts)
+            if langs and len(scores):
+                weight = word_confidence(words, model, scores, labels) * words.lengths
+                sure = np.bincount(words.owner, weight, texts) / np.maximum(1, letters.sum(axis=1))
             change = np.ones(len(labels), bool)
             change[1:] = (labels[1:] != labels[:-1]) | (words.owner[1:] != words.owner[:-1])
             head = np.flatnonzero(change) if langs else np.zeros(0, np.int64)
@@ -272,21 +355,23 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             yield pa.RecordBatch.from_arrays([
                 *[part.column(n) for n in keep],
                 pa.array([model.languages[p] if k else UNKNOWN for p, k in zip(pick.tolist(), known.tolist())]),
-                pa.array(np.where(known, score, 0.0)), pa.ListArray.from_arrays(edges, spans),
-            ], names=[*keep, "lang_pred", "score", "spans"])
+                pa.array(np.where(known, score, 0.0)), pa.array(sure), pa.ListArray.from_arrays(edges, spans),
+            ], names=[*keep, "lang_pred", "score", "confidence", "spans"])
     return run
 
 
 def label_spans(docs: DataFrame, model: Model, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",),
                 penalty: float = 12.0) -> DataFrame:
-    """``keep`` columns, ``lang_pred``, ``score`` and ``spans (begin, end, lang)`` of each row.
+    """``keep`` columns, ``lang_pred``, ``score``, ``confidence`` and ``spans (begin, end, lang)`` of each row.
 
     ``lang_pred`` is the language with most letters on the path; of equal ones the
     one with the larger sum of word scores, then the first by name. ``score`` is its
     share of the letters times its probability among all languages for the words that
-    the path gives to it. Spans are in code points, from the first letter of their first word to the
+    the path gives to it. ``confidence`` is that of the whole path: over all words, letters times
+    the probability that the word is of its span's language and not letters at random.
+    Spans are in code points, from the first letter of their first word to the
     end of their last one. A null or empty text, or one without a letter, is ``und``
-    with score 0 and no spans; so is every text if nothing was learned. Each row has
+    with score and confidence 0 and no spans; so is every text if nothing was learned. Each row has
     its own result, also if rows repeat.
     """
     names = [f"_k{i}" for i in range(len(keep))]
@@ -298,19 +383,21 @@ def label_spans(docs: DataFrame, model: Model, text_column: str = "text", keep:
         rows = docs.select(*[F.col(n).alias(k) for n, k in zip(keep, names)], F.col(text_column).alias(text))
     schema = ", ".join([*(f"{k} {rows.schema[k].dataType.simpleString()}" for k in names), RESULT])
     found = rows.mapInArrow(_label_task(model, penalty, text, names), schema)
-    return found.select(*[F.col(k).alias(n) for n, k in zip(keep, names)], "lang_pred", "score", "spans")
+    return found.select(*[F.col(k).alias(n) for n, k in zip(keep, names)], "lang_pred", "score", "confidence", "spans")
 
 
-def drop_unidentified(docs: DataFrame, model: Model, text_column: str = "text", penalty: float = 12.0) -> DataFrame:
-    """The rows whose path has a language; all columns.
+def drop_unidentified(docs: DataFrame, model: Model, text_column: str = "text", penalty: float = 12.0,
+                      least: float = LEAST_CONFIDENCE) -> DataFrame:
+    """The rows whose path is a language's by ``least`` of its letters; all columns.
 
-    Rows without a letter go; all others stay, also if no language was learned. The
-    score is no reason to go: it falls with the number of languages that a text is
-    written in, and with the number that a short text fits.
+    Rows without a letter go, and so do texts most of whose letters stand in no order of a
+    learned language, or in a script of none. The score is no reason to go: it falls with the
+    number of languages that a text is written in, and with the number that a short text fits;
+    the path's confidence does neither. If no language was learned, rows with a letter stay.
     """
     if not model.languages:
         return docs.filter(F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)))
     labelled = label_spans(docs.toDF(*(f"_c{i}" for i in range(len(docs.columns)))), model,
                            f"_c{docs.columns.index(text_column)}", tuple(f"_c{i}" for i in range(len(docs.columns))), penalty)
-    staying = labelled.filter(F.col("lang_pred") != UNKNOWN)
+    staying = labelled.filter((F.col("lang_pred") != UNKNOWN) & (F.col("confidence") >= least))
     return staying.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(docs.columns)])
