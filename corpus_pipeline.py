@@ -3,6 +3,12 @@
 Documents without a language go; of lines that many sources share the first occurrence
 stays; of near duplicates one document stays; documents that hold a benchmark item go;
 what is left is mixed to source weights, one row per copy taken.
+
+Stages read and return ``doc_id, text, lang, source, n_chars``; further columns of the input
+stay behind. A null or empty text has no language and goes in the first stage. A null ``source``
+is a source of its own, a null ``lang`` is not learned from, and a null ``doc_id`` is an id like
+others: of rows with equal texts one stays. Repeated rows are near duplicates of each other. An
+empty table gives empty results at every stage.
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the languages given; texts without a letter go, mixed and short ones stay."""
+    """Learn from the languages given; texts without a letter, or whose words read as letters at random, go."""
     return language.drop_unidentified(docs, language.train(docs)).select(*COLUMNS)
 
 
