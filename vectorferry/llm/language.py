@@ -17,10 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectorferry.llm.kernels import CHUNK_BYTES
-
 UNKNOWN = "und"
-SIDE_BY_SIDE = 8  # chunks of texts whose paths advance together
+PART_BYTES = 1 << 19  # text whose letters are held in arrays at a time; a longer text is held alone
+SIDE_BY_SIDE = 16  # chunks of texts whose paths advance together
 PLANES = 0x20000  # code points that the letter tables cover; later ones are looked at one by one
 
 # First and last code points of scripts, by the Unicode blocks.
@@ -152,12 +151,12 @@ class LetterWords:
 
 
 def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of batches with about ``CHUNK_BYTES`` of text; a longer text is held alone."""
+    """Slices of batches with about ``PART_BYTES`` of text; a longer text is held alone."""
     for batch in batches:
         sizes = np.cumsum([0, *pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()])
         first = 0
         while first < batch.num_rows:
-            last = int(np.searchsorted(sizes, sizes[first] + CHUNK_BYTES // 2, side="right")) - 1
+            last = int(np.searchsorted(sizes, sizes[first] + PART_BYTES, side="right")) - 1
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
@@ -240,13 +239,11 @@ def word_scores(words: LetterWords, model: Model) -> np.ndarray:
     return np.where(allowed, scores, scores - np.float32(1e4))
 
 
-def word_confidence(words: LetterWords, model: Model, scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """How likely each word is of the language that the path gives it, rather than letters at random.
+def random_scores(words: LetterWords, model: Model) -> np.ndarray:
+    """Log-likelihood of each word as letters at random.
 
-    The other explanation draws a word's letters one by one, for half of the words as often as
-    they occur in all learned texts, for half all alike (else no word of rare letters could look
-    random); ``DOUBT`` is the lead that a language has. A word in a script in which no
-    language was seen has 0.
+    They are drawn one by one, for half of the words as often as they occur in all learned
+    texts, for half all alike (else no word of rare letters could look random).
     """
     if not len(words.starts):
         return np.zeros(0)
@@ -254,8 +251,16 @@ def word_confidence(words: LetterWords, model: Model, scores: np.ndarray, labels
     last = words.offsets[1:] - 1
     chance = 3 * np.add.reduceat(single, words.offsets[:-1]) - single[words.offsets[:-1]] - single[last] + 2 * model.letters[0]
     alike = -3 * words.lengths * np.log(model.kinds)
-    chance = np.logaddexp(chance, alike) - np.log(2)
-    lead = scores[np.arange(len(labels)), labels] - chance + DOUBT
+    return np.logaddexp(chance, alike) - np.log(2)
+
+
+def word_confidence(words: LetterWords, model: Model, scores: np.ndarray, labels: np.ndarray, random: np.ndarray) -> np.ndarray:
+    """How likely each word is of the language that the path gives it, rather than letters at random.
+
+    ``DOUBT`` is the lead that a language has. A word in a script in which no language was
+    seen has 0.
+    """
+    lead = scores[np.arange(len(labels)), labels] - random + DOUBT
     known = model.scripts[words.script].any(axis=1)
     return np.where(known, 1 / (1 + np.exp(-np.clip(lead, -50, 50))), 0.0)
 
@@ -301,12 +306,13 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Letters()
-        held: list[tuple[pa.RecordBatch, LetterWords, np.ndarray, np.ndarray]] = []
+        held: list[tuple[pa.RecordBatch, LetterWords, np.ndarray, np.ndarray, np.ndarray]] = []
         for part in _parts(batches, text):
             words = LetterWords(tables, _texts(part, text))
             scores = word_scores(words, model) if langs else np.zeros((len(words.starts), 1), np.float32)
-            del words.trigrams
-            held.append((part, words, np.bincount(words.owner, minlength=part.num_rows), scores))
+            random = random_scores(words, model) if langs else np.zeros(len(words.starts))
+            del words.trigrams, words.letters
+            held.append((part, words, np.bincount(words.owner, minlength=part.num_rows), scores, random))
             if len(held) == SIDE_BY_SIDE:
                 yield from decided(held)
                 held.clear()
@@ -316,7 +322,7 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
     def decided(held) -> Iterator[pa.RecordBatch]:
         every = viterbi(np.concatenate([h[3] for h in held]), np.concatenate([h[2] for h in held]), penalty)
         at = 0
-        for part, words, counts, scores in held:
+        for part, words, counts, scores, random in held:
             labels, at = every[at: at + len(scores)], at + len(scores)
             texts = part.num_rows
             kinds = max(1, langs)
@@ -340,7 +346,7 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             known = has & (langs > 0)
             sure = np.zeros(texts)
             if langs and len(scores):
-                weight = word_confidence(words, model, scores, labels) * words.lengths
+                weight = word_confidence(words, model, scores, labels, random) * words.lengths
                 sure = np.bincount(words.owner, weight, texts) / np.maximum(1, letters.sum(axis=1))
             change = np.ones(len(labels), bool)
             change[1:] = (labels[1:] != labels[:-1]) | (words.owner[1:] != words.owner[:-1])
