@@ -8,6 +8,7 @@ spans of a text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-PART_BYTES = 1 << 19  # text whose letters are held in arrays at a time; a longer text is held alone
+PART_BYTES = 1 << 18  # text whose letters are held in arrays at a time; a longer text is held alone
 SIDE_BY_SIDE = 16  # chunks of texts whose paths advance together
 PLANES = 0x20000  # code points that the letter tables cover; later ones are looked at one by one
 
@@ -160,6 +161,15 @@ def _parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory goes back to the system: a Python worker lives on after its task, beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def _texts(batch: pa.RecordBatch, text: str) -> list[str]:
@@ -316,6 +326,7 @@ def _label_task(model: Model, penalty: float, text: str, keep: list[str]):
             if len(held) == SIDE_BY_SIDE:
                 yield from decided(held)
                 held.clear()
+                del part, words, scores, random
         if held:
             yield from decided(held)
 
