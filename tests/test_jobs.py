@@ -111,6 +111,16 @@ def test_failed_batch_stops_and_resumes(spark, records, path, expected, monkeypa
     assert done == [0, "failed", 1, 2] and view(spark, path) == expected
 
 
+def test_run_stops_after_some_batches_and_goes_on(spark, records, path, expected):
+    job = make_job(path, batches=5, stop_after=2)
+    for seen, status in ((2, "interrupted"), (4, "interrupted"), (5, None)):
+        report = migrate(records, job).first()
+        assert report["batches"] == seen and (status is None or report["status"] == status)
+    assert report["completed"] and view(spark, path) == expected
+    with pytest.raises(ValueError, match="stop_after"):
+        migrate(records, make_job(path, stop_after=0))
+
+
 def test_fresh_start_is_a_new_run(spark, records, path, expected):
     migrate(records, make_job(path))
     migrate(records, make_job(path, fresh=True))

@@ -310,3 +310,7 @@ ORACLES["idf_incremental"] = ORACLES["idf_table"]
 ORACLES["encoder_loads"] = """SELECT 1::bigint loads_per_task, count(*) AS rows, sum(length(text))::bigint chars
   FROM documents WHERE text <> ''"""
 ORACLES["payload_key_sketches"] = f"SELECT *, true distinct_is_near FROM ({ORACLES['payload_key_profile']})"
+ORACLES["resume_migration"] = f"""WITH {RECORDS}, n AS (SELECT ceil(count(*) / 100)::bigint n FROM records), placed AS (
+  SELECT embedding, n, ('0x' || substr(md5(id), 1, 7))::bigint % n batch_id FROM records, n)
+SELECT batch_id, count(*) fetched, count(embedding) upserted, count(*) - count(embedding) quarantined,
+  batch_id >= n // 2 resumed FROM placed GROUP BY batch_id, n"""

@@ -41,7 +41,8 @@ class MigrationJob:
     ``dimension`` given: the data is read once and vectors of another size are set
     aside. Left out: it is taken from the existing target or found in an extra scan,
     which fails when sizes differ. ``batches`` > 1 splits a batch run into as many
-    separately committed parts. ``parallelism`` spreads the rows over that many tasks
+    separately committed parts; ``stop_after`` ends it after so many of them, to go on when it
+    is run again. ``parallelism`` spreads the rows over that many tasks
     first, for a source with few large splits. ``typed_fields`` lets only text columns
     of field records become filters; other types go to ``meta``; other shapes have no
     typed columns and refuse it. ``fresh`` starts a new run instead of resuming.
@@ -70,6 +71,7 @@ class MigrationJob:
     m: int = DEFAULT_M
     ef_con: int = DEFAULT_EF
     batches: int = 1
+    stop_after: int | None = None
     parallelism: int | None = None
     fresh: bool = False
     reader_options: dict[str, Any] = field(default_factory=dict)
@@ -89,6 +91,8 @@ def check_job(job: MigrationJob) -> None:
         encode.encoder(job.sparse_algo)
     if job.batches < 1:
         raise ValueError("batches must be at least 1")
+    if job.stop_after is not None and job.stop_after < 1:
+        raise ValueError("stop_after must be at least 1")
     if job.typed_fields and job.source_db in UNTYPED_SOURCES:
         raise ValueError(f"typed_fields needs field records; {job.source_db} payloads have no typed columns")
 
@@ -274,14 +278,14 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str, known: list[Row], starte
                       average_length=average)
 
     fields = filter_names(df, job)
-    for batch_id in range(job.batches):
-        if batch_id in done:
-            continue
+    left = [batch_id for batch_id in range(job.batches) if batch_id not in done]
+    for batch_id in left[: job.stop_after]:
         part = canonical
         if job.batches > 1:
             part = canonical.filter(F.col("batch_id") == batch_id).drop("batch_id")
         write_part(to_target(part, dimension, fields, job.sparse_algo, average), job, run_id, batch_id)
-    collection.mark_completed(spark, job.target_path, run_id)
+    if job.stop_after is None or len(left) <= job.stop_after:
+        collection.mark_completed(spark, job.target_path, run_id)
 
 
 def verify(df: DataFrame, job: MigrationJob, unique_ids: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -732,6 +733,22 @@ def resume_ledger(spark, folder):
     return batches.pending(rows, ledger, "run").select("doc_id", "batch_id")
 
 
+@query
+def resume_migration(spark, folder):
+    """A migration that stops after half of its batches and goes on: the ledger says where."""
+    path, records = scratch(spark), field_records(spark, folder)
+    n = batches.batch_count(records.count(), BATCH)
+    job = MigrationJob("milvus", path, "documents", dimension=DIMENSION, filter_fields="lang", batches=n)
+    if n > 1:
+        migrate(records, replace(job, stop_after=n // 2))
+    first = batches.written(collection.batches(collection.read_ledger(spark, path)).select("batch_id"), "first-batches")
+    migrate(records, job)
+    done = report.batch_report(collection.read_ledger(spark, path))
+    columns = ["batch_id", "fetched", "upserted", "quarantined"]
+    early = done.join(first, "batch_id", "left_semi").select(*columns, F.lit(False).alias("resumed"))
+    return early.unionByName(done.join(first, "batch_id", "left_anti").select(*columns, F.lit(True).alias("resumed")))
+
+
 @query
 def resume_completed(spark, folder):
     job = MigrationJob(
