@@ -198,6 +198,88 @@ def test_toxicity_edges(spark, edge, grams):
     assert toxicity.train_classifier(many, labels.limit(0), grams).keys.size == 0
 
 
+def test_trigrams_are_told_apart(spark):
+    """More trigrams than any small table of hashes holds: every count is its own."""
+    text = " ".join(chr(0x4E00 + i) + chr(0x4E00 + j) for i in range(300) for j in range(100))
+    found = toxicity.train_characters(docs(spark, [(1, text, "zh", "a"), (None, None, None, None)]))
+    assert len(found.keys) == 2 * 300 * 100 + 300 and set(found.counts.tolist()) == {1.0, 100.0}
+    assert found.log_probability(0, 0x4E00, 0x4E01) == pytest.approx(np.log(0.8 / 100 + 0.2 / 40))
+    assert found.log_probability(0, 0x4E00, 0x9999) == pytest.approx(np.log(0.2 / 40))
+
+
+def brute_evidence(texts, labels, weights, own, shrink=10.0, z=3.0):
+    """The evidence of texts in plain Python; ``own`` takes a text's weight off its words."""
+    def words(text):
+        return sorted(set(re.findall(r"[^\W\d_]+", text.lower())))
+
+    def runs(word):
+        wide = f"_{word}_"
+        return {wide[i: i + 5] for i in range(len(wide) - 4)}
+
+    held, total = {}, [0.0, 0.0]
+    for text, label, weight in zip(texts, labels, weights):
+        total[label] += weight
+        for key in {("w", w) for w in words(text)} | {("r", r) for w in words(text) for r in runs(w)}:
+            held.setdefault(key, [0.0, 0.0])[label] += weight
+    base = (total[1] + 0.5) / (sum(total) + 1)
+
+    def bound(run):
+        clean, toxic = held.get(("r", run), (0.0, 0.0))
+        if not toxic:
+            return 0.0
+        n, p = clean + toxic, toxic / (clean + toxic)
+        return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+    out = []
+    for text, label in zip(texts, labels):
+        odds = []
+        for word in words(text):
+            best = max([base, *(bound(r) for r in runs(word))])
+            clean, toxic = held.get(("w", word), (0.0, 0.0))
+            clean = clean if toxic else 0.0
+            if own:
+                clean, toxic = max(0.0, clean - (label == 0)), max(0.0, toxic - (label == 1))
+            p = (toxic + shrink * best) / (clean + toxic + shrink)
+            odds.append(np.log(p / (1 - p)) - np.log(base / (1 - base)))
+        odds.sort(reverse=True)
+        out.append([max(odds, default=0.0) if odds else 0.0, sum(odds[:3]), sum(x for x in odds if x > 1), np.log1p(len(odds))])
+    return np.array(out)
+
+
+def test_toxicity_equals_brute_force(spark, grams):
+    """Distinct texts, so each has the weight 1: evidence of all texts and the regression's own conditions."""
+    rng = np.random.default_rng(5)
+    stems = ["blorv", "quim", "tandes", "orlick", "pemba", "sutter"]
+    rows, labels = [], []
+    for i in range(240):
+        label = int(i % 4 == 0)
+        words = [rng.choice(stems[2:]) + rng.choice(list("aeiou")) + rng.choice(list("mnrst")) for _ in range(30)]
+        if label or i % 31 == 0:
+            words += [stems[i % 2] + rng.choice(list("aeiou")) + rng.choice(list("mnrst")) for _ in range(1 + 4 * label)]
+        rows.append((i, " ".join(rng.permutation(words)), "en", "a"))
+        labels.append(label)
+    texts = [r[1] for r in rows]
+    found = toxicity.train_classifier(
+        docs(spark, rows), spark.createDataFrame(list(zip(range(240), labels)), "doc_id long, toxic int"), grams)
+    features = toxicity.Features(language.Letters(), toxicity.kernels.Powers(), texts)
+    for own in (False, True):
+        got = toxicity.evidence(features, 240, found, found.near(), np.array(labels) if own else None)
+        assert np.allclose(got, brute_evidence(texts, labels, [1.0] * 240, own))
+    rows_ = np.column_stack([(got - found.centre) / found.scale, np.ones(240)])
+    p = 1 / (1 + np.exp(-rows_ @ found.weights))
+    slope = rows_.T @ (p - np.array(labels)) + np.append(found.weights[:-1], 1e-3 * found.weights[-1])
+    assert np.abs(slope).max() < 1e-6
+    plain = brute_evidence(texts, labels, [1.0] * 240, False)
+    want = 1 / (1 + np.exp(-((plain - found.centre) / found.scale @ found.weights[:-1] + found.weights[-1])))
+    scored = by_id(toxicity.score_toxicity(docs(spark, rows), grams, found))
+    assert np.allclose([scored[i]["score"] for i in range(240)], want)
+    neutral = " ".join(texts[1].split()[:30])  # as long as those learned from
+    fresh = by_id(toxicity.score_toxicity(docs(spark, [
+        (1, f"{neutral} blorvux blorvif blorvaz blorvop blorvew", "en", "a"), (2, f"{neutral} wumbux wumbif wumbaz", "en", "a")]),
+        grams, found))
+    assert fresh[1]["predicted"] == 1 and fresh[2]["predicted"] == 0  # words never seen, of a stem that was
+
+
 # -- 3 vectors --------------------------------------------------------------------
 
 

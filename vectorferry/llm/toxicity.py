@@ -3,10 +3,10 @@
 Writers hide words by symbols for letters, by spacing and by repetition. For each token
 that may be disguised a lattice of the letters it may stand for is decoded by Viterbi
 under a character trigram model of the whole corpus; the restored text is then scored.
-The classifier knows for words how surely a text that holds one is toxic, and for runs
-of five letters how surely a word that holds one is such a word, as lower confidence
-bounds, so neither rare features nor long texts raise the score by chance; a text has
-the score of its surest feature.
+The share of toxic texts among those that hold a word is shrunk toward that of its surest
+run of five letters, and this toward the share of all texts, so rare words of a stem
+teach together, in languages with few labels too. A logistic regression over the surest
+words, the sum of the strong ones and the number of words gives the score.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ LOOKALIKES = {
 CORE = "0123456789@$€£¥"  # lookalikes that are no punctuation
 PARTING = "-_./'’,:;&"  # may also stand between two words
 
-GRAM_BITS, NEAR_BITS = 18, 20
+NEAR_BITS = 20
 # log costs of the channel
 SUBSTITUTED, SKIPPED, DROPPED, OUTER = -0.7, -3.0, -7.0, -0.1  # dropped: a lookalike that stands for nothing
 COLLAPSED, SINGLED, PARTED = -0.5, -4.0, -1.5  # singled: a double letter meant as one
@@ -42,26 +42,35 @@ BLANKS = [i for i in range(PLANES) if chr(i).isspace()]
 
 @dataclass(frozen=True)
 class Classifier:
-    """Lower bounds of words and of runs of letters; all that are not here have the bound 0."""
+    """Weights of the toxic and clean texts that hold a word of toxic texts, bounds of runs of
+    letters above ``base``, and the regression over what they say about a text."""
 
-    keys: np.ndarray  # uint64, sorted
+    keys: np.ndarray  # uint64, sorted: words
+    toxic: np.ndarray
+    clean: np.ndarray
+    runs: np.ndarray  # uint64, sorted
     bounds: np.ndarray
+    base: float
+    centre: np.ndarray
+    scale: np.ndarray
+    weights: np.ndarray  # the last one stands alone
 
     def near(self) -> np.ndarray:
-        """Whether any key has these upper bits: rules most features out at once."""
+        """Whether any run has these upper bits: rules most out at once."""
         table = np.zeros(1 << NEAR_BITS, bool)
-        table[_upper(self.keys, NEAR_BITS)] = True
+        table[_upper(self.runs, NEAR_BITS)] = True
         return table
 
+    def score(self, evidence: np.ndarray) -> np.ndarray:
+        """Chances that texts are toxic; 0 for a text without words."""
+        value = (evidence - self.centre) / self.scale @ self.weights[:-1] + self.weights[-1]
+        return np.where(evidence[:, -1] > 0, 1 / (1 + np.exp(-np.clip(value, -700, 700))), 0.0)
+
 
 def _upper(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _mixed(values: np.ndarray, bits: int) -> np.ndarray:
-    return _upper(kernels.mix64(values), bits)
-
-
 def _codes(before, middle, after):
     return (before << np.uint64(42)) | (middle << np.uint64(21)) | after
 
@@ -71,8 +80,6 @@ def _codes(before, middle, after):
 
 def _gram_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables = Letters()
-    total = np.zeros(1 << GRAM_BITS, np.int64)
-    context = np.zeros(1 << GRAM_BITS, np.int64)
     for part in _parts(batches, "text"):
         points, letter, _ = tables.decode(_texts(part, "text"))
         symbol = np.where(letter, points, 0).astype(np.uint64)
@@ -80,40 +87,39 @@ def _gram_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before[1:], ahead[2:] = symbol[:-1], symbol[:-2]
         ahead[before == 0] = 0
         used = letter | (before > 0)  # each letter, and the edge that ends a word
-        total += np.bincount(_mixed(_codes(ahead, before, symbol)[used], GRAM_BITS), minlength=1 << GRAM_BITS)
-        context += np.bincount(_mixed(((ahead << np.uint64(21)) | before)[used], GRAM_BITS), minlength=1 << GRAM_BITS)
-    for kind, counts in (("gram", total), ("context", context)):
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([kind] * len(at), pa.string()), pa.array(at), pa.array(counts[at])],
-            names=["kind", "bucket", "n"])
+        keys, n = np.unique(_codes(ahead, before, symbol)[used], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
 
 
 @dataclass(frozen=True)
 class Grams:
-    """Hashed counts of letter trigrams and of the two letters before."""
+    """Counts of letter trigrams, and of the two letters before."""
 
-    total: np.ndarray
-    context: np.ndarray
+    keys: np.ndarray  # uint64, sorted
+    counts: np.ndarray
+    contexts: np.ndarray  # uint64, sorted
+    sums: np.ndarray
 
     def log_probability(self, ahead: int, before: int, letter: int) -> float:
-        key = np.array([(ahead << 42) | (before << 21) | letter, (ahead << 21) | before], np.uint64)
-        gram, context = _mixed(key, GRAM_BITS)
-        return float(np.log(0.8 * self.total[gram] / max(1.0, self.context[context]) + 0.2 / 40))
+        context = (ahead << 21) | before
+        count = _count(self.keys, self.counts, (context << 21) | letter)
+        return float(np.log(0.8 * count / max(1.0, _count(self.contexts, self.sums, context)) + 0.2 / 40))
+
+
+def _count(keys: np.ndarray, counts: np.ndarray, key: int) -> float:
+    at = int(np.searchsorted(keys, np.uint64(key)))
+    return float(counts[at]) if at < len(keys) and int(keys[at]) == key else 0.0
 
 
 def train_characters(docs: DataFrame, text_column: str = "text") -> Grams:
-    """Count letter trigrams of all texts; the driver gets at most ``2 ** (GRAM_BITS + 1)`` sums."""
+    """Count letter trigrams of all texts. The driver gets a row per distinct trigram: alphabets
+    bound their number, not texts."""
     rows = docs.select(F.col(text_column).alias("text")).filter("text is not null")
-    counts = rows.mapInArrow(_gram_task, "kind string, bucket long, n long").groupBy("kind", "bucket").agg(
-        F.sum("n").alias("n")).toPandas()
-    tables = []
-    for kind in ("gram", "context"):
-        own = counts[counts["kind"] == kind]
-        table = np.zeros(1 << GRAM_BITS, np.float64)
-        table[own["bucket"].to_numpy()] = own["n"].to_numpy()
-        tables.append(table)
-    return Grams(*tables)
+    found = rows.mapInArrow(_gram_task, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    found = found.sort_values("key")
+    keys, counts = found["key"].to_numpy().view(np.uint64), found["n"].to_numpy(np.float64)
+    contexts, of = np.unique(keys >> np.uint64(21), return_inverse=True)
+    return Grams(keys, counts, contexts, np.bincount(of, counts, minlength=len(contexts)))
 
 
 # -- restoring ------------------------------------------------------------------
@@ -362,94 +368,154 @@ def _copy_weights(texts: DataFrame, hashes: int = 5) -> DataFrame:
     return held.select("id", (1 / F.element_at("n", hashes // 2 + 1)).alias("weight"))
 
 
-def _word_task(grams: Grams):
-    """The words of each text with its weight, each once."""
+def _weigh_task(grams: Grams):
+    """Weights of the toxic and clean texts of one part that hold a word or a run of letters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, powers, restorer = Letters(), kernels.Powers(), Restorer(grams)
         for part in _parts(batches, "text"):
-            weight = part.column("weight").to_pylist()
+            weight = np.array(part.column("weight").to_pylist(), np.float64)
+            label = np.array(part.column("label").to_pylist(), np.int64)
             found = Features(tables, powers, restore_texts(tables, restorer, _texts(part, "text")))
-            held = sorted(set(zip(found.owner.tolist(), found.strings())))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for _, w in held], pa.string()), pa.array([weight[i] for i, _ in held], pa.float64())],
-                names=["word", "n"])
+            for kind, hashes, owner in (("word", found.words, found.owner),
+                                        ("run", found.grams, found.owner[found.word])):
+                keys, of = np.unique(hashes, return_inverse=True)
+                held = np.unique(of * part.num_rows + owner)
+                of, owner = held // part.num_rows, held % part.num_rows
+                sums = [np.bincount(of, weight[owner] * (label[owner] == y), minlength=len(keys)) for y in (1, 0)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind] * len(keys), pa.string()), pa.array(keys.view(np.int64)),
+                     pa.array(sums[0], pa.float64()), pa.array(sums[1], pa.float64())],
+                    names=["kind", "key", "toxic", "clean"])
     return run
 
 
-def _count_task(grams: Grams, keys: np.ndarray, besides: np.ndarray | None):
-    """Weights of the texts that hold a key: a word, or with ``besides`` a run of letters of other words."""
+SHRINK = 10.0  # texts that the bound of a run of letters counts as
+STRONG = 1.0  # log-odds above the base from which on a word counts as a strong one
+EVIDENCE = 4
+
+
+def evidence(found: Features, texts: int, classifier: Classifier, near: np.ndarray,
+             labels: np.ndarray | None = None) -> np.ndarray:
+    """What the distinct words of each text say: log-odds above the base of the surest word, of the
+    three surest, of all strong ones, and the logarithm of the number of words.
+
+    With ``labels``, for texts learned from, a text's own weight is taken off its words first.
+    """
+    first = np.lexsort([found.words, found.owner])
+    again = np.zeros(len(first), bool)
+    again[1:] = (found.words[first[1:]] == found.words[first[:-1]]) & (found.owner[first[1:]] == found.owner[first[:-1]])
+    first = first[~again]
+    owner, words = found.owner[first], found.words[first]
+    best = np.full(len(found.words), classifier.base)
+    some = np.flatnonzero(near[_upper(found.grams, NEAR_BITS)])
+    known, place = _found(classifier.runs, found.grams[some])
+    np.maximum.at(best, found.word[some][known], classifier.bounds[place[known]])
+    best = best[first]
+    known, place = _found(classifier.keys, words)
+    toxic, clean = np.zeros(len(words)), np.zeros(len(words))
+    toxic[known], clean[known] = classifier.toxic[place[known]], classifier.clean[place[known]]
+    if labels is not None:
+        own = labels[owner]
+        toxic = np.maximum(0.0, toxic - (own == 1))
+        clean = np.maximum(0.0, clean - (own == 0))
+    share = (toxic + SHRINK * best) / (toxic + clean + SHRINK)
+    odds = np.log(share / (1 - share)) - np.log(classifier.base / (1 - classifier.base))
+    out = np.zeros((texts, EVIDENCE))
+    order = np.lexsort([-odds, owner])
+    owner, odds = owner[order], odds[order]
+    rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    out[owner[rank == 0], 0] = odds[rank == 0]
+    out[:, 1] = np.bincount(owner[rank < 3], odds[rank < 3], minlength=texts)
+    out[:, 2] = np.bincount(owner, np.where(odds > STRONG, odds, 0.0), minlength=texts)
+    out[:, 3] = np.log1p(np.bincount(owner, minlength=texts))
+    return out
+
+
+def _evidence_task(grams: Grams, classifier: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, powers, restorer = Letters(), kernels.Powers(), Restorer(grams)
-        total = np.zeros(len(keys))
+        tables, powers, restorer, near = Letters(), kernels.Powers(), Restorer(grams), classifier.near()
         for part in _parts(batches, "text"):
-            weight = np.array(part.column("weight").to_pylist(), np.float64)
+            labels = np.array(part.column("label").to_pylist(), np.int64)
             found = Features(tables, powers, restore_texts(tables, restorer, _texts(part, "text")))
-            if besides is None:
-                known, place = _found(keys, found.words)
-                owner = found.owner
-            else:
-                known, place = _found(keys, found.grams)
-                known &= ~_found(besides, found.words)[0][found.word]
-                owner = found.owner[found.word]
-            held = np.unique(owner[known] * len(keys) + place[known]) if len(keys) else np.zeros(0, np.int64)
-            total += np.bincount(held % max(1, len(keys)), weight[held // max(1, len(keys))], minlength=len(keys))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
+            values = evidence(found, part.num_rows, classifier, near, labels)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("label"), part.column("weight"), *[pa.array(v) for v in values.T.copy()]],
+                names=["label", "weight", *[f"e{i}" for i in range(EVIDENCE)]])
     return run
 
 
-def _wilson(share: np.ndarray, n: np.ndarray, z: float) -> np.ndarray:
-    middle = share + z * z / (2 * n)
-    return (middle - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+def _regression(values: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Centre, scale and weights of a ridge logistic regression, by Newton's steps."""
+    centre = np.average(values, axis=0, weights=weight)
+    scale = np.sqrt(np.average((values - centre) ** 2, axis=0, weights=weight)) + 1e-9
+    rows = np.column_stack([(values - centre) / scale, np.ones(len(values))])
+    ridge = np.diag([1.0] * values.shape[1] + [1e-3])
+    share = np.average(labels, weights=weight)
+    weights = np.append(np.zeros(values.shape[1]), np.log(share / (1 - share)))
+
+    def loss(w: np.ndarray) -> float:
+        at = rows @ w
+        return float(weight @ (np.logaddexp(0, at) - labels * at) + w @ ridge @ w / 2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(rows @ weights, -500, 500)))
+        slope = rows.T @ (weight * (p - labels)) + ridge @ weights
+        step = np.linalg.solve((rows.T * (weight * p * (1 - p))) @ rows + ridge, slope)
+        size = 1.0
+        while size > 1e-6 and loss(weights - size * step) > loss(weights):
+            size /= 2
+        weights = weights - size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
+    return centre, scale, weights
 
 
 def train_classifier(docs: DataFrame, labels: DataFrame, grams: Grams, id_column: str = "doc_id",
                      text_column: str = "text", label_column: str = "toxic", most_rows: int = 20_000,
-                     deviations: float = 4.0, least_weight: float = 3.0, least_bound: float = 0.25) -> Classifier:
-    """Count features over a sample of the labelled documents, by a hash of their id.
-
-    ``most_rows`` is the size aimed at; twice as many labels are never sent to the
-    tasks. Rows with a null id or label teach nothing; of several labels of an id
-    the largest counts. Copies of a text share one weight. Words of the toxic
-    texts with ``least_weight`` are counted in the others as well; their number is
-    bounded by the sample's. Runs of letters of more than one marked word are counted in
-    all other words. The bound is Wilson's, ``deviations`` from the share found; less
-    than ``least_bound`` counts as none.
+                     deviations: float = 3.0) -> Classifier:
+    """Weigh words and runs of letters over a sample of the labelled documents, by a hash of their id.
+
+    ``most_rows`` is the size aimed at; twice as many labels, in the order of that hash, are
+    never sent to the tasks. Rows with a null id or label teach nothing; of several labels of
+    an id the largest counts. Copies of a text share one weight. The bound of a run of letters
+    is Wilson's, ``deviations`` from the share found; runs no surer than the share of all texts
+    are left out. Only words and runs of toxic texts reach the driver. Without a toxic or
+    without a clean text nothing is learned: every text scores 0.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")).filter(
         "id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
     share = most_rows / max(most_rows, known.count())
-    picked = known.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)).limit(2 * most_rows)
+    place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    picked = known.filter(place < int(share * 1_000_000)).orderBy(place, "id").limit(2 * most_rows)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter("text is not null")
     sample = materialize(rows.join(F.broadcast(picked), "id"), "sample")
     weighed = materialize(sample.join(_copy_weights(sample), "id").select("text", "label", "weight"), "weighed")
 
-    def clean(keys: np.ndarray, besides: np.ndarray | None) -> np.ndarray:
-        own = weighed.filter("label = 0").select("text", "weight")
-        sums = own.mapInArrow(_count_task(grams, keys, besides), "place long, n double").groupBy("place").agg(
-            F.sum("n").alias("n")).toPandas()
-        out = np.zeros(len(keys))
-        out[sums["place"].to_numpy()] = sums["n"].to_numpy()
-        return out
-
-    toxic = weighed.filter("label = 1").select("text", "weight").mapInArrow(
-        _word_task(grams), "word string, n double").groupBy("word").agg(F.sum("n").alias("n"))
-    toxic = toxic.filter(F.col("n") >= least_weight).toPandas()
-    found = Features(Letters(), kernels.Powers(), toxic["word"].tolist())
-    order = np.argsort(found.words)
-    keys, n = found.words[order], toxic["n"].to_numpy()[order]
-    n = n + clean(keys, None)
-    bounds = _wilson(toxic["n"].to_numpy()[order] / n, n, deviations) if len(n) else np.zeros(0)
-    marked = keys[bounds >= least_bound]
-
-    of_marked = _found(marked, found.words)[0][found.word]
-    runs, kinds = np.unique(found.grams[of_marked], return_counts=True)
-    runs, kinds = runs[kinds > 1], kinds[kinds > 1].astype(np.float64)
-    n = kinds + clean(runs, marked)
-    stems = _wilson(kinds / n, n, deviations) if len(n) else np.zeros(0)
-    every = np.concatenate([marked, runs[stems >= least_bound]])
-    order = np.argsort(every)
-    return Classifier(every[order], np.concatenate([bounds[bounds >= least_bound], stems[stems >= least_bound]])[order])
+    sums = weighed.groupBy().agg(F.sum(F.expr("weight * label")), F.sum(F.expr("weight * (1 - label)"))).first()
+    toxic, clean = (float(x or 0) for x in sums)
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    if not toxic or not clean:
+        return Classifier(none[0], none[1], none[1], *none, 0.5, np.zeros(EVIDENCE), np.ones(EVIDENCE),
+                          np.append(np.zeros(EVIDENCE), -np.inf))
+    base = (toxic + 0.5) / (toxic + clean + 1)
+    found = weighed.mapInArrow(_weigh_task(grams), "kind string, key long, toxic double, clean double").groupBy(
+        "kind", "key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter("toxic > 0")
+    n, z = F.col("toxic") + F.col("clean"), deviations
+    of = F.col("toxic") / n
+    bound = (of + z * z / (2 * n) - z * F.sqrt(of * (1 - of) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    found = materialize(found.withColumn("bound", bound).filter((F.col("kind") == "word") | (F.col("bound") > base)),
+                        "features").toPandas()
+    found["key"] = found["key"].to_numpy().view(np.uint64)
+    found = found.sort_values("key")
+    words, runs = found[found["kind"] == "word"], found[found["kind"] == "run"]
+    tables = [c.to_numpy() for c in (words["key"], words["toxic"], words["clean"], runs["key"], runs["bound"])]
+    classifier = Classifier(*tables, base, np.zeros(EVIDENCE), np.ones(EVIDENCE), np.zeros(EVIDENCE + 1))
+    names = [f"e{i}" for i in range(EVIDENCE)]
+    taught = weighed.mapInArrow(
+        _evidence_task(grams, classifier), "label int, weight double, " + ", ".join(f"{n} double" for n in names)
+    ).toPandas().sort_values([*names, "label", "weight"])  # whatever the order of tasks
+    return Classifier(*tables, base, *_regression(
+        taught[names].to_numpy(), taught["label"].to_numpy(np.float64), taught["weight"].to_numpy()))
 
 
 def _score_task(grams: Grams, classifier: Classifier):
@@ -457,14 +523,9 @@ def _score_task(grams: Grams, classifier: Classifier):
         tables, powers, restorer, near = Letters(), kernels.Powers(), Restorer(grams), classifier.near()
         for part in _parts(batches, "text"):
             restored = restore_texts(tables, restorer, _texts(part, "text"))
-            found = Features(tables, powers, restored)
-            score = np.zeros(part.num_rows, np.float64)
-            for hashes, owner in ((found.words, found.owner), (found.grams, found.owner[found.word])):
-                some = near[_upper(hashes, NEAR_BITS)]
-                known, place = _found(classifier.keys, hashes[some])
-                np.maximum.at(score, owner[some][known], classifier.bounds[place[known]])
+            score = classifier.score(evidence(Features(tables, powers, restored), part.num_rows, classifier, near))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(np.minimum(score, 1.0)), pa.array(restored, pa.string())],
+                [part.column("id"), pa.array(score), pa.array(restored, pa.string())],
                 names=["id", "score", "restored"])
     return run
 
@@ -474,7 +535,7 @@ def score_toxicity(docs: DataFrame, grams: Grams, classifier: Classifier, id_col
     """``(id_column, score, predicted, restored)`` of each row.
 
     ``predicted`` is 1 from ``threshold`` on. A null or empty text, or one without a
-    known feature, scores 0. Rows are scored one by one, so repeated rows and null
+    word, scores 0. Rows are scored one by one, so repeated rows and null
     ids have their own results. Other columns are not read.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
