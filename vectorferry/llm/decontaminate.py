@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 from vectorferry.llm import kernels
 from vectorferry.llm.store import materialize
 
-_PRIME = (1 << 61) - 1
-_BASE = 1_000_003
 SALTS = 16  # parts of the rows of one item
 
 
@@ -43,74 +41,90 @@ def _tables():
     return kernels.byte_codes(), kernels.Powers(), kernels.separator_table(punctuation())
 
 
-def greedy_tiles(text: list[int], item: list[int], shortest: int, gap: int = -1) -> list[tuple[int, int, int]]:
+def greedy_tiles(text: list[int], item: list[int], shortest: int, gap: int = -1,
+                 powers: kernels.Powers | None = None) -> list[tuple[int, int, int]]:
     """``(place in text, place in item, length)`` of the tiles, the longest first.
 
     ``gap`` in the text matches nothing. Of matches of one length the first in the
-    item, then in the text, is marked.
+    item, then in the text, is marked. The length of the longest match is found by
+    bisection, as a run in common has all its parts in common; each step hashes the
+    free windows of one length, so repeated words cost no more than others.
     """
-    taken_text, taken_item = [x == gap for x in text], [False] * len(item)
+    powers = powers or kernels.Powers()
+    text, item = np.asarray(text, np.int64), np.asarray(item, np.int64)
+    ours, theirs = _Windows(text, text == gap, powers), _Windows(item, np.zeros(len(item), bool), powers)
     tiles: list[tuple[int, int, int]] = []
-    length = max(shortest, len(item) // 2)
-    while True:
-        matches = _matches(text, item, taken_text, taken_item, length)
-        longest = max((m[2] for m in matches), default=0)
-        if longest > 2 * length:
-            length = longest
+    most = min(len(text), len(item))
+    while most >= shortest:
+        length = _longest(ours, theirs, shortest, most)
+        if not length:
+            break
+        tiles += _mark(ours, theirs, length)
+        most = length - 1
+    return tiles
+
+
+class _Windows:
+    """Running Karp-Rabin hashes of the windows of a sequence, and which words are taken."""
+
+    def __init__(self, words: np.ndarray, taken: np.ndarray, powers: kernels.Powers):
+        self.words, self.taken = words, taken
+        up, self.down = powers.upto(len(words) + 1)
+        self.sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(kernels.mix64(words.view(np.uint64)) * up[: len(words)], dtype=np.uint64, out=self.sums[1:])
+
+    def free(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the windows of ``length`` without a taken word."""
+        before = np.concatenate([[0], np.cumsum(self.taken)])
+        places = np.flatnonzero(before[length:] == before[: len(before) - length])
+        return places, (self.sums[places + length] - self.sums[places]) * self.down[places]
+
+
+def _longest(ours: _Windows, theirs: _Windows, shortest: int, most: int) -> int:
+    """Length of the longest free run in common, from ``shortest`` to ``most``; 0 if there is none."""
+    def common(length: int) -> bool:
+        return bool(np.isin(theirs.free(length)[1], ours.free(length)[1]).any())
+
+    if not common(shortest):
+        return 0
+    if common(most):
+        return most
+    while most - shortest > 1:
+        middle = (shortest + most) // 2
+        shortest, most = (middle, most) if common(middle) else (shortest, middle)
+    return shortest
+
+
+def _mark(ours: _Windows, theirs: _Windows, length: int) -> list[tuple[int, int, int]]:
+    """Take all matches of the greatest length that do not overlap.
+
+    Windows and marked matches have one length, so a window overlaps a mark if it
+    holds its first or its last word.
+    """
+    places, hashes = ours.free(length)
+    order = np.argsort(hashes, kind="stable")
+    places, hashes = places[order], hashes[order]
+    items, wanted = theirs.free(length)
+    first, last = np.searchsorted(hashes, wanted), np.searchsorted(hashes, wanted, side="right")
+    some = np.flatnonzero(last > first)
+    reached: dict[int, int] = {}  # of the windows of one hash, those before are taken
+    tiles, end = [], 0
+    for place, low, high in zip(items[some].tolist(), first[some].tolist(), last[some].tolist()):
+        if place < end:
             continue
-        left = []
-        for at, place, n in sorted(matches, key=lambda m: (-m[2], m[1], m[0])):
-            if any(taken_text[at: at + n]) or any(taken_item[place: place + n]):
-                left.append((at, place, n))
-                continue
-            taken_text[at: at + n] = [True] * n
-            taken_item[place: place + n] = [True] * n
-            tiles.append((at, place, n))
-        if left:  # what remains of occluded matches may still be long enough
-            if _matches(text, item, taken_text, taken_item, length):
-                continue
-        if length == shortest:
-            return tiles
-        length = max(shortest, length // 2)
-
-
-def _running(words: list[int], taken: list[bool], length: int) -> Iterator[tuple[int, int]]:
-    """Places and Karp-Rabin hashes of all runs of ``length`` words that are not taken."""
-    top = pow(_BASE, length - 1, _PRIME)
-    value = free = 0
-    for i, word in enumerate(words):
-        if taken[i]:
-            value = free = 0
+        at = reached.get(low, low)
+        while at < high and (ours.taken[places[at]] or ours.taken[places[at] + length - 1]):
+            at += 1
+        reached[low] = at
+        if at == high:
             continue
-        if free == length:
-            value = (value - words[i - length] * top) % _PRIME
-            free -= 1
-        value = (value * _BASE + word) % _PRIME
-        free += 1
-        if free == length:
-            yield i - length + 1, value
-
-
-def _matches(text, item, taken_text, taken_item, length) -> list[tuple[int, int, int]]:
-    """Maximal matches of free words, at least ``length`` long, each once."""
-    table: dict[int, list[int]] = {}
-    for place, value in _running(item, taken_item, length):
-        table.setdefault(value, []).append(place)
-    found, reached = [], {}
-    if not table:
-        return found
-    for at, value in _running(text, taken_text, length):
-        for place in table.get(value, ()):
-            if reached.get(at - place, -1) >= at + length:  # inside a match on this diagonal
-                continue
-            n = 0
-            while (at + n < len(text) and place + n < len(item) and text[at + n] == item[place + n]
-                   and not taken_text[at + n] and not taken_item[place + n]):
-                n += 1
-            if n >= length:
-                found.append((at, place, n))
-                reached[at - place] = at + n
-    return found
+        found, end_of = int(places[at]), place + length
+        if (ours.words[found: found + length] != theirs.words[place: end_of]).any():
+            continue  # one hash for two runs
+        ours.taken[found: found + length] = theirs.taken[place: end_of] = True
+        tiles.append((found, place, length))
+        end = end_of
+    return tiles
 
 
 def _item_task(shortest: int):
@@ -169,10 +183,11 @@ def _region_task(shortest: int, bits: np.ndarray):
 
 def _tile_task(shortest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = kernels.Powers()
         for batch in batches:
             tiles, covered = [], []
             for text, item in zip(batch.column("stretch"), batch.column("words")):
-                found = greedy_tiles(text.as_py(), item.as_py(), shortest)
+                found = greedy_tiles(text.values.to_numpy(), item.values.to_numpy(), shortest, powers=powers)
                 tiles.append(len(found))
                 covered.append(sum(n for _, _, n in found))
             yield pa.RecordBatch.from_arrays([
