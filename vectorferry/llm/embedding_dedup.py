@@ -93,9 +93,46 @@ def _rows(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield dimension, places, values
 
 
+LINES = 1024  # projected on at a time: memory follows from it and not from the number of lines
+KEPT = 1 << 24  # numbers of lines that a task keeps; those of further lines are drawn again
+
+
+class _Drawn:
+    """The lines of one dimension in blocks, each from a seed of its own."""
+
+    def __init__(self, dimension: int, count: int, seed: int):
+        self.dimension, self.count, self.seed = dimension, count, seed
+        self.held: dict[int, np.ndarray] = {}
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        for first in range(0, self.count, LINES):
+            lines = self.held.get(first)
+            if lines is None:
+                generator = np.random.default_rng([self.seed, self.dimension, first])
+                lines = generator.standard_normal((self.dimension, min(LINES, self.count - first)), np.float32)
+                if (first + LINES) * self.dimension <= KEPT:
+                    self.held[first] = lines
+            yield first, lines
+
+
+def cells_of(unit: np.ndarray, lines: _Drawn, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Owner, ascending, and number of each cell: a line for its upper end, that plus all lines for its lower."""
+    small = unit.astype(np.float32)
+    owners, cells = [], []
+    for first, block in lines.blocks():
+        on = small @ block
+        for shift, beyond in ((first, on >= threshold), (first + lines.count, on <= -threshold)):
+            owner, line = np.nonzero(beyond)
+            owners.append(owner)
+            cells.append(line + shift)
+    owner, cell = np.concatenate(owners), np.concatenate(cells)
+    order = np.lexsort([cell, owner])
+    return owner[order], cell[order]
+
+
 def _cell_task(layout: Layout, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines: dict[int, np.ndarray] = {}
+        lines: dict[int, _Drawn] = {}
         for batch in batches:
             for first in range(0, batch.num_rows, 2000):
                 part = batch.slice(first, 2000)
@@ -106,9 +143,8 @@ def _cell_task(layout: Layout, seed: int):
                     if not len(places):
                         continue
                     if dimension not in lines:
-                        lines[dimension] = _lines(dimension, layout.lines, seed)
-                    on = unit.astype(np.float32) @ lines[dimension]
-                    owner, cell = np.nonzero(np.concatenate([on >= layout.threshold, on <= -layout.threshold], axis=1))
+                        lines[dimension] = _Drawn(dimension, layout.lines, seed)
+                    owner, cell = cells_of(unit, lines[dimension], layout.threshold)
                     edges = np.searchsorted(owner, np.arange(len(places) + 1)).astype(np.int32)
                     kept = part.take(pa.array(places))
                     yield pa.RecordBatch.from_arrays([
