@@ -168,6 +168,11 @@ SELECT event_id, CASE WHEN key IN ('event_type', 'k') THEN 'filter' ELSE 'meta'
 ORACLES["filter_meta_split_empty"] = f"""WITH {_EVENT_KEYS}
 SELECT event_id, 'meta' slot, key, value FROM kv"""
 
+ORACLES["typed_payload_filter"] = """SELECT user_id, count(*) n, sum(json_extract_string(props, '$.k')::bigint)::bigint sum_k
+FROM events WHERE event_type = 'click' GROUP BY user_id"""
+
+ORACLES["typed_payload_rows"] = ORACLES["filter_meta_split"]
+
 ORACLES["typed_field_split"] = """SELECT doc_id, 'filter' slot, 'lang' key, lang value FROM documents
 UNION ALL SELECT doc_id, 'meta', 'source', source FROM documents
 UNION ALL SELECT doc_id, 'meta', 'n_chars', n_chars::varchar FROM documents

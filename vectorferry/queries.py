@@ -29,6 +29,7 @@ from vectorferry.operators import (
     quality,
     report,
     sketches,
+    typed,
 )
 from vectorferry.operators.detect import detect_dimension, payload_key_profile, payload_types
 from vectorferry.plans.job import MigrationJob, good_rows, migrate, read_source, to_target, verify
@@ -488,6 +489,32 @@ def filter_meta_split_empty(spark, folder):
     return split_events(spark, folder, "")
 
 
+def typed_events(spark: SparkSession, folder: str) -> DataFrame:
+    """events with split payloads, written typed and read again."""
+    rows = table(spark, folder, "events").select(
+        F.col("event_id").alias("id"), payload_functions.entries(event_payload()).alias("entries"))
+    to_filter, to_meta = payload_functions.split(F.col("entries"), ["event_type", "k"])
+    path = scratch(spark)
+    typed.write_typed(rows.select("id", to_filter.alias("filter"), to_meta.alias("meta")), path, ["event_type"])
+    return typed.read_typed(spark, path)
+
+
+@query
+def typed_payload_filter(spark, folder):
+    """Clicks by user, from shredded keys."""
+    clicks = typed_events(spark, folder).filter(typed.payload_equals("filter", "event_type", "click")).select(
+        typed.payload_value("meta", "user_id", "bigint").alias("user_id"),
+        typed.payload_value("filter", "k", "bigint").alias("k"))
+    return clicks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("sum_k"))
+
+
+@query
+def typed_payload_rows(spark, folder):
+    """Typed payloads as text again: nothing is lost at rest."""
+    return explode_slots(
+        typed.json_payload(typed_events(spark, folder)).withColumnRenamed("id", "event_id"), "event_id")
+
+
 @query
 def typed_field_split(spark, folder):
     rows = table(spark, folder, "documents")
