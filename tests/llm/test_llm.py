@@ -428,6 +428,120 @@ def test_licenses_wrapped_and_inside_long_texts(spark, documents):
     assert got[5]["license"] == got[6]["license"] == "unknown"
 
 
+def plain_scan(text, model, least, confirmed):
+    """Families and shares found by looking at every line and window with sets and plain sums."""
+    separators = licenses.kernels.separator_table(licenses.punctuation())
+    spaced = "".join(" " if ord(c) < 128 and separators[ord(c)] else c for c in text)
+    place = [(m.group(), text.count("\n", 0, m.start())) for m in WORD.finditer(spaced)]
+    tables = licenses._tables()
+
+    def of(words):
+        one = licenses.Paragraphs(*licenses._encode([" ".join(words)]), *tables)
+        return one.words.hashes, one.pair
+
+    def chances(features):
+        buckets = sorted({int(f) >> (64 - licenses.FEATURE_BITS) for f in features})
+        logits = model.weights[buckets].astype(float).sum(axis=0) + model.bias
+        return licenses._softmax(logits / model.temperature)
+
+    def spans(words, family):
+        hashes, pairs = of(words)
+        own = set(hashes.tolist()) | set(pairs.tolist())
+        for k, template, length in model.templates:
+            whole = sum(t in own for t in template.tolist()) / len(template)
+            if k == family and whole >= confirmed:
+                best = (0.0, 0, 0)
+                mine = set(template.tolist())
+                for a in range(len(words)):
+                    if int(hashes[a]) not in mine and (a + 1 == len(words) or int(pairs[a]) not in mine):
+                        continue  # a span begins with something of the template
+                    wide, seen, last = length + (length + 1) // 2, set(), a
+                    for i in range(a, min(len(words), a + wide)):
+                        for end, h in ((i + 1, int(hashes[i])), (i + 2, int(pairs[i]) if i + 1 < len(words) else -1)):
+                            if end <= a + wide and h in mine:
+                                seen.add(h)
+                                last = max(last, end)
+                    if len(seen) / len(template) > best[0]:
+                        best = (len(seen) / len(template), a, last)
+                yield whole, best
+
+    candidates, classes = [], len(model.families)
+    for line in sorted({n for _, n in place}):
+        a = min(i for i, (_, n) in enumerate(place) if n == line)
+        words = [w for w, n in place if n == line]
+        hashes, pairs = of(words)
+        chance = chances([*hashes.tolist(), *pairs.tolist()])
+        family = int(chance.argmax())
+        if family < classes and chance[family] >= least:
+            whole, best = max(spans(words, family), key=lambda x: x[0], default=(0, None))
+            if best:
+                candidates.append((-whole, False, -float(chance[family]), family, a + best[1], a + best[2]))
+    step = licenses.WINDOW // 2
+    for a in range(0, max(1, len(place) - step) if place else 0, step):
+        words = [w for w, _ in place[a: a + licenses.WINDOW]]
+        hashes, pairs = of(words)
+        chance = chances([*hashes.tolist(), *pairs.tolist()])
+        for family in range(classes):
+            p = float(chance[family] / (chance[family] + chance[-1]))
+            if p >= least:
+                share, begin, end = max((b for _, b in spans(words, family)), key=lambda x: x[0], default=(0.0, 0, 0))
+                if share >= confirmed:
+                    candidates.append((-share, True, -p, family, a + begin, a + end))
+    taken, out = [], []
+    for share, _, p, family, a, b in sorted(candidates, key=lambda c: (c[0], c[1], c[2], c[3], c[4])):
+        if all(b <= x or y <= a for x, y in taken):
+            taken.append((a, b))
+            out.append((place[a][1], model.families[family], round(-p, 4), round(-share, 6)))
+    return sorted(out)
+
+
+def test_licenses_equal_brute_force(spark, documents):
+    model = licenses.train(documents, most_rows=300, each=30, epochs=10)
+    rng = np.random.default_rng(3)
+    lines = [r["text"] for r in documents.filter("length(text) > 0").orderBy("doc_id").limit(30).collect()]
+    notices = [t for f in licenses.TEMPLATES.values() for t in f]
+    texts = ["", "one", " ".join(lines[:3])]
+    for i in range(40):
+        words = " ".join(lines[i % 30: i % 30 + 3]).split()
+        for notice in rng.choice(notices, 1 + i % 3):
+            notice = notice.split()
+            if i % 2:
+                notice = [w for w in notice if rng.random() > 0.15]
+            at = int(rng.integers(0, len(words) + 1))
+            words[at:at] = notice
+        texts.append(" ".join(w + ("\n" if rng.random() < 0.05 else "") for w in words))
+    got = by_id(licenses.scan_licenses(docs(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]), model))
+    found = 0
+    for i, text in enumerate(texts):
+        plain = plain_scan(text, model, 0.5, 0.6)
+        assert sorted((f["line"], f["family"], round(f["probability"], 4), round(f["held"], 6)) for f in got[i]["found"]) == plain, text
+        found += len(plain)
+    assert found > 40
+
+
+def test_license_windows_are_scored_whether_or_not_they_hold_a_template(documents):
+    model = licenses.train(documents, most_rows=300, each=30, epochs=10)
+    scorer, tables = licenses._Scorer(model), licenses._tables()
+    for n in (0, 1, 31, 32, 33, 63, 64, 65, 96, 97, 200):
+        words = [f"w{i % 37}" if i % 3 else "license" for i in range(n)]
+        windows = licenses.Paragraphs(*licenses._encode(["first text", " ".join(words), "last"]), *tables).windows()
+        chance = scorer.windows(windows)
+        parts = [["first", "text"], *(words[a: a + 64] for a in range(0, max(1, n - 32) if n else 0, 32)), ["last"]]
+        assert len(chance) == len(parts)
+        for got, part in zip(chance, parts):
+            bucket = np.unique(licenses._bucket(licenses._features(" ".join(part), tables)))
+            want = licenses._softmax((model.weights[bucket].astype(float).sum(axis=0) + model.bias) / model.temperature)
+            # features that move all classes alike are left out of both sides of the softmax
+            assert np.allclose(got, want, atol=1e-4)
+
+
+def test_license_families(spark, documents):
+    model = licenses.train(documents)
+    rows = [(f, t) for f, notices in licenses.TEMPLATES.items() for t in notices]
+    got = by_id(licenses.scan_licenses(docs(spark, [(i, t, "en", "a") for i, (_, t) in enumerate(rows)]), model))
+    assert [got[i]["license"] for i in range(len(rows))] == [f for f, _ in rows]
+
+
 # -- 6 quality --------------------------------------------------------------------
 
 

@@ -4,8 +4,8 @@ Every line of a text, and every window of words whatever lines and comment marks
 spans, gets a score per licence family from a sparse logistic regression on its words
 and word pairs, trained here on variations of licence notices against paragraphs of the
 corpus, which stand for the unknown class. The scores are calibrated on held-out
-examples, and a predicted family counts only if the line or window also holds enough of
-one of the family's templates. Of candidates that overlap, the one that holds most counts.
+examples; it proposes families for every line and window, and a proposal counts only if the
+line or window also holds enough of one of the family's templates. Of candidates that overlap, the one that holds most counts.
 """
 
 from __future__ import annotations
@@ -27,12 +27,21 @@ WINDOW = 64  # words; windows overlap by half, so notices of up to half a window
 
 # Short licence notices by family.
 TEMPLATES: dict[str, list[str]] = {
+    "agpl": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
         " compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
     "bsd": [
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
@@ -47,6 +56,10 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
     "cc-by-sa": [
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -56,12 +69,22 @@ TEMPLATES: dict[str, list[str]] = {
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
         "This work is dedicated to the public domain.",
     ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
         " General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
+    "isc": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+        " hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 3.",
         "SPDX-License-Identifier: LGPL-3.0-or-later",
@@ -81,6 +104,10 @@ TEMPLATES: dict[str, list[str]] = {
         "All rights reserved.",
         "Copyright. All rights reserved. No part of this publication may be reproduced without permission.",
     ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
 }
 
 
@@ -111,23 +138,49 @@ class Paragraphs:
         self.owner = np.concatenate([self.line, of])
         self.pair, self.near = pair, self.words.owner[:-1] == self.words.owner[1:]  # of a word and the next
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the features of windows over whole texts with their windows; first and last word of each."""
+    def windows(self) -> Windows:
+        """The windows of whole texts, each of two neighbouring blocks of half a window."""
         step, words = WINDOW // 2, self.words
-        number = np.where(words.counts > 0, np.maximum(1, -(-(words.counts - step) // step)), 0)
-        head = np.concatenate([[0], np.cumsum(number)])
+        blocks = -(-words.counts // step)
+        number = np.maximum(blocks - 1, np.minimum(blocks, 1))
+        head, top = np.concatenate([[0], np.cumsum(blocks)]), np.concatenate([[0], np.cumsum(number)])
         of = np.repeat(np.arange(len(number)), number)
-        start = words.first[of] + (np.arange(len(of)) - head[of]) * step
+        at = np.arange(len(of)) - top[of]
+        start = words.first[of] + at * step
         end = np.minimum(start + WINDOW, words.first[of] + words.counts[of])
-        place = np.arange(len(words.hashes)) - words.first[words.owner]
-        own, most = head[words.owner] + place // step, head[words.owner + 1]
-        first, second = own < most, place >= step
-        paired = np.append(self.near, False) if len(place) else np.zeros(0, bool)
-        pair = np.append(self.pair, np.uint64(0)) if len(place) else np.zeros(0, np.uint64)
-        inside = second & (place % step < step - 1)  # the next word is in the window before, too
-        hashes = np.concatenate([words.hashes[first], words.hashes[second], pair[first & paired], pair[inside & paired]])
-        owner = np.concatenate([own[first], own[second] - 1, own[first & paired], own[inside & paired] - 1])
-        return hashes, owner, start, end
+        block = head[words.owner] + (np.arange(len(words.hashes)) - words.first[words.owner]) // step
+        inside, over = self.near & (block[:-1] == block[1:]), self.near & (block[:-1] != block[1:])
+        return Windows(
+            np.concatenate([words.hashes, self.pair[inside]]), np.concatenate([block, block[:-1][inside]]),
+            self.pair[over], block[:-1][over], head[of] + at, blocks[of] > 1, start, end, int(head[-1]))
+
+
+@dataclass(frozen=True)
+class Windows:
+    """Features by block, and those of a block's last word and the next one, by the first of the two.
+
+    A window has the features of block ``first``, and if it is ``double`` of the next and the one between.
+    """
+
+    hashes: np.ndarray
+    block: np.ndarray
+    between: np.ndarray
+    between_block: np.ndarray
+    first: np.ndarray
+    double: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    blocks: int
+
+    def spread(self, kept: np.ndarray, kept_between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of features in ``hashes`` followed by ``between``, and the window of each."""
+        head, tail = np.full(self.blocks, -1), np.full(self.blocks, -1)
+        head[self.first] = np.arange(len(self.first))
+        tail[self.first[self.double] + 1] = np.flatnonzero(self.double)
+        far = len(self.hashes) + kept_between
+        place = np.concatenate([kept, kept, far])
+        window = np.concatenate([head[self.block[kept]], tail[self.block[kept]], head[self.between_block[kept_between]]])
+        return place[window >= 0], window[window >= 0]
 
 
 def _tables():
@@ -152,6 +205,14 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted, each once; numbers sort faster than they hash."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
+
+
 def _run(lines: list[str], rng: np.random.Generator, count: int) -> list[str]:
     """``count`` words of lines drawn from the corpus, fewer if these are short."""
     out: list[str] = []
@@ -160,7 +221,7 @@ def _run(lines: list[str], rng: np.random.Generator, count: int) -> list[str]:
     return out
 
 
-def _variations(text: str, fill: list[str], rng: np.random.Generator, count: int, around: list[str]) -> list[str]:
+def _variations(text: str, fill: np.ndarray, rng: np.random.Generator, count: int, around: list[str]) -> list[str]:
     """The notice as it is, with a few words or running text around it, and with a few words left out."""
     out = [text]
     while len(out) < count:
@@ -172,7 +233,7 @@ def _variations(text: str, fill: list[str], rng: np.random.Generator, count: int
             left = int(rng.integers(0, room + 1))
             before, after = _run(around, rng, left), _run(around, rng, room - left)
         else:
-            before, after = (list(rng.choice(fill, rng.integers(0, 5))) if fill else [] for _ in range(2))
+            before, after = (rng.choice(fill, rng.integers(0, 5)).tolist() if len(fill) else [] for _ in range(2))
         out.append(" ".join([*before, *words, *after]))
     return out
 
@@ -193,12 +254,15 @@ def train(docs: DataFrame, text_column: str = "text", most_rows: int = 2_000, ea
         " else transform(sequence(1, length(line), 2000), i -> substring(line, i, 2000)) end")).alias("line"))
     part = most_rows / max(most_rows, lines.count())  # each task then sends its share only
     drawn = lines.filter(F.pmod(F.xxhash64("line"), F.lit(1 << 40)) < int(part * (1 << 40))).distinct()
-    sample = sorted(r[0] for r in drawn.limit(2 * most_rows).collect())
+    first = drawn.orderBy(F.xxhash64("line"), "line").limit(2 * most_rows)
+    sample = sorted(r[0] for r in first.collect())
     families = tuple(sorted(TEMPLATES))
     rng = np.random.default_rng(seed)
-    fill = sorted({w for line in sample[:200] for w in line.split()[:20]})
+    fill = np.array(sorted({w for line in sample for w in line.split()}))
     tables = _tables()
     known = tuple((k, _features(t, tables), _length(t, tables)) for k, f in enumerate(families) for t in TEMPLATES[f])
+    if max(n for _, _, n in known) > WINDOW // 2:
+        raise ValueError(f"a notice has more than {WINDOW // 2} words, so no window need hold it whole")
     clean = []
     for line in sample:
         found = _features(line, tables)
@@ -247,6 +311,81 @@ def _held(features: np.ndarray, template: np.ndarray) -> float:
     return float(np.isin(template, features).mean()) if len(template) else 0.0
 
 
+class _Scorer:
+    """Logits of lines and windows, and the shares of templates that they hold."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        # features that tell families apart; others move none of them
+        self.touched = np.abs(model.weights[:, :-1] - model.weights[:, -1:]).max(axis=1) > 1e-6
+        self.keys = np.unique(np.concatenate([t for _, t, _ in model.templates]))
+        self.maybe = np.zeros(1 << FEATURE_BITS, bool)
+        self.maybe[_bucket(self.keys)] = True
+        self.member = np.array([np.isin(self.keys, t) for _, t, _ in model.templates])
+        self.family = np.array([k for k, _, _ in model.templates])
+        self.size = np.array([len(t) for _, t, _ in model.templates])
+
+    def _sums(self, keys: np.ndarray, units: int) -> np.ndarray:
+        """Weights added up per unit over ``(unit, bucket)`` keys in order."""
+        total = np.zeros((units, self.model.weights.shape[1]), np.float64)
+        unit = keys >> FEATURE_BITS
+        new = np.ones(len(unit), bool)
+        new[1:] = unit[1:] != unit[:-1]
+        first = np.flatnonzero(new)
+        if len(first):
+            total[unit[first]] = np.add.reduceat(self.model.weights[keys & ((1 << FEATURE_BITS) - 1)], first, axis=0)
+        return total
+
+    def _chances(self, logits: np.ndarray) -> np.ndarray:
+        return _softmax((logits + self.model.bias) / self.model.temperature)
+
+    def _keys(self, hashes: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        bucket = _bucket(hashes)
+        used = self.touched[bucket]
+        return (unit[used] << FEATURE_BITS) + bucket[used]
+
+    def lines(self, hashes: np.ndarray, owner: np.ndarray, units: int) -> np.ndarray:
+        """Probabilities per line; each feature of a line counts once."""
+        return self._chances(self._sums(_distinct(self._keys(hashes, owner)), units))
+
+    def windows(self, w: Windows) -> np.ndarray:
+        """Probabilities per window; each feature of a window counts once.
+
+        The sums of its blocks, less those of features that both have, and the pair between
+        them if neither has it: a feature is so looked at once and not once per window.
+        """
+        keys, step = _distinct(self._keys(w.hashes, w.block)), 1 << FEATURE_BITS
+        paired = np.zeros(w.blocks + 1, bool)  # blocks that stand first in a double window
+        paired[w.first[w.double]] = True
+        of = self._sums(keys, w.blocks + 1)
+        both = np.sort(np.concatenate([keys, keys[paired[keys >> FEATURE_BITS]] + step]))
+        both = both[1:][both[1:] == both[:-1]] - step
+        joint = self._sums(both, w.blocks + 1)
+        between = np.sort(self._keys(w.between, w.between_block))
+        for other in (keys, keys - step):
+            at = np.minimum(np.searchsorted(other, between), max(0, len(other) - 1))
+            between = between[other[at] != between] if len(other) else between
+        extra = self._sums(between, w.blocks + 1)
+        logits, first, second = of[w.first], w.first[w.double], w.first[w.double] + 1
+        logits[w.double] += of[second] - joint[first] + extra[first]
+        return self._chances(logits)
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of features that templates have."""
+        some = np.flatnonzero(self.maybe[_bucket(hashes)])
+        at = np.minimum(np.searchsorted(self.keys, hashes[some]), len(self.keys) - 1)
+        return some[self.keys[at] == hashes[some]]
+
+    def shares(self, hashes: np.ndarray, unit: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """The share of each template that the ``asked`` units (ascending) hold, by known features and their units."""
+        row = np.minimum(np.searchsorted(asked, unit), max(0, len(asked) - 1))
+        mine = asked[row] == unit if len(asked) else np.zeros(len(unit), bool)
+        pair = _distinct(row[mine] * len(self.keys) + np.searchsorted(self.keys, hashes[mine]))
+        row, key = pair // len(self.keys), pair % len(self.keys)
+        counts = [np.bincount(row[m[key]], minlength=len(asked)) for m in self.member]
+        return np.array(counts).T / self.size
+
+
 def _span(words: np.ndarray, pairs: np.ndarray, template: np.ndarray, length: int) -> tuple[float, int, int]:
     """The largest share of a template within one and a half times its words, and the first and
     last word that it has there; ``pairs`` are of each word and the next."""
@@ -266,62 +405,49 @@ def _span(words: np.ndarray, pairs: np.ndarray, template: np.ndarray, length: in
 
 
 def _scan_task(model: Model, least: float, confirmed: float):
-    classes = len(model.families) + 1
-
-    def chances(hashes: np.ndarray, owner: np.ndarray, touched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = _bucket(hashes)
-        used = touched[bucket]  # features that tell families apart; others move none of them
-        key = np.unique(owner[used] * (1 << FEATURE_BITS) + bucket[used])
-        owner, bucket = key >> FEATURE_BITS, key & ((1 << FEATURE_BITS) - 1)
-        units, first = np.unique(owner, return_index=True)
-        logits = (np.add.reduceat(model.weights[bucket], first, axis=0) if len(units)
-                  else np.zeros((0, classes))) + model.bias
-        return units, _softmax(logits.astype(np.float64) / model.temperature)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _tables()
-        keys = np.unique(np.concatenate([t for _, t, _ in model.templates]))
-        touched = np.abs(model.weights[:, :-1] - model.weights[:, -1:]).max(axis=1) > 1e-6
+        tables, scorer = _tables(), _Scorer(model)
         for rows, data, offsets in kernels.chunks(batches):
             found = Paragraphs(data, offsets, *tables)
             # text, share of a template, whether a window, family, probability, first and last word
             candidates: list[tuple[int, float, bool, int, float, int, int]] = []
-            lines, chance = chances(found.hashes, found.owner, touched)
-            pick = chance.argmax(axis=1)
-            sure = chance[np.arange(len(lines)), pick]
-            surely = (pick < classes - 1) & (sure >= least)
-            for line, family, p in zip(lines[surely].tolist(), pick[surely].tolist(), sure[surely].tolist()):
-                a, b = (int(np.searchsorted(found.line, line, side)) for side in ("left", "right"))
+
+            def confirm(family: int, p: float, shares: np.ndarray, a: int, b: int, window: bool) -> None:
+                """Keep the span of a proposed family if the line or window holds enough of a template."""
                 words, pairs = found.words.hashes[a:b], found.pair[a: b - 1]
-                own = np.unique(np.concatenate([words, pairs]))
-                share, template, length = max(
-                    ((_held(own, t), t, n) for k, t, n in model.templates if k == family), key=lambda x: x[0])
-                if share >= confirmed:
-                    _, begin, end = _span(words, pairs, template, length)
-                    candidates.append((int(found.words.owner[a]), share, False, family, p, a + begin, a + end))
-            hashes, owner, start, stop = found.windows()
-            # only windows that hold enough of a template can be confirmed, so others get no score
-            place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-            known = keys[place] == hashes
-            pair = np.unique(owner[known] * len(keys) + place[known])
-            enough = np.zeros(len(start), bool)
-            for _, t, _ in model.templates:
-                mine = np.isin(keys, t)[pair % len(keys)]
-                enough |= np.bincount(pair[mine] // len(keys), minlength=len(start)) >= confirmed * len(t) - 1e-9
-            used = enough[owner]
-            hashes, owner = hashes[used], owner[used]
-            windows, chance = chances(hashes, owner, touched)
+                held = [t for t in np.flatnonzero(scorer.family == family) if shares[t] >= confirmed - 1e-9]
+                if held and not window:
+                    held = [max(held, key=lambda t: shares[t])]
+                spans = [_span(words, pairs, *model.templates[t][1:]) for t in held]
+                share, begin, end = max(spans, key=lambda x: x[0], default=(0.0, 0, 0))
+                share = share if window or not held else float(shares[held[0]])
+                if share >= confirmed - 1e-9:
+                    candidates.append((int(found.words.owner[a]), share, window, family, p, a + begin, a + end))
+
+            chance = scorer.lines(found.hashes, found.owner, len(found.edges))
+            pick = chance.argmax(axis=1)
+            sure = chance[np.arange(len(pick)), pick]
+            lines = np.flatnonzero((pick < len(model.families)) & (sure >= least))
+            at = scorer.known(found.hashes)
+            shares = scorer.shares(found.hashes[at], found.owner[at], lines)
+            begins, ends = (np.searchsorted(found.line, lines, side) for side in ("left", "right"))
+            for i in np.flatnonzero((shares >= confirmed - 1e-9).any(axis=1)).tolist():
+                line = lines[i]
+                confirm(int(pick[line]), float(sure[line]), shares[i], int(begins[i]), int(ends[i]), False)
+
+            windows = found.windows()
+            chance = scorer.windows(windows)
             # a window may hold notices of several families, so each is judged against the unknown class alone
             sure = chance[:, :-1] / (chance[:, :-1] + chance[:, -1:])
-            for i, family in np.argwhere(sure >= least).tolist():
-                a, b = int(start[windows[i]]), int(stop[windows[i]])
-                words, pairs = found.words.hashes[a:b], found.pair[a: b - 1]
-                own = np.unique(np.concatenate([words, pairs]))
-                spans = [_span(words, pairs, t, n) for k, t, n in model.templates
-                         if k == family and _held(own, t) >= confirmed]
-                share, begin, end = max(spans, key=lambda x: x[0], default=(0.0, 0, 0))
-                if share >= confirmed:
-                    candidates.append((int(found.words.owner[a]), share, True, family, float(sure[i, family]), a + begin, a + end))
+            proposed = np.flatnonzero((sure >= least).any(axis=1))
+            features = np.concatenate([windows.hashes, windows.between])
+            at, window = windows.spread(scorer.known(windows.hashes), scorer.known(windows.between))
+            shares = scorer.shares(features[at], window, proposed)
+            for i in np.flatnonzero((shares >= confirmed - 1e-9).any(axis=1)).tolist():
+                place = proposed[i]
+                for family in np.flatnonzero(sure[place] >= least).tolist():
+                    confirm(family, float(sure[place, family]), shares[i], int(windows.start[place]),
+                            int(windows.end[place]), True)
             taken: dict[int, list[tuple[int, int]]] = {}
             out: list[tuple[int, int, int, str, float, float]] = []
             for text, share, _, family, p, a, b in sorted(candidates, key=lambda c: (-c[1], c[2], -c[4], c[3], c[5])):
