@@ -607,6 +607,58 @@ def test_minhash_equals_brute_force(spark, documents, percent):
     assert {i: r["component_id"] for i, r in got.items()} == root
 
 
+def variants(rng, base, count, least, most):
+    """Copies of a text with some words replaced, far enough apart for no shingle to stay in between."""
+    for _ in range(count):
+        words = list(base)
+        for at in rng.choice(len(base) // 5, rng.integers(least, most + 1), replace=False):
+            words[5 * at] = f"new{rng.integers(10**9)}"
+        yield words
+
+
+def test_minhash_finds_links_that_stars_lose(spark):
+    rng = np.random.default_rng(8)
+    texts = {}
+    for group in range(6):
+        base = [f"b{group}x{i}" for i in range(300)]
+        texts[len(texts)] = " ".join(base)
+        for branch in variants(rng, base, 25, 6, 10):  # near the base, and pairs of them nearer to each other
+            texts[len(texts)] = " ".join(branch)
+            for twig in variants(rng, branch, int(rng.integers(0, 3)), 1, 3):
+                texts[len(texts)] = " ".join(twig)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets, root = brute_groups(texts, 85)
+    assert len(set(root.values())) > 60
+    got = by_id(minhash.near_duplicates(frame, setting=minhash.MinHash(percent=85)))
+    assert {i: r["component_id"] for i, r in got.items()} == root
+
+
+def test_minhash_mixed_buckets_make_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base = [f"b{i}" for i in range(200)]
+    made = []
+
+    def members(labelled, *rest):
+        mixed = labelled.groupBy("bucket").agg(F.countDistinct("c").alias("kinds")).filter("kinds > 1")
+        made.append([labelled.join(mixed, "bucket", "left_semi").select("id").distinct().count()])
+        return met_by(labelled, *rest)
+
+    def compared(met, *rest):
+        held = met.groupBy("bucket", "c").count().groupBy("bucket").agg(F.sum("count").alias("k"), F.max("count").alias("most"))
+        made[-1].append(held.agg(F.coalesce(F.sum((F.col("k") - F.col("most")) * F.col("k")), F.lit(0))).first()[0])
+        return across(met, *rest)
+
+    met_by, across = minhash._met_by_shingles, minhash._across_components
+    monkeypatch.setattr(minhash, "_met_by_shingles", members)
+    monkeypatch.setattr(minhash, "_across_components", compared)
+    for size in (400, 1600):  # each about 0.6 like their text: they share buckets, and nothing is linked
+        texts = [(i, " ".join(w)) for i, w in enumerate(variants(rng, base, size, 9, 9))]
+        frame = spark.createDataFrame(texts, "doc_id long, text string")
+        assert minhash.near_duplicates(frame).filter("not kept").isEmpty()
+    assert made[0][0] > 350 and made[1][0] > 1500
+    assert all(pairs <= 2 * mixed for mixed, pairs in made), made  # before, each met all of its buckets
+
+
 def test_minhash_edges(spark, edge):
     got = by_id(minhash.near_duplicates(edge).filter("doc_id is not null"))
     assert {i: r["component_id"] for i, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, 7: 7, 8: 8, 9: 8}

@@ -5,9 +5,11 @@ densification. Texts of equal shingle sets form a class that one document stands
 Documents that share a band meet in a bucket; each is paired with the bucket's smallest
 id only, so pairs grow with bucket sizes, not with their squares. Pairs are confirmed
 on whole shingle sets. Where a bucket still spans more than one confirmed component, a
-star may have lost a link between two of its points: members outside the bucket's
-largest component are compared with those of other components by size and by an odd
-sketch of their sets, and the few that may reach the threshold are confirmed as well.
+star may have lost a link between two of its points. Such a bucket is dealt anew by
+shingles: members order their sets by rarity around the star's centre, and linked ones
+must share a shingle among the first of that order. Members that meet so in different
+components are compared by size, place of the shingle and an odd sketch of their sets,
+and the few that may reach the threshold are confirmed as well.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorferry.llm import kernels
@@ -140,6 +142,45 @@ def _set_task(setting: MinHash):
     return run
 
 
+ENTRIES = 1 << 20  # entries of a batch that a task sends on
+
+
+def _lacking_task(percent: int):
+    """The shingles of each member that its centre lacks, and of the others as many as the first may take."""
+    names = ["bucket", "g", "id", "n", "c", "common"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def entries() -> pa.RecordBatch:
+            lengths = np.array([len(x) for x in keys])
+            at = pa.array(np.repeat(np.array(rows), lengths))
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(keys).view(np.int64)), batch.column("g").take(at), batch.column("a").take(at),
+                pa.array(np.repeat(sizes, lengths)), batch.column("c").take(at), pa.array(np.concatenate(common))],
+                names=names)
+
+        for batch in batches:
+            members, centres = batch.column("sa"), batch.column("sb")
+            groups = batch.column("g").to_numpy().view(np.uint64)
+            keys, common, rows, sizes, held = [], [], [], [], 0
+            for i in range(batch.num_rows):
+                x = np.frombuffer(members[i].as_buffer(), np.uint64)
+                y = np.frombuffer(centres[i].as_buffer(), np.uint64)
+                both = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                lacking = x[~both]
+                rest = x[both][: max(0, len(x) - (percent * len(x) + 99) // 100 + 1 - len(lacking))]
+                keys.append(kernels.mix64(np.concatenate([lacking, rest]) * np.uint64(0xD6E8FEB86659FD93) + groups[i]))
+                common.append(np.arange(len(keys[-1])) >= len(lacking))
+                rows.append(i)
+                sizes.append(len(x))
+                held += len(keys[-1])
+                if held >= ENTRIES:
+                    yield entries()
+                    keys, common, rows, sizes, held = [], [], [], [], 0
+            if rows:
+                yield entries()
+    return run
+
+
 def _confirm_task(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,11 +243,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     labelled = materialize(
         buckets.join(found.withColumnRenamed("node", "id"), "id", "left")
-        .select("bucket", "id", "n", F.coalesce("component", "id").alias("c")),
+        .select("bucket", "center", "id", "n", F.coalesce("component", "id").alias("c")),
         "labelled",
     )
     bits = signature.select("id", *_bit_names(setting)).dropDuplicates(["id"])
-    across = materialize(_across_components(labelled, bits, setting).distinct(), "across")
+    met = materialize(_met_by_shingles(labelled, sets, kind, setting), "met")
+    across = materialize(_across_components(met, bits, setting).distinct(), "across")
     if not across.isEmpty():
         more = _confirmed(across.join(star, ["a", "b"], "left_anti"), sets, kind, setting)
         found = connected_components(links.unionByName(more))
@@ -236,24 +278,52 @@ def _most_unlike(n: str, m: str, setting: MinHash):
     return (size / 2) * (1 - F.exp(-x)) + 4.5 * F.sqrt(F.greatest(spread, F.lit(0.0))) + 1
 
 
-def _across_components(labelled: DataFrame, bits: DataFrame, setting: MinHash) -> DataFrame:
-    """Pairs of a bucket in different components, one side outside the bucket's largest,
-    that may be linked by their sizes and sketches.
+def _met_by_shingles(labelled: DataFrame, sets: DataFrame, kind: str, setting: MinHash) -> DataFrame:
+    """``(bucket, id, n, c, left)``: members of mixed buckets by a centre and one of their first shingles.
+
+    Around a centre all members order their shingles alike: what the centre lacks first, there the
+    rarest first. Of linked sets at least ``percent`` of either is in the other, so both have a common
+    shingle among the first that are more than the rest of the set. ``left`` counts the shingles from
+    this one on. The centre itself needs no row, as it was compared with every member; a centre's members
+    are dealt once, however many buckets they share. A window holds the shingles of one document.
+    """
+    mixed = labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high")
+    members = labelled.join(mixed.select("bucket"), "bucket", "left_semi").filter("id <> center").select(
+        F.col("id").alias("a"), F.col("center").alias("b"), "c").distinct()
+    left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+    joined = members.join(left, "a").join(right, "b").select("a", "c", F.xxhash64("b").alias("g"), "sa", "sb")
+    rows = materialize(
+        joined.mapInArrow(_lacking_task(setting.percent), f"bucket long, g long, id {kind}, n long, c {kind}, common boolean"),
+        "lacking")
+    often = rows.groupBy("bucket").agg(F.count("id").alias("k")).filter("k > 1")
+    order = Window.partitionBy("g", "id").orderBy("common", "k", "bucket")
+    first = rows.join(often, "bucket", "left").withColumn("place", F.row_number().over(order)).filter(
+        F.expr(f"place <= n - ({setting.percent} * n + 99) div 100 + 1") & F.col("k").isNotNull())
+    return first.select("bucket", "id", "n", "c", (F.col("n") - F.col("place") + 1).alias("left"))
+
+
+def _across_components(met: DataFrame, bits: DataFrame, setting: MinHash) -> DataFrame:
+    """Pairs that meet in different components, one side outside the largest that meets there,
+    and may be linked by their sizes, the place where they meet and their sketches.
 
     Every pair across components has such a side, and members of one component need
-    no further link, so a bucket that a component fills gives no pair.
+    no further link, so where one component meets no pair is made. At the first shingle that a
+    pair has in common no more than the shingles left of either can be shared.
     """
-    held = labelled.groupBy("bucket", "c").agg(F.count("id").alias("k"))
+    held = met.groupBy("bucket", "c").agg(F.count("id").alias("k"))
     largest = held.groupBy("bucket").agg(
         F.max(F.struct("k", "c")).alias("w"), F.count("c").alias("kinds")).filter("kinds > 1")
-    mixed = labelled.join(largest.select("bucket", F.col("w.c").alias("most")), "bucket")
+    mixed = met.join(largest.select("bucket", F.col("w.c").alias("most")), "bucket")
     mixed = materialize(mixed.join(bits, "id"), "mixed")
     names = _bit_names(setting)
     few = mixed.filter("c <> most").select(
-        "bucket", F.col("id").alias("i"), F.col("n").alias("p"), F.col("c").alias("d"),
+        "bucket", F.col("id").alias("i"), F.col("n").alias("p"), F.col("c").alias("d"), F.col("left").alias("rest"),
         *[F.col(b).alias(f"o{b}") for b in names])
     unlike = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"o{b}"))) for b in names), F.lit(0))
-    like = (few["d"] != mixed["c"]) & _may_link("p", "n", setting.percent) & (unlike <= _most_unlike("p", "n", setting))
+    shared = F.least("left", "rest") * (100 + setting.percent) >= setting.percent * (F.col("p") + F.col("n"))
+    like = (few["d"] != mixed["c"]) & _may_link("p", "n", setting.percent) & shared & (
+        unlike <= _most_unlike("p", "n", setting))
     return few.join(mixed, (few["bucket"] == mixed["bucket"]) & like).select(
         F.greatest("i", "id").alias("a"), F.least("i", "id").alias("b"))
 
