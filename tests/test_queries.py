@@ -42,3 +42,10 @@ def test_query_equals_sql(spark, folder, db, name):
 
 def test_entry(spark):
     assert not entry_points.entry(spark).isEmpty()
+
+
+def test_streamed_table_may_be_a_folder(spark, folder, tmp_path):
+    for name in ("documents", "embeddings"):
+        spark.read.parquet(f"{folder}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    got, expected = (QUERIES["stream_migrate"](spark, f) for f in (str(tmp_path), folder))
+    assert got.count() > 0 and got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()

@@ -58,6 +58,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream, be it one file or a folder of files.
+
+    A stream's path is a folder or a pattern, so one file needs a pattern that only it matches.
+    """
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.[p]arquet")
+
+
 def tasks(spark: SparkSession) -> int:
     """Tasks for text in a file of few row groups."""
     return spark.sparkContext.defaultParallelism
@@ -813,10 +822,7 @@ def stream_resume(spark, folder):
 def stream_migrate(spark, folder):
     """documents as a stream, embeddings as a static side; equals the batch result."""
     path = scratch(spark)
-    schema = table(spark, folder, "documents").schema
-    documents = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(
-        folder
-    )
+    documents = table_stream(spark, folder, "documents")
     vector = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     records = documents.join(vector, "doc_id", "left").select(
         F.col("doc_id").alias("id"), "embedding", "lang", "source", "n_chars", "text"
