@@ -18,6 +18,7 @@ from vectorferry import (
     read_quarantine,
     verify,
 )
+from vectorferry.functions.hashing import hash_bucket
 from vectorferry.operators import collection
 from vectorferry.operators import report as reports
 from vectorferry.plans.job import current_run, read_source, to_target
@@ -121,6 +122,47 @@ def test_run_stops_after_some_batches_and_goes_on(spark, records, path, expected
         migrate(records, make_job(path, stop_after=0))
 
 
+def test_many_batches_take_few_writes(spark, records, path, expected, monkeypatch):
+    real, wrote, batches = collection.write_batches, [], 70
+
+    def count(rows, target, run_id, sizes):
+        wrote.append(list(sizes))
+        if len(wrote) == 3:
+            raise RuntimeError("target is gone")
+        real(rows, target, run_id, sizes)
+
+    monkeypatch.setattr(collection, "write_batches", count)
+    monkeypatch.setattr(collection, "write_batch", None)
+    job = make_job(path, batches=batches)
+    with pytest.raises(RuntimeError, match="gone"):
+        migrate(records, job)
+    half = migrate(records, replace(job, stop_after=batches // 2)).first()
+    assert half["batches"] == 2 * len(wrote[0]) + batches // 2 and not half["completed"]
+    report = migrate(records, job).first()
+    assert report["batches"] == batches and report["fetched"] == records.count()
+    assert len(wrote) <= 35 and view(spark, path) == expected
+    once = [b for i, w in enumerate(wrote) if i != 2 for b in w]
+    assert once == list(range(batches))
+    rows = {r["batch_id"]: r for r in reports.batch_report(read_ledger(spark, path)).collect()}
+    placed = records.groupBy(hash_bucket(F.col("id").cast("string"), batches).alias("b")).count().collect()
+    assert {b: r["fetched"] for b, r in rows.items() if r["fetched"]} == {r["b"]: r["count"] for r in placed}
+    reasons = reports.quarantine_report(read_ledger(spark, path)).collect()
+    aside = {r["reason"]: r["count"] for r in read_quarantine(spark, path).groupBy("reason").count().collect()}
+    assert {r["reason"]: r["rows"] for r in reasons if r["reason"] != "ok"} == aside
+
+
+def test_a_batch_written_with_others_is_sent_again_alone(spark, path):
+    rows = plain(spark, *range(200))
+    migrate(rows, MigrationJob("milvus", path, "c", dimension=1, batches=40))
+    run = "run-000001-of-40"
+    again = read_collection(spark, path).filter("batch_id = 3").drop("batch_id").localCheckpoint()
+    collection.upsert(again.limit(1), path, run, 3, replace=True)
+    assert read_collection(spark, path).count() == 200 - again.count() + 1
+    with pytest.raises(RuntimeError, match="do not have the rows"):
+        collection.write_batches(again.withColumn("batch_id", F.lit(5).cast("bigint")), path, run, {5: 10 ** 6})
+    assert read_collection(spark, path).count() == 200 - again.count() + 1
+
+
 def test_fresh_start_is_a_new_run(spark, records, path, expected):
     migrate(records, make_job(path))
     migrate(records, make_job(path, fresh=True))

@@ -174,24 +174,13 @@ def write_batch(
     """
     spark = rows.sparkSession
     started_at = started_at or datetime.now(timezone.utc)
-    for name in ("reason", "raw"):
-        if name not in rows.columns:
-            rows = rows.withColumn(name, F.lit(None).cast("string"))
     attempt = uuid.uuid4().hex
     folder = f"{path}/data/run_id={run_id}/batch_id={batch_id}/attempt={attempt}"
-    kept = [f for f in STORED.fields if f.name not in {p.name for p in _PARTITIONS}]
-    given = [F.col(f.name).cast(f.dataType).alias(f.name) for f in kept if f.name not in ("content", "row")]
     sent = F.col("sent") if "sent" in rows.columns else F.lit(None).cast("bigint")
-    counts, observed = Observation(), rows.select(*given, sent.alias("sent"))
-    (
-        observed.observe(counts, *_counts())
-        .filter(F.col("sent").isNull()).drop("sent")
-        .withColumns({
-            "content": F.xxhash64(*CONTENT), "row": F.monotonically_increasing_id(),
-            "quarantined": F.col("reason").isNotNull(),
-        })
-        .write.mode("errorifexists").partitionBy("quarantined").parquet(folder)
-    )
+    counts, observed = Observation(), rows.select(*_given(rows), sent.alias("sent"))
+    _marked(
+        observed.observe(counts, *_counts()).filter(F.col("sent").isNull()).drop("sent")
+    ).write.mode("errorifexists").partitionBy("quarantined").parquet(folder)
     seen = {k: v or 0 for k, v in counts.get.items()}
     reasons = {r: seen.get(r, 0) for r in REASONS}
     reasons["other"] = seen.get("bad", 0) - sum(reasons.values())
@@ -199,6 +188,61 @@ def write_batch(
            reasons={r: n for r, n in reasons.items() if n})
 
 
+def write_batches(rows: DataFrame, path: str, run_id: str, sizes: dict[int, int]) -> None:
+    """Write several batches in one job, then commit them in another: a ledger row for each.
+
+    ``rows`` are as in ``write_batch``, with ``batch_id`` and without ``sent``; ``sizes`` gives the
+    rows of every batch. Each has an attempt of its own, so it can be sent again alone. The counts
+    are those of the files: of what was written only ``reason`` is read. Where they are not ``sizes``
+    nothing is committed. The time is shared alike among the batches.
+    """
+    spark = rows.sparkSession
+    started_at = datetime.now(timezone.utc)
+    token = uuid.uuid4().hex
+    folder = f"{path}/data/run_id={run_id}"
+    attempt = F.concat(F.lit(f"{token}-"), F.col("batch_id"))
+    _marked(rows.select("batch_id", attempt.alias("attempt"), *_given(rows))).write.mode("append").partitionBy(
+        "batch_id", "attempt", "quarantined").parquet(folder)
+
+    folders = [f"{folder}/batch_id={b}/attempt={token}-{b}" for b, n in sizes.items() if n]
+    stored = T.StructType([f for f in STORED.fields if f.name in ("reason", "batch_id", "quarantined")])
+    written = spark.read.schema(stored).option("basePath", folder).parquet(*folders) if folders else _empty(spark, stored)
+    per_reason = written.groupBy("batch_id", F.when(F.col("quarantined"), F.when(
+        F.col("reason").isin(*REASONS), F.col("reason")).otherwise("other")).alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    found: dict[int, dict[str | None, int]] = {b: {} for b in sizes}
+    for r in per_reason.collect():  # some rows per batch
+        found[r["batch_id"]][r["reason"]] = r["rows"]
+    lost = [b for b, n in sizes.items() if sum(found[b].values()) != n]
+    if lost:
+        raise RuntimeError(f"batches {lost[:10]} of run '{run_id}' do not have the rows that were to be written")
+
+    now = datetime.now(timezone.utc)
+    began = now - (now - started_at) / len(sizes)
+    kept = [f for f in LEDGER.fields if f.name not in ("run_id", "first_committed_at")]
+    ledger = [
+        {"batch_id": b, "rows": n.pop(None, 0), "quarantined": sum(n.values()), "started_at": began, "committed_at": now,
+         "attempt": f"{token}-{b}", "average_length": None, "reasons": [{"reason": r, "rows": k} for r, k in sorted(n.items())]}
+        for b, n in found.items()]
+    spark.createDataFrame(ledger, T.StructType(kept)).coalesce(1).write.mode("append").partitionBy("batch_id").parquet(
+        f"{path}/ledger/run_id={run_id}")
+
+
+def _given(rows: DataFrame) -> list[Column]:
+    """The stored columns that rows bring along; ``reason`` and ``raw`` may be left out."""
+    made = {"content", "row", *(p.name for p in _PARTITIONS)}
+    kept = [f for f in STORED.fields if f.name not in made]
+    optional = {n for n in ("reason", "raw") if n not in rows.columns}
+    return [(F.lit(None) if f.name in optional else F.col(f.name)).cast(f.dataType).alias(f.name) for f in kept]
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """Add what a write adds: a hash of the content, a number within the write, and the side."""
+    return rows.withColumns({
+        "content": F.xxhash64(*CONTENT), "row": F.monotonically_increasing_id(),
+        "quarantined": F.col("reason").isNotNull(),
+    })
+
+
 def _counts() -> list[Column]:
     """What a write observes of the rows that it passes on."""
     bad = F.col("reason").isNotNull()

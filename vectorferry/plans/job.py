@@ -32,6 +32,7 @@ from vectorferry.sources.registry import SOURCE_SPACES, reader_for
 
 
 UNTYPED_SOURCES = ("qdrant", "chroma")
+MOST_WRITES = 32  # of one run, however many batches it has
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,9 @@ class MigrationJob:
 
     ``dimension`` given: the data is read once and vectors of another size are set
     aside. Left out: it is taken from the existing target or found in an extra scan,
-    which fails when sizes differ. ``batches`` > 1 splits a batch run into as many
-    separately committed parts; ``stop_after`` ends it after so many of them, to go on when it
+    which fails when sizes differ. ``batches`` > 1 splits a batch run into as many parts with
+    a ledger row each; beyond ``MOST_WRITES`` neighbours are written by one job and committed
+    together, unless they are sent. ``stop_after`` ends a run after so many parts, to go on when it
     is run again. ``parallelism`` spreads the rows over that many tasks
     first, for a source with few large splits. ``typed_fields`` lets only text columns
     of field records become filters; other types go to ``meta``; other shapes have no
@@ -279,11 +281,21 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str, known: list[Row], starte
 
     fields = filter_names(df, job)
     left = [batch_id for batch_id in range(job.batches) if batch_id not in done]
-    for batch_id in left[: job.stop_after]:
+    together = 1 if job.sender is not None else -(-job.batches // MOST_WRITES)
+    sizes = {}
+    if together > 1:  # one row per batch
+        sizes = {r["batch_id"]: r["count"] for r in canonical.groupBy("batch_id").count().collect()}
+    now = left[: job.stop_after]
+    for some in (now[i : i + together] for i in range(0, len(now), together)):
         part = canonical
         if job.batches > 1:
-            part = canonical.filter(F.col("batch_id") == batch_id).drop("batch_id")
-        write_part(to_target(part, dimension, fields, job.sparse_algo, average), job, run_id, batch_id)
+            part = canonical.filter(F.col("batch_id").isin(some))
+        if together == 1:
+            target = to_target(part.drop("batch_id"), dimension, fields, job.sparse_algo, average)
+            write_part(target, job, run_id, some[0])
+        else:
+            target = to_target(part, dimension, fields, job.sparse_algo, average)
+            collection.write_batches(target, job.target_path, run_id, {b: sizes.get(b, 0) for b in some})
     if job.stop_after is None or len(left) <= job.stop_after:
         collection.mark_completed(spark, job.target_path, run_id)
 
