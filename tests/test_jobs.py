@@ -273,6 +273,20 @@ def test_removed_target_is_migrated_anew(spark, tmp_path):
     assert [r["id"] for r in read_collection(spark, target).collect()] == ["3"]
 
 
+def test_source_is_read_once_when_size_and_mean_are_to_be_found(spark, folder, path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(F.col("doc_id").alias("id"), F.array(F.lit(1.0).cast("float")).alias("v"), "lang", "text")
+    job = MigrationJob("milvus", path, "c", target_type="hybrid", sparse_algo="bm25", text_field="text", filter_fields="lang")
+    assert migrate(docs.mapInArrow(count, docs.schema), job).first()["upserted"] == docs.count() == seen.value
+    assert {r["status"] for r in verify(docs, job).collect()} == {"same"}
+
+
 def test_source_is_read_once_for_many_batches(spark, folder, path):
     seen = spark.sparkContext.accumulator(0)
 

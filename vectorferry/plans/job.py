@@ -39,9 +39,8 @@ MOST_WRITES = 32  # of one run, however many batches it has
 class MigrationJob:
     """What to move, and how.
 
-    ``dimension`` given: the data is read once and vectors of another size are set
-    aside. Left out: it is taken from the existing target or found in an extra scan,
-    which fails when sizes differ. ``batches`` > 1 splits a batch run into as many parts with
+    ``dimension`` given: vectors of another size are set aside. Left out: it is taken from the
+    existing target or found in an extra scan, which fails when sizes differ. ``batches`` > 1 splits a batch run into as many parts with
     a ledger row each; beyond ``MOST_WRITES`` neighbours are written by one job and committed
     together, unless they are sent. ``stop_after`` ends a run after so many parts, to go on when it
     is run again. ``parallelism`` spreads the rows over that many tasks
@@ -233,11 +232,12 @@ def _run_id(number: int, batches: int) -> str:
 def migrate(df: DataFrame, job: MigrationJob) -> DataFrame:
     """Move a collection in batch; returns the run's report.
 
-    With one batch the whole move is one narrow Spark job: read, normalise, encode,
-    split, write. With more, canonical rows are first laid out by batch in the shared
-    checkpoint folder, so that each part reads its own rows only and the source is
-    read once; parts found in the ledger are skipped when the job is run again. A
-    completed run is left alone. A run that breaks off is marked as failed.
+    With one batch, and neither size nor mean length to be found first, the whole move is one
+    narrow Spark job: read, normalise, encode, split, write. Else canonical rows are first laid
+    out in the shared checkpoint folder, by batch, so that each part reads its own rows only and
+    a source that is a join or a grouping is worked out once, not for every look at it; parts
+    found in the ledger are skipped when the job is run again. A completed run is left alone. A
+    run that breaks off is marked as failed.
     """
     check_job(job)
     spark = df.sparkSession
@@ -265,7 +265,10 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str, known: list[Row], starte
     begun = next((r for r in known if r["run_id"] == run_id and r["batch_id"] == collection.STARTED), None)
     token = begun["attempt"] if begun else uuid.uuid4().hex
     canonical = read_source(df, job)
-    if job.batches > 1:
+    no_size = job.dimension is None and collection.read_config(spark, job.target_path) is None
+    no_mean = bool(job.sparse_algo) and job.average_length is None and not begun
+    laid_out = job.batches > 1 or no_size or no_mean
+    if laid_out:
         canonical = _lay_out(canonical, job, token)
     dimension = create_target(canonical, job)
     if job.dimension and not job.sparse_algo:  # else found while looking for size or text
@@ -288,7 +291,7 @@ def _run(df: DataFrame, job: MigrationJob, run_id: str, known: list[Row], starte
     now = left[: job.stop_after]
     for some in (now[i : i + together] for i in range(0, len(now), together)):
         part = canonical
-        if job.batches > 1:
+        if laid_out:
             part = canonical.filter(F.col("batch_id").isin(some))
         if together == 1:
             target = to_target(part.drop("batch_id"), dimension, fields, job.sparse_algo, average)
@@ -330,7 +333,7 @@ def _lay_out(canonical: DataFrame, job: MigrationJob, token: str) -> DataFrame:
     ``token`` is the run's own, so no other run or target can take the layout.
 
     ``rebalance`` lets AQE split large batches and join small ones, so no task has
-    to hold a whole batch. The layout stays in the checkpoint folder, to be cleared
+    to hold a whole batch; one batch stays as it is dealt. The layout stays in the checkpoint folder, to be cleared
     with it.
     """
     spark = canonical.sparkSession
@@ -338,12 +341,14 @@ def _lay_out(canonical: DataFrame, job: MigrationJob, token: str) -> DataFrame:
     schema = canonical.withColumn("batch_id", F.lit(0).cast("bigint")).schema
     staged = collection._read(spark, f"{folder}/_complete", "batches int")
     if staged is None or staged.isEmpty():
-        key = F.coalesce(F.col("id"), F.lit(""))
-        canonical.withColumn("batch_id", hash_bucket(key, job.batches)).hint(
-            "rebalance", "batch_id"
-        ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            "batch_id"
-        ).parquet(f"{folder}/rows")
+        if job.batches > 1:
+            key = F.coalesce(F.col("id"), F.lit(""))
+            placed = canonical.withColumn("batch_id", hash_bucket(key, job.batches)).hint("rebalance", "batch_id")
+        else:
+            placed = canonical.withColumn("batch_id", F.lit(0).cast("bigint"))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "static").option(
+            "compression", "zstd"
+        ).partitionBy("batch_id").parquet(f"{folder}/rows")
         spark.range(1).select(F.lit(job.batches).alias("batches")).write.mode("overwrite").parquet(
             f"{folder}/_complete"
         )
