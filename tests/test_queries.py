@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry_points
 
 from vectorferry.oracles import ORACLES
-from vectorferry.queries import QUERIES
+from vectorferry.queries import QUERIES, document_weights
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +44,11 @@ def test_entry(spark):
     assert not entry_points.entry(spark).isEmpty()
 
 
+def test_one_file_is_encoded_by_all_tasks(spark, folder):
+    weights = document_weights(spark, folder)
+    assert weights.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+
+
 def test_streamed_table_may_be_a_folder(spark, folder, tmp_path):
     for name in ("documents", "embeddings"):
         spark.read.parquet(f"{folder}/{name}.parquet").repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")

@@ -18,6 +18,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def run_starts(ordered: Column) -> Column:
+    """Places at which a run of equal values begins, in a sorted array that is not empty."""
+    return F.filter(
+        F.sequence(F.lit(0), F.size(ordered) - 1),
+        lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)),
+    )
+
+
 def run_lengths(ordered: Column, value: str, length: str) -> Column:
     """``[a, a, b]`` -> ``[{a, 2}, {b, 1}]`` for an already sorted array.
 
@@ -27,12 +35,8 @@ def run_lengths(ordered: Column, value: str, length: str) -> Column:
 
     def count(a: Column) -> Column:
         size = F.size(a)
-        positions = F.filter(
-            F.sequence(F.lit(0), size - 1),
-            lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)),
-        )
         return F.when(size == 0, F.array()).otherwise(let(
-            positions,
+            run_starts(a),
             lambda starts: F.transform(
                 starts,
                 lambda start, k: F.struct(

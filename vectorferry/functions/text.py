@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vectorferry.functions.arrays import let, run_lengths
+from vectorferry.functions.arrays import let, run_lengths, run_starts
 
 K1 = 1.2
 B = 0.75
@@ -17,7 +17,7 @@ B = 0.75
 
 def tokens(text: Column) -> Column:
     """Lower-case letter/digit runs of the whole text."""
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]++"), "")
 
 
 def token_index(token: Column) -> Column:
@@ -30,11 +30,6 @@ def token_counts(text: Column) -> Column:
     return run_lengths(F.sort_array(tokens(text)), "token", "tf")
 
 
-def index_counts(text: Column) -> Column:
-    """``array<struct<index, tf>>`` in index order."""
-    return run_lengths(F.sort_array(F.transform(tokens(text), token_index)), "index", "tf")
-
-
 def document_length(text: Column) -> Column:
     return F.size(tokens(text)).cast("bigint")
 
@@ -46,15 +41,17 @@ def bm25(text: Column, average_length: Column | float, k1: float = K1, b: float
     """
     average = F.lit(average_length) if isinstance(average_length, (int, float)) else average_length
 
-    def weigh(counts: Column) -> Column:
-        length = F.aggregate(counts, F.lit(0), lambda s, c: s + c["tf"])
+    def weigh(places: Column) -> Column:
+        """Of the sorted indices of all tokens: each run is a term, its length the frequency."""
+        length = F.size(places)
         norm = k1 * ((1 - b) + b * length / average)
-        values = let(norm, lambda n: F.transform(
-            counts, lambda c: c["tf"] * F.lit(k1 + 1) / (c["tf"] + n)
-        ))
-        return F.when(
-            F.size(counts) > 0,
-            F.struct(counts.getField("index").alias("indices"), values.alias("values")),
-        )
-
-    return let(index_counts(F.coalesce(text, F.lit(""))), weigh)
+
+        def weights(starts: Column) -> Column:
+            tf = F.transform(starts, lambda start, k: F.coalesce(F.get(starts, k + 1), length) - start)
+            values = let(norm, lambda n: F.transform(tf, lambda t: t * F.lit(k1 + 1) / (t + n)))
+            return F.struct(F.transform(starts, lambda start: F.get(places, start)).alias("indices"), values.alias("values"))
+
+        return F.when(length > 0, let(run_starts(places), weights))
+
+    indices = F.transform(tokens(F.coalesce(text, F.lit(""))), token_index)
+    return let(F.sort_array(indices), weigh)

@@ -420,7 +420,8 @@ def norm_dense(spark, folder):
 
 
 def document_weights(spark: SparkSession, folder: str) -> DataFrame:
-    return encode.encode_sparse(table(spark, folder, "documents"), "text", "bm25", AVERAGE_LENGTH)
+    documents = table(spark, folder, "documents")
+    return encode.encode_sparse(documents, "text", "bm25", AVERAGE_LENGTH, parallelism=tasks(spark))
 
 
 @query
