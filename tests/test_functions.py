@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vectorferry.functions import payload, sparse, text
-from vectorferry.operators import quality
+from vectorferry.operators import encode, quality
 
 SPARSE = "struct<indices:array<bigint>,values:array<double>>"
 
@@ -186,3 +186,16 @@ def test_split_loses_nothing(spark, bodies, fields):
         left, right = json.loads(row[1]), json.loads(row[2])
         assert set(left) <= fields and not set(right) & fields
         assert {**left, **right} == json.loads(row[0])
+
+
+def test_lazy_encoder_gives_bounded_parts(spark):
+    class Sizes:
+        def encode_batch(self, texts):
+            return [{"indices": [0, 1, 2], "values": [len(t), len(texts), sum(map(len, texts))]} for t in texts]
+
+    long = F.when(F.col("id") % 500 == 7, F.repeat(F.lit("x"), 3_000_000)).when(F.col("id") % 3 == 0, None).otherwise("ab")
+    rows = spark.range(0, 5000, 1, 1).select("id", F.coalesce(long, F.lit(None)).alias("text"))
+    encoder = encode.lazy_encoder(Sizes)
+    got = rows.select("id", F.length("text").alias("n"), encoder(F.col("text"), 1.0)["values"].alias("v")).collect()
+    assert len(got) == 5000 and all(r["v"][0] == (r["n"] or 0) for r in got)
+    assert max(r["v"][1] for r in got) <= encode.LAZY_TEXTS and max(r["v"][2] for r in got) <= encode.LAZY_BYTES

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -17,6 +18,8 @@ from vectorferry.model import SPARSE, no_sparse
 # An encoder takes the text column and the average document length.
 Encoder = Callable[[Column, Column | float], Column]
 
+LAZY_TEXTS, LAZY_BYTES = 1_000, 4 << 20  # most that a lazily loaded model is given at once
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -62,19 +65,34 @@ def batch_encoder(model) -> Encoder:
     return lambda text, average_length: sparse_functions.sparse_from_struct(encode(text))
 
 
+def _slices(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Arrow arrays of text cut into pieces of bounded rows and bytes, in order."""
+    for texts in parts:
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        start = held = 0
+        for place, size in enumerate(sizes):
+            if place > start and (place - start >= LAZY_TEXTS or held + size > LAZY_BYTES):
+                yield texts.slice(start, place - start)
+                start, held = place, 0
+            held += size
+        yield texts.slice(start)
+
+
 def lazy_encoder(load: Callable[[], object]) -> Encoder:
     """Encoder whose model is loaded on the executor, once per task, at its first texts.
 
     ``load`` takes nothing and returns what ``batch_encoder`` takes. Only ``load`` itself is sent
     to the tasks, so a model may be large or hold what cannot be pickled; a task without rows
-    loads nothing. Texts arrive in Arrow batches, as with ``batch_encoder``.
+    loads nothing. Texts arrive in Arrow batches, as with ``batch_encoder``, and the model gets them
+    in parts of at most ``LAZY_TEXTS`` rows and, unless one text is longer, ``LAZY_BYTES``, so what a
+    task holds beside the Arrow batch does not follow the batch's size.
     """
     kind = to_arrow_type(SPARSE)
 
     @F.arrow_udf(SPARSE)
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = None
-        for texts in parts:
+        for texts in _slices(parts):
             if model is None:
                 model = load()
             values = [t or "" for t in texts.to_pylist()]
