@@ -1,7 +1,9 @@
+import glob
 import json
 import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,3 +224,12 @@ def test_sink_record(spark):
         "filter": {"k": 1}, "meta": {"n": None, "t": "x"},
     }
     assert got["b"]["fields"] == got["c"]["fields"] == {"embedding": [1.0]}
+
+
+def test_rows_are_stored_compact(spark, path):
+    upsert(frame(spark, ("a", 1, 0)), path, "r", 0)
+    collection.write_batches(
+        frame(spark, ("b", 1, 0)).withColumn("batch_id", F.lit(1).cast("bigint")), path, "r", {1: 1, 2: 0})
+    files = glob.glob(f"{path}/data/**/*.parquet", recursive=True)
+    kinds = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+    assert len(files) == 2 and kinds == {"ZSTD"} and content(spark, path) == {"a": 1, "b": 1}
