@@ -124,6 +124,22 @@ def test_reading_moves_no_vectors(spark, path, tmp_path):
         assert moved_vectors(read_collection(spark, folder))[0] == []
 
 
+@pytest.mark.parametrize("most", [0, 10])
+def test_only_ids_are_shuffled_unless_they_repeat(spark, path, monkeypatch, most):
+    real, wrote = collection.written, []
+
+    def note(df, name):
+        wrote.append((name, df.columns))
+        return real(df, name)
+
+    monkeypatch.setattr(collection, "written", note)
+    monkeypatch.setattr(collection, "MAX_BROADCAST_ROWS", most)
+    upsert(frame(spark, ("a", 1, 0), ("b", 2, 0)), path, "r")
+    assert content(spark, path) == {"a": 1, "b": 2} and wrote == [("repeated", ["id"])]
+    upsert(frame(spark, ("b", 3, 0), ("c", 4, 0), ("c", 4, 0), ("a", 5, -1)), path, "r")
+    assert content(spark, path) == {"a": 1, "b": 3, "c": 4} and read_collection(spark, path).count() == 3
+
+
 def test_number_and_text_ids_are_one(spark):
     ids = spark.createDataFrame([(1,)], "id int").select(F.col("id").cast("string"), F.lit(1).alias("seq"))
     both = ids.unionByName(spark.createDataFrame([("1", 2)], "id string, seq int"))

@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 import shutil
@@ -21,6 +22,7 @@ from vectorferry import (
 from vectorferry.functions.hashing import hash_bucket
 from vectorferry.operators import collection
 from vectorferry.operators import report as reports
+from vectorferry.plans import job as jobs
 from vectorferry.plans.job import current_run, read_source, to_target
 from vectorferry.queries import AVERAGE_LENGTH, DIMENSION, field_records
 from vectorferry.streaming import job as streaming
@@ -303,6 +305,17 @@ def test_source_is_read_once_for_many_batches(spark, folder, path):
     assert {r["status"] for r in verify(docs, job).collect()} == {"same"}
 
 
+def test_rows_of_few_bytes_are_laid_out_and_written_by_many_tasks(spark, path, monkeypatch):
+    """Vectors that repeat: by bytes alone one task would lay out and write a whole batch."""
+    monkeypatch.setattr(jobs, "LAYOUT_ROWS", 100, raising=False)
+    rows = spark.range(0, 4000, 1, 3).select("id", F.array(F.lit(1.0).cast("float")).alias("v"))
+    job = MigrationJob("milvus", path, "c", dimension=1, batches=2)
+    assert migrate(rows, job).first()["upserted"] == 4000
+    for batch_id in range(2):
+        assert len(glob.glob(f"{path}/data/*/batch_id={batch_id}/*/*/*.parquet")) >= 4
+    assert {r["status"]: r["rows"] for r in verify(rows, job).collect()} == {"same": 4000}
+
+
 def test_rate_is_that_of_the_run(spark, path, monkeypatch):
     real = collection.write_batch
 

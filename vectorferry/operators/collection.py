@@ -27,12 +27,13 @@ from pyspark.sql import types as T
 
 from vectorferry.functions import sparse as sparse_functions
 from vectorferry.model import CONFIG, LEDGER, QUARANTINE, REASONS, TARGET, CollectionSpec
-from vectorferry.operators.batches import checkpoint_dir
+from vectorferry.operators.batches import written
 
 COMPLETED, STARTED, FAILED = -1, -2, -3  # ledger rows that stand for no batch
 BASE_RUN = "base"  # written by compact only: its ids are unique
 MAX_BROADCAST_ROWS = 1_000_000
 COMPRESSION = "zstd"  # of the stored rows: a third less than by Spark's default
+PLAIN = "parquet.enable.dictionary#{}.list.element"  # vectors seldom repeat a number; a dictionary costs time only
 
 _PARTITIONS = [
     T.StructField("run_id", T.StringType()),
@@ -181,7 +182,9 @@ def write_batch(
     counts, observed = Observation(), rows.select(*_given(rows), sent.alias("sent"))
     _marked(
         observed.observe(counts, *_counts()).filter(F.col("sent").isNull()).drop("sent")
-    ).write.mode("errorifexists").option("compression", COMPRESSION).partitionBy("quarantined").parquet(folder)
+    ).write.mode("errorifexists").option("compression", COMPRESSION).option(
+        PLAIN.format("embedding"), "false"
+    ).partitionBy("quarantined").parquet(folder)
     seen = {k: v or 0 for k, v in counts.get.items()}
     reasons = {r: seen.get(r, 0) for r in REASONS}
     reasons["other"] = seen.get("bad", 0) - sum(reasons.values())
@@ -203,7 +206,8 @@ def write_batches(rows: DataFrame, path: str, run_id: str, sizes: dict[int, int]
     folder = f"{path}/data/run_id={run_id}"
     attempt = F.concat(F.lit(f"{token}-"), F.col("batch_id"))
     _marked(rows.select("batch_id", attempt.alias("attempt"), *_given(rows))).write.mode("append").option(
-        "compression", COMPRESSION).partitionBy("batch_id", "attempt", "quarantined").parquet(folder)
+        "compression", COMPRESSION).option(PLAIN.format("embedding"), "false").partitionBy(
+        "batch_id", "attempt", "quarantined").parquet(folder)
 
     folders = [f"{folder}/batch_id={b}/attempt={token}-{b}" for b, n in sizes.items() if n]
     stored = T.StructType([f for f in STORED.fields if f.name in ("reason", "batch_id", "quarantined")])
@@ -313,7 +317,8 @@ def _superseded(spark: SparkSession, rows: DataFrame, path: str) -> tuple[DataFr
     """``(attempt, row)`` of the rows of an id that another row supersedes, and their number.
 
     Looks at narrow columns only. In a compacted collection ids are unique, so of its
-    base only the ids that later batches hold matter.
+    base only the ids that later batches hold matter. Ids are counted first, which shuffles
+    nothing else; only the rows of ids that occur more than once are compared.
     """
     narrow = rows.select("id", "seq", "_run", "batch_id", "content", "attempt", "row", (F.col("run_id") == BASE_RUN).alias("base"))
     later = narrow.filter("not base")
@@ -321,12 +326,15 @@ def _superseded(spark: SparkSession, rows: DataFrame, path: str) -> tuple[DataFr
     if held:
         base = narrow.filter("base").join(_checked_broadcast(later.select("id").distinct(), held), "id", "left_semi")
         later = later.unionByName(base)
+    repeated = written(later.groupBy("id").agg(F.count("row").alias("n")).filter("n > 1").select("id"), "repeated")
+    several = repeated.count()
+    if several == 0:
+        return narrow.select("attempt", "row").limit(0), 0
+    later = later.join(_checked_broadcast(repeated, several), "id", "left_semi")
     order = F.struct("seq", "_run", "batch_id", "content", "attempt", "row")
-    best = later.groupBy("id").agg(F.max(order).alias("w"), F.count("row").alias("n")).filter("n > 1")
+    best = later.groupBy("id").agg(F.max(order).alias("w"))
     lost = later.join(best, "id").filter(order != F.col("w")).select("attempt", "row")
-    folder = f"{checkpoint_dir(spark)}/vectorferry-superseded-{uuid.uuid4().hex}"
-    lost.write.parquet(folder)
-    lost = spark.read.schema("attempt string, row bigint").parquet(folder)
+    lost = written(lost, "superseded")
     return lost, lost.count()
 
 

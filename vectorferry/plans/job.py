@@ -33,6 +33,8 @@ from vectorferry.sources.registry import SOURCE_SPACES, reader_for
 
 UNTYPED_SOURCES = ("qdrant", "chroma")
 MOST_WRITES = 32  # of one run, however many batches it has
+MOST_DIRECT = 8  # batches that each task lays out by itself, with a file for each
+LAYOUT_ROWS = 50_000  # of a file of the layout
 
 
 @dataclass(frozen=True)
@@ -332,8 +334,11 @@ def _lay_out(canonical: DataFrame, job: MigrationJob, token: str) -> DataFrame:
 
     ``token`` is the run's own, so no other run or target can take the layout.
 
-    ``rebalance`` lets AQE split large batches and join small ones, so no task has
-    to hold a whole batch; one batch stays as it is dealt. The layout stays in the checkpoint folder, to be cleared
+    Up to ``MOST_DIRECT`` batches are laid out by the tasks that make the rows, so no vector is
+    shuffled. Beyond that, files would be too many: ``rebalance`` brings the rows of a batch together
+    and lets AQE split large batches and join small ones, so no task has to hold a whole batch. Rows
+    that repeat take few bytes, so how many tasks read a batch must not follow from bytes alone: files
+    hold at most ``LAYOUT_ROWS`` rows. The layout stays in the checkpoint folder, to be cleared
     with it.
     """
     spark = canonical.sparkSession
@@ -343,12 +348,16 @@ def _lay_out(canonical: DataFrame, job: MigrationJob, token: str) -> DataFrame:
     if staged is None or staged.isEmpty():
         if job.batches > 1:
             key = F.coalesce(F.col("id"), F.lit(""))
-            placed = canonical.withColumn("batch_id", hash_bucket(key, job.batches)).hint("rebalance", "batch_id")
+            placed = canonical.withColumn("batch_id", hash_bucket(key, job.batches))
+            if job.batches > MOST_DIRECT:
+                placed = placed.hint("rebalance", "batch_id")
         else:
             placed = canonical.withColumn("batch_id", F.lit(0).cast("bigint"))
         placed.write.mode("overwrite").option("partitionOverwriteMode", "static").option(
             "compression", "zstd"
-        ).partitionBy("batch_id").parquet(f"{folder}/rows")
+        ).option(collection.PLAIN.format("dense"), "false").option("maxRecordsPerFile", LAYOUT_ROWS).partitionBy(
+            "batch_id"
+        ).parquet(f"{folder}/rows")
         spark.range(1).select(F.lit(job.batches).alias("batches")).write.mode("overwrite").parquet(
             f"{folder}/_complete"
         )
